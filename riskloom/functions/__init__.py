@@ -1 +1 @@
-"""Column expressions: built-in Spark expressions, but for the p-value of a screening row."""
+"""Column expressions: built-in Spark expressions throughout, no Python UDF."""

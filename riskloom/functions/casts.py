@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,7 +37,12 @@ def lenient_double(text: Column, keep_nan: bool = False) -> Column:
     return number if keep_nan else F.when(~F.isnan(number), number)
 
 
+def usable_numbers(numbers: Sequence[Column]) -> Column:
+    """True where a model can take every number: none is null, NaN or infinite. Zero times
+    such a value is not zero, so one sum tests them all, however many there are."""
+    zeros = reduce(lambda a, b: a + b, [n.cast("double") * 0.0 for n in numbers], F.lit(0.0))
+    return F.coalesce(zeros == 0.0, F.lit(False))
+
+
 def usable_number(number: Column) -> Column:
-    """True for a number a model can take: not null, not NaN, not infinite."""
-    value = number.cast("double")
-    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+    return usable_numbers([number])

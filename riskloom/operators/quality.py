@@ -58,11 +58,6 @@ def category_sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[(F.max(c) + 1).cast("long").alias(c) for c in columns])
 
 
-def unusable(numeric: Sequence[str]) -> Column:
-    """True where any of the numeric columns holds null, NaN or an infinity."""
-    return reduce(lambda a, b: a | b, [~usable_number(F.col(c)) for c in numeric], F.lit(False))
-
-
 def quarantined(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """The rows a model cannot score, with the names of the columns at fault."""
     faults = F.array_compact(F.array(*[F.when(~usable_number(F.col(c)), F.lit(c)) for c in numeric]))

@@ -9,8 +9,8 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.casts import usable_number
-from riskloom.functions.chi_square import chi_square_p
+from riskloom.functions.casts import usable_numbers
+from riskloom.functions.chi_square import chi_square_tail
 from riskloom.operators.ranking import running_totals
 
 MAX_LABELS = 1_000
@@ -69,7 +69,7 @@ def chi_square_stat(df: DataFrame, features: Sequence[str], label: str, labels:
 def chi_square_screen(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:
     """The test with its p-value to five places, least likely under independence first."""
     tested = chi_square_stat(df, features, label, labels)
-    return tested.withColumn("p_value", F.round(chi_square_p("statistic", "dof"), 5)).orderBy("p_value", "variable")
+    return tested.withColumn("p_value", F.round(chi_square_tail(F.col("statistic"), F.col("dof")), 5)).orderBy("p_value", "variable")
 
 
 def screen_by_chi_square(
@@ -116,8 +116,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     numbers = df.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in columns])  # -0.0 becomes 0.0
-    for c in columns:
-        numbers = numbers.filter(usable_number(F.col(c)))
+    numbers = numbers.filter(usable_numbers([F.col(c) for c in columns]))
     ranks = average_ranks(numbers, columns)
     sizes = {r["variable"]: r for r in ranks.groupBy("variable").agg(
         F.count("*").alias("distinct"), F.sum("n").alias("rows")).collect()}

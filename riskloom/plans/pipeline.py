@@ -17,11 +17,11 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringInd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.casts import missing_to_null, usable_number
+from riskloom.functions.casts import missing_to_null, usable_number, usable_numbers
 from riskloom.functions.labels import binary_label, is_labelled
 from riskloom.functions.values import category_slot, vector_element
 from riskloom.operators.metrics import classification_metrics, roc_auc
-from riskloom.operators.quality import quarantined, unusable
+from riskloom.operators.quality import quarantined
 from riskloom.operators.shape import (
     add_pair_means,
     drop_by_pattern,
@@ -73,11 +73,17 @@ def _vector(c: str) -> str:
 
 
 def model_columns(df: DataFrame, spec: FeatureSpec, keep: Sequence[str]) -> DataFrame:
-    """The columns the stages read: category slots, filled text categories, numbers."""
+    """The columns the stages read: category slots, filled text categories, numbers. Rows
+    with a number the model cannot take are left out, or get a null there to be imputed."""
+    numbers = [F.col(f"`{c}`").cast("double") for c in spec.numeric]
+    if spec.bad_numeric == "impute":
+        numbers = [F.when(usable_number(n), n) for n in numbers]
+    else:
+        df = df.filter(usable_numbers(numbers))
     texts = [F.coalesce(missing_to_null(F.col(f"`{c}`")), F.lit(UNKNOWN_TEXT)).alias(f"{c}_text") for c in spec.text_categorical]
     slots = [category_slot(F.col(f"`{c}`")).alias(_slot(c)) for c in spec.categorical]
-    numbers = [F.when(usable_number(F.col(f"`{c}`")), F.col(f"`{c}`").cast("double")).alias(f"{c}_num") for c in spec.numeric]
-    return df.select(*[F.col(f"`{c}`") for c in keep], *slots, *texts, *numbers)
+    named = [n.alias(name) for n, name in zip(numbers, _num(spec))]
+    return df.select(*[F.col(f"`{c}`") for c in keep], *slots, *texts, *named)
 
 
 def _num(spec: FeatureSpec) -> list[str]:
@@ -143,8 +149,6 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
     cheap; over messages that must be parsed, ``keep_in_memory`` holds the pruned columns.
     """
     rows = model_columns(labelled_rows(cleaned, spec), spec, [LABEL])
-    if spec.bad_numeric == "quarantine":
-        rows = rows.filter(~unusable(_num(spec)))
     if keep_in_memory:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -160,8 +164,6 @@ def score(cleaned: DataFrame, model: RiskModel, keep: Sequence[str] | None = Non
     spec = model.spec
     keep = list(keep if keep is not None else key_names(spec))
     rows = model_columns(cleaned, spec, keep)
-    if spec.bad_numeric == "quarantine":
-        rows = rows.filter(~unusable(_num(spec)))
     positive = vector_element(F.col("probability"), 1)
     return model.fitted.transform(rows).select(
         *[F.col(f"`{c}`") for c in keep],
