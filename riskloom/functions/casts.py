@@ -26,10 +26,11 @@ def missing_to_null(text: Column) -> Column:
 
 def lenient_int(text: Column) -> Column:
     """Text to int under either ANSI setting: ``1.0`` and ``' 7 '`` pass, the fraction is
-    cut off, and anything else (exponents, words, overflow) is null."""
+    cut off, and anything else (exponents, words, overflow) is null. Plain whole numbers,
+    the usual case, never reach the patterns."""
     digits = F.regexp_extract(text, _LEADING_DIGITS, 1)
     whole = F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("int"))
-    return F.when(text.rlike(_WHOLE_OR_DECIMAL), whole)
+    return F.coalesce(text.try_cast("int"), F.when(text.rlike(_WHOLE_OR_DECIMAL), whole))
 
 
 def lenient_double(text: Column, keep_nan: bool = False) -> Column:

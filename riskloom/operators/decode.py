@@ -19,12 +19,11 @@ def string_schema(names: Sequence[str]) -> StructType:
 
 
 def typed(name: str, integers: frozenset[str], doubles: frozenset[str], source: Column) -> Column:
-    text = missing_to_null(source)
     if name in integers:
-        return lenient_int(text).alias(name)
+        return lenient_int(source).alias(name)
     if name in doubles:
-        return lenient_double(text).alias(name)
-    return text.alias(name)
+        return lenient_double(source).alias(name)
+    return missing_to_null(source).alias(name)
 
 
 def cast_fields(df: DataFrame, integers: Sequence[str] = (), doubles: Sequence[str] = ()) -> DataFrame:
@@ -47,7 +46,8 @@ def decode_messages(
     text = F.col("value").cast("string")
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     ints, dbls = frozenset(integers), frozenset(doubles)
-    flag = (strip(F.coalesce(text, F.lit(""))) == "") | F.col(f"_record.{_CORRUPT}").isNotNull()
+    blank = strip(F.coalesce(F.col("_text"), F.lit(""))) == ""  # the parser does not flag these
+    flag = blank | F.col("_record").getField(_CORRUPT).isNotNull()
     return envelope.select(*keep, text.alias("_text"), parsed.alias("_record")).select(
         *keep,
         *[typed(f, ints, dbls, F.col("_record").getField(f)) for f in fields],

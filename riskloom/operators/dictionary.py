@@ -12,10 +12,9 @@ MAX_BROADCAST_ROWS = 100_000
 
 def code_dictionary(spark: SparkSession, lists: Mapping[str, Sequence[str]], first_code: int = 1) -> DataFrame:
     """``(attribute, code, label)`` from ordered label lists; codes count from ``first_code``."""
-    rows = [(name, list(labels)) for name, labels in lists.items()]
-    table = spark.createDataFrame(rows, "attribute string, labels array<string>")
-    return table.select("attribute", F.posexplode("labels").alias("position", "label")).select(
-        "attribute", (F.col("position") + first_code).alias("code"), "label")
+    entries = [F.struct(F.lit(name).alias("attribute"), F.lit(code).alias("code"), F.lit(label).alias("label"))
+               for name, labels in lists.items() for code, label in enumerate(labels, first_code)]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def _maybe_broadcast(dictionary: DataFrame, rows: int | None) -> DataFrame:

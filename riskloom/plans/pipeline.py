@@ -91,37 +91,54 @@ def _num(spec: FeatureSpec) -> list[str]:
 
 
 def stages(spec: FeatureSpec) -> list:
-    """Unfitted stages. Standard scores are centred for the numeric block; the one-hot block
-    is centred too with ``centre_slots``, which makes every vector dense. The unregularised
-    fit has the same optimum either way, since the intercept takes up any shift."""
+    """Unfitted stages: index, encode, assemble, standardise, regress.
+
+    ``standardise='numbers'`` centres and scales the numbers and leaves the one-hot block as
+    sparse zeros and ones. ``'all'`` centres and scales both, which makes every vector dense.
+    The unregularised fit has the same optimum either way: it scales its input itself, and
+    the intercept takes up any shift.
+    """
     plan: list = []
     if spec.text_categorical:
         plan.append(StringIndexer(
             inputCols=[f"{c}_text" for c in spec.text_categorical], outputCols=[_slot(c) for c in spec.text_categorical],
             stringOrderType="alphabetAsc", handleInvalid="keep"))
     categories = [*spec.categorical, *spec.text_categorical]
+    blocks = [_vector(c) for c in categories]
     if categories:
-        plan.append(OneHotEncoder(
-            inputCols=[_slot(c) for c in categories], outputCols=[_vector(c) for c in categories], handleInvalid="keep"))
+        plan.append(OneHotEncoder(inputCols=[_slot(c) for c in categories], outputCols=blocks, handleInvalid="keep"))
     if spec.numeric and spec.bad_numeric == "impute":
         plan.append(Imputer(inputCols=_num(spec), outputCols=_num(spec), strategy="mean"))
-    blocks = [_vector(c) for c in categories]
-    if spec.centre_slots or not spec.numeric:
+    if spec.standardise == "all":
         plan.append(VectorAssembler(inputCols=[*blocks, *_num(spec)], outputCol="raw_features"))
-        plan.append(StandardScaler(inputCol="raw_features", outputCol=FEATURES, withStd=True, withMean=spec.centre_slots))
+        plan.append(StandardScaler(inputCol="raw_features", outputCol=FEATURES, withStd=True, withMean=True))
     else:
-        plan.append(VectorAssembler(inputCols=_num(spec), outputCol="raw_numbers"))
-        plan.append(StandardScaler(inputCol="raw_numbers", outputCol="numbers", withStd=True, withMean=True))
-        if blocks:
-            plan.append(VectorAssembler(inputCols=blocks, outputCol="raw_slots"))
-            plan.append(StandardScaler(inputCol="raw_slots", outputCol="slots", withStd=True, withMean=False))
-        plan.append(VectorAssembler(inputCols=["slots", "numbers"] if blocks else ["numbers"], outputCol=FEATURES))
+        if spec.numeric:
+            plan.append(VectorAssembler(inputCols=_num(spec), outputCol="raw_numbers"))
+            plan.append(StandardScaler(inputCol="raw_numbers", outputCol="numbers", withStd=True, withMean=True))
+        plan.append(VectorAssembler(inputCols=[*blocks, *(["numbers"] if spec.numeric else [])], outputCol=FEATURES))
     plan.append(LogisticRegression(
         featuresCol=FEATURES, labelCol=LABEL, maxIter=spec.max_iter, tol=spec.tolerance,
         aggregationDepth=spec.aggregation_depth))
     return plan
 
 
+def with_slot_counts(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Note on each slot column how many slots it has, so that the encoder need not look.
+
+    One aggregate over the bare columns finds them, and checks on the way that both classes
+    occur.
+    """
+    found = rows.agg(
+        *[F.max(f"`{_slot(c)}`").alias(_slot(c)) for c in spec.categorical],
+        F.count_if(F.col(LABEL) == 1.0).alias("n_positive"), F.count_if(F.col(LABEL) == 0.0).alias("n_negative")).head()
+    for label, n in ((spec.positive_label, found["n_positive"]), (spec.negative_label, found["n_negative"])):
+        if n == 0:
+            raise ValueError(f"no usable training row has label {label!r}")
+    noted = {_slot(c): {"ml_attr": {"type": "nominal", "num_vals": int(found[_slot(c)]) + 1}} for c in spec.categorical}
+    return rows.select(*[F.col(f"`{c}`").alias(c, metadata=noted[c]) if c in noted else F.col(f"`{c}`") for c in rows.columns])
+
+
 @dataclass(frozen=True)
 class RiskModel:
     spec: FeatureSpec
@@ -145,14 +162,16 @@ class RiskModel:
 def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -> RiskModel:
     """Fit on the labelled rows of a cleaned table.
 
-    The fit reads its input once per fitted stage. Over a columnar table those reads are
-    cheap; over messages that must be parsed, ``keep_in_memory`` holds the pruned columns.
+    The fit reads its input a few times: slot counts, text categories, moments, and the
+    regression's own read, which caches what it iterates over. Over a columnar table those
+    reads are cheap; over messages that must be parsed, ``keep_in_memory`` holds the pruned
+    columns.
     """
     rows = model_columns(labelled_rows(cleaned, spec), spec, [LABEL])
     if keep_in_memory:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return RiskModel(spec, Pipeline(stages=stages(spec)).fit(rows))
+        return RiskModel(spec, Pipeline(stages=stages(spec)).fit(with_slot_counts(rows, spec)))
     finally:
         if keep_in_memory:
             rows.unpersist()

@@ -8,6 +8,8 @@ every number (the fit's own optimum condition).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from riskloom.operators.features import train_test
@@ -28,7 +30,6 @@ LINE_SPEC = FeatureSpec(
     numeric=("l_quantity", "l_extendedprice", "avg_rate"),
     pairs={"avg_rate": ("l_discount", "l_tax")},
     drops=("l_discount", "l_tax"),
-    tolerance=1e-9,
 )
 RATE_SPEC = FeatureSpec(
     keys=("o_orderkey",),
@@ -51,9 +52,9 @@ def rounded(scored, places: int = 5):
     return scored.withColumns({c: F.round(c, places) for c in ("p_positive", "p_negative")})
 
 
-def line_model(spark, sf):
-    lines = pipeline.clean(read_table(spark, sf, "lineitem"), LINE_SPEC)
-    return lines, pipeline.train(lines, LINE_SPEC)
+def line_model(spark, sf, spec=LINE_SPEC):
+    lines = pipeline.clean(read_table(spark, sf, "lineitem"), spec)
+    return lines, pipeline.train(lines, spec)
 
 
 def rate_model(spark, sf):
@@ -95,7 +96,7 @@ UNION ALL SELECT NULL, CAST(l_linenumber AS VARCHAR), round(avg(y), 4), NULL, NU
 UNION ALL SELECT NULL, NULL, round(avg(y), 4), round(avg(y * l_quantity), 3), round(avg(y * rate), 5) FROM lines""")
 def model_balance(spark, sf):
     """Mean fitted probability per slot, and its mean product with the numbers."""
-    lines, model = line_model(spark, sf)
+    lines, model = line_model(spark, sf, replace(LINE_SPEC, tolerance=1e-9))
     scored = pipeline.score(lines, model, ["l_returnflag", "l_linenumber", "l_quantity", "avg_rate"])
     p = F.col("p_positive")
     sets = scored.groupingSets([["l_returnflag"], ["l_linenumber"], []], "l_returnflag", "l_linenumber").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.functions.casts import lenient_double, lenient_int, missing_to_null
+from riskloom.functions.casts import lenient_double, lenient_int
 from riskloom.functions.values import percent_text
 from riskloom.operators.decode import decode_messages
 from riskloom.operators.quality import row_count
@@ -157,7 +157,7 @@ SELECT c_custkey, CAST(CASE WHEN regexp_matches(text, '^\s*[+-]?(\d+(\.\d*)?|\.\
               ELSE TRY_CAST(regexp_extract(text, '^\s*([+-]?\d+)', 1) AS INTEGER) END END AS VARCHAR) AS whole
 FROM t""")
 def lenient_cast_int(spark, sf):
-    return _text_forms(spark, sf).select("c_custkey", lenient_int(missing_to_null(F.col("text"))).cast("string").alias("whole"))
+    return _text_forms(spark, sf).select("c_custkey", lenient_int(F.col("text")).cast("string").alias("whole"))
 
 
 @query("lenient_cast_double", f"""
@@ -165,7 +165,7 @@ WITH t AS (SELECT c_custkey, {_TEXT_FORMS_SQL} AS text FROM customer)
 SELECT c_custkey, CASE WHEN NOT isnan(TRY_CAST(trim(text) AS DOUBLE)) THEN TRY_CAST(trim(text) AS DOUBLE) END AS number
 FROM t""")
 def lenient_cast_double(spark, sf):
-    return _text_forms(spark, sf).select("c_custkey", lenient_double(missing_to_null(F.col("text"))).alias("number"))
+    return _text_forms(spark, sf).select("c_custkey", lenient_double(F.col("text")).alias("number"))
 
 
 @query("percent_text", """
@@ -218,8 +218,7 @@ def first_score(spark, sf):
     return scores.first_per_key(read_table(spark, sf, "events"), "user_id", ["ts", "event_id"], "value")
 
 
-@query("unscored_rows", """
-SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+@query("unscored_rows", "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def unscored_rows(spark, sf):
-    people = read_table(spark, sf, "customer").select("c_custkey", "c_name")
-    return scores.unscored(people, read_table(spark, sf, "orders"), "c_custkey", "o_custkey")
+    documents = read_table(spark, sf, "documents").select("doc_id", "lang")
+    return scores.unscored(documents, read_table(spark, sf, "labels"), "doc_id", "doc_id")

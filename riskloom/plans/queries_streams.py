@@ -48,7 +48,7 @@ def stream_score(spark, sf):
 
 @query("stream_route", """
 SELECT CASE WHEN o_orderstatus = 'P' THEN 'without_target' ELSE 'with_target' END AS topic, count(*) AS n,
-       sum(o_orderkey) AS keys FROM orders GROUP BY 1""")
+       CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1""")
 def stream_route(spark, sf):
     orders = table_stream(spark, sf, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("target"))
     routed = flows.route_stream(orders, F.col("target"), "with_target", "without_target")

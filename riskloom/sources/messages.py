@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from riskloom.functions.labels import is_labelled
 
+ENVELOPE_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp", "timestampType")
 ENVELOPE = ("key binary, value binary, topic string, partition int, offset bigint, "
             "timestamp timestamp, timestampType int")
 
@@ -60,11 +61,12 @@ class FileTransport:
     folder: str
 
     def read(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
-        return spark.read.schema(ENVELOPE).parquet(self.folder).filter(F.col("topic").isin(*topics))
+        stored = spark.read.schema(ENVELOPE).parquet(self.folder)
+        return stored.filter(F.col("topic").isin(*topics)).select(*ENVELOPE_COLUMNS)
 
     def read_stream(self, spark: SparkSession, topics: Sequence[str], **options: str) -> DataFrame:
         stream = spark.readStream.schema(ENVELOPE).options(**options).parquet(self.folder)
-        return stream.filter(F.col("topic").isin(*topics))
+        return stream.filter(F.col("topic").isin(*topics)).select(*ENVELOPE_COLUMNS)
 
     @staticmethod
     def envelope(messages: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ class FileTransport:
             "timestampType": F.lit(0),
         }
         filled = messages.withColumns({n: c for n, c in defaults.items() if n not in messages.columns})
-        return filled.select("key", "value", "topic", "partition", "offset", "timestamp", "timestampType")
+        return filled.select(*ENVELOPE_COLUMNS)
 
     def write(self, messages: DataFrame) -> None:
         self.envelope(messages).write.mode("append").partitionBy("topic").parquet(self.folder)

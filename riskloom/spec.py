@@ -31,7 +31,7 @@ class FeatureSpec:
     numeric: tuple[str, ...] = ()
     contradictions: tuple[str, ...] = ()
     bad_numeric: str = "quarantine"
-    centre_slots: bool = False
+    standardise: str = "numbers"
     max_iter: int = 100
     tolerance: float = 1e-6
     aggregation_depth: int = 2
@@ -46,6 +46,8 @@ class FeatureSpec:
             raise ValueError("exactly two labels must remain after dropping")
         if self.bad_numeric not in ("quarantine", "impute"):
             raise ValueError("bad_numeric is 'quarantine' or 'impute'")
+        if self.standardise not in ("numbers", "all"):
+            raise ValueError("standardise is 'numbers' or 'all'")
 
     @property
     def class_labels(self) -> tuple[str, ...]:
