@@ -6,7 +6,7 @@ these forms serve inspection and hand-over to tools that do not read ML vectors.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from riskloom.functions.values import split_bucket
 
 
-def active_slots(df: DataFrame, keys: Sequence[str], vectors: Sequence[str]) -> DataFrame:
-    """``(keys, feature, slot)`` for the slot set in each one-hot vector; an all-zero block
-    gives no row."""
-    blocks = [F.struct(F.lit(v).alias("feature"), (F.array_position(vector_to_array(v), F.lit(1.0)) - 1).alias("slot"))
-              for v in vectors]
-    return df.select(*keys, F.inline(F.array(*blocks))).filter(F.col("slot") >= 0)
+def active_slots(df: DataFrame, keys: Sequence[str], slots: Mapping[str, str], sizes: Sequence[int]) -> DataFrame:
+    """``(keys, feature, slot)`` for the one slot each category sets, without building the
+    vectors. ``slots`` maps feature to slot column and ``sizes`` are the fitted encoder's; a
+    slot beyond the size is an unseen category, whose block is all zero: no row."""
+    blocks = [F.struct(F.lit(f).alias("feature"), F.when(F.col(c) < size, F.col(c)).cast("long").alias("slot"))
+              for (f, c), size in zip(slots.items(), sizes)]
+    return df.select(*keys, F.inline(F.array(*blocks))).filter(F.col("slot").isNotNull())
 
 
 def vector_as_array(df: DataFrame, vector: str, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.casts import usable_numbers
 from riskloom.functions.chi_square import chi_square_tail
 from riskloom.operators.ranking import running_totals
+from riskloom.session import materialise
 
 MAX_LABELS = 1_000
 BROADCAST_VALUES = 200_000
@@ -100,8 +101,9 @@ def _attach_rank(rows: DataFrame, ranks: DataFrame, column: str, distinct: int,
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(variable, value, n, rank)``: the mean rank of every distinct value of each column."""
-    cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("value")) for c in columns])
+    """``(variable, value, n, rank)``: the mean rank of every distinct value of each column;
+    ``variable`` is the column's position in ``columns``."""
+    cells = F.array(*[F.struct(F.lit(i).alias("variable"), F.col(c).alias("value")) for i, c in enumerate(columns)])
     counts = df.select(F.inline(cells)).groupBy("variable", "value").agg(F.count("*").alias("n"))
     ranked = running_totals(counts, "variable", "value", ["n"])
     return ranked.select("variable", "value", "n", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"))
@@ -117,30 +119,29 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
     numbers = df.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in columns])  # -0.0 becomes 0.0
     numbers = numbers.filter(usable_numbers([F.col(c) for c in columns]))
-    ranks = average_ranks(numbers, columns)
+    ranks = materialise(average_ranks(numbers, columns), "ranks")
     sizes = {r["variable"]: r for r in ranks.groupBy("variable").agg(
         F.count("*").alias("distinct"), F.sum("n").alias("rows")).collect()}
-    total = next(iter(sizes.values()))["rows"] if sizes else 0
+    total = sizes[0]["rows"] if sizes else 0
     centre = (total + 1) / 2
     hot = max(2, math.ceil(total / HOT_SHARES))
 
     rows = numbers
-    for c in columns:
-        side = ranks.filter(F.col("variable") == c)
-        rows = _attach_rank(rows, side, c, sizes[c]["distinct"] if sizes else 0, hot)
-    off = {c: F.col(f"{c}_rank") - F.lit(centre) for c in columns}
-    pairs = list(combinations_with_replacement(columns, 2))
-    sums = rows.agg(*[F.sum(off[x] * off[y]).alias(f"{columns.index(x)}_{columns.index(y)}") for x, y in pairs])
-
-    def rho(x: str, y: str) -> Column:
-        i, j = sorted((columns.index(x), columns.index(y)))
+    for i, c in enumerate(columns):
+        rows = _attach_rank(rows, ranks.filter(F.col("variable") == i), c, sizes[i]["distinct"] if sizes else 0, hot)
+    off = [F.col(f"{c}_rank") - F.lit(centre) for c in columns]
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    sums = rows.agg(*[F.sum(off[i] * off[j]).alias(f"{i}_{j}") for i, j in pairs])
+
+    def rho(i: int, j: int) -> Column:
+        i, j = sorted((i, j))
         if i == j:
             return F.when(F.col(f"{i}_{i}") > 0, F.lit(1.0))
         spread = F.sqrt(F.col(f"{i}_{i}")) * F.sqrt(F.col(f"{j}_{j}"))
         return F.when(spread > 0, F.col(f"{i}_{j}") / spread)
 
-    cells = [F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), rho(x, y).alias("rho"))
-             for x in columns for y in columns]
+    cells = [F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), rho(i, j).alias("rho"))
+             for i, x in enumerate(columns) for j, y in enumerate(columns)]
     return sums.select(F.inline(F.array(*cells)))
 
 

@@ -9,12 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import (
+    Imputer,
+    ImputerModel,
+    OneHotEncoder,
+    OneHotEncoderModel,
+    StandardScaler,
+    StandardScalerModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.casts import missing_to_null, usable_number, usable_numbers
@@ -35,6 +47,8 @@ from riskloom.spec import FeatureSpec
 UNKNOWN_TEXT = "(unknown)"
 FEATURES = "features"
 LABEL = "label"
+SPREAD_ROWS = 5_000_000
+LITERAL_SLOTS = 5_000
 
 
 def clean(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -123,10 +137,11 @@ def stages(spec: FeatureSpec) -> list:
     return plan
 
 
-def with_slot_counts(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Note on each slot column how many slots it has, so that the encoder need not look.
+def with_slot_counts(rows: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, int]:
+    """Note on each slot column how many slots it has, so that the encoder need not look;
+    also the number of rows.
 
-    One aggregate over the bare columns finds them, and checks on the way that both classes
+    One aggregate over the bare columns finds both, and checks on the way that both classes
     occur.
     """
     found = rows.agg(
@@ -136,7 +151,8 @@ def with_slot_counts(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
         if n == 0:
             raise ValueError(f"no usable training row has label {label!r}")
     noted = {_slot(c): {"ml_attr": {"type": "nominal", "num_vals": int(found[_slot(c)]) + 1}} for c in spec.categorical}
-    return rows.select(*[F.col(f"`{c}`").alias(c, metadata=noted[c]) if c in noted else F.col(f"`{c}`") for c in rows.columns])
+    named = [F.col(f"`{c}`").alias(c, metadata=noted[c]) if c in noted else F.col(f"`{c}`") for c in rows.columns]
+    return rows.select(*named), found["n_positive"] + found["n_negative"]
 
 
 @dataclass(frozen=True)
@@ -144,6 +160,10 @@ class RiskModel:
     spec: FeatureSpec
     fitted: PipelineModel
 
+    def stage(self, kind: type):
+        """The fitted stage of a kind, or None; the plan has at most one of each."""
+        return next((s for s in self.fitted.stages if isinstance(s, kind)), None)
+
     @property
     def regression(self) -> LogisticRegressionModel:
         return self.fitted.stages[-1]
@@ -165,31 +185,76 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
     The fit reads its input a few times: slot counts, text categories, moments, and the
     regression's own read, which caches what it iterates over. Over a columnar table those
     reads are cheap; over messages that must be parsed, ``keep_in_memory`` holds the pruned
-    columns.
+    columns. A training set of at most SPREAD_ROWS rows may come from too few file splits
+    to occupy the cores, so it is dealt out evenly and held; a larger one stays as it lies.
     """
     rows = model_columns(labelled_rows(cleaned, spec), spec, [LABEL])
-    if keep_in_memory:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK) if keep_in_memory else None
     try:
-        return RiskModel(spec, Pipeline(stages=stages(spec)).fit(with_slot_counts(rows, spec)))
+        rows, n = with_slot_counts(rows, spec)
+        if held is None and n <= SPREAD_ROWS:
+            held = rows = rows.repartition(_even_parts(rows, n)).persist(StorageLevel.MEMORY_AND_DISK)
+        return RiskModel(spec, Pipeline(stages=stages(spec)).fit(rows))
     finally:
-        if keep_in_memory:
-            rows.unpersist()
+        if held is not None:
+            held.unpersist()
+
+
+def _even_parts(rows: DataFrame, n: int) -> int:
+    """One part per core, but no part of fewer than a thousand rows."""
+    return max(1, min(rows.sparkSession.sparkContext.defaultParallelism, n // 1000))
 
 
 def score(cleaned: DataFrame, model: RiskModel, keep: Sequence[str] | None = None) -> DataFrame:
     """``keep`` columns, ``p_positive``, ``p_negative`` and ``prediction`` (the likelier
-    label). Rows the model cannot take are left to ``unscorable``."""
+    label). Rows the model cannot take are left to ``unscorable``.
+
+    A fitted model with up to LITERAL_SLOTS slots is applied as one column expression, which
+    stays inside generated code and builds no vectors; a wider one goes through its stages.
+    """
     spec = model.spec
     keep = list(keep if keep is not None else key_names(spec))
     rows = model_columns(cleaned, spec, keep)
-    positive = vector_element(F.col("probability"), 1)
-    return model.fitted.transform(rows).select(
-        *[F.col(f"`{c}`") for c in keep],
-        positive.alias("p_positive"),
-        (1.0 - positive).alias("p_negative"),
-        F.when(F.col("prediction") == 1.0, spec.positive_label).otherwise(spec.negative_label).alias("prediction"),
-    )
+    if model.regression.numFeatures <= LITERAL_SLOTS:
+        scored = rows.withColumn("p_positive", 1.0 / (1.0 + F.exp(-margin(model))))
+    else:
+        scored = model.fitted.transform(rows).withColumn("p_positive", vector_element(F.col("probability"), 1))
+    likelier = F.when(F.col("p_positive") > 0.5, spec.positive_label).otherwise(spec.negative_label)
+    return scored.select(
+        *[F.col(f"`{c}`") for c in keep], "p_positive", (1.0 - F.col("p_positive")).alias("p_negative"), likelier.alias("prediction"))
+
+
+def margin(model: RiskModel) -> Column:
+    """Intercept plus weight times feature, over the columns of ``model_columns``: a category
+    looks its slot's weight up in a literal array, and the standard scores are folded into
+    the weights."""
+    spec, fit = model.spec, model.regression
+    weights, intercept = np.array(fit.coefficients.toArray()), float(fit.intercept)
+    scaler = model.stage(StandardScalerModel)
+    if scaler is not None:
+        scaled = weights if spec.standardise == "all" else weights[len(weights) - len(spec.numeric):]
+        spread = scaler.std.toArray()
+        scaled /= np.where(spread == 0.0, np.inf, spread)  # a constant feature scales to 0
+        intercept -= float(scaled @ scaler.mean.toArray())
+
+    terms, first = [F.lit(intercept)], 0
+    categories = [*spec.categorical, *spec.text_categorical]
+    encoder, indexer, imputer = model.stage(OneHotEncoderModel), model.stage(StringIndexerModel), model.stage(ImputerModel)
+    labels = dict(zip(spec.text_categorical, indexer.labelsArray if indexer else []))
+    for c, size in zip(categories, encoder.categorySizes if encoder else []):
+        block = [float(w) for w in weights[first:first + size]]
+        if c in labels:
+            pairs = [F.lit(v) for label, w in zip(labels[c], block) for v in (label, w)]
+            terms.append(F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(f"`{c}_text`")), F.lit(block[-1])))
+        else:
+            weight = F.get(F.array(*[F.lit(w) for w in block]), F.col(f"`{_slot(c)}`").cast("int"))
+            terms.append(F.coalesce(weight, F.lit(0.0)))
+        first += size
+    means = imputer.surrogateDF.head().asDict() if imputer else {}
+    for name, w in zip(_num(spec), weights[first:]):
+        number = F.col(f"`{name}`")
+        terms.append(F.lit(float(w)) * (F.coalesce(number, F.lit(means[name])) if imputer else number))
+    return reduce(lambda a, b: a + b, terms)
 
 
 def unscorable(cleaned: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -220,7 +285,7 @@ def feature_names(model: RiskModel) -> list[str]:
     """Names of the vector positions, in the order the stages assemble them."""
     spec = model.spec
     names: list[str] = []
-    encoder = next((s for s in model.fitted.stages if hasattr(s, "categorySizes")), None)
+    encoder = model.stage(OneHotEncoderModel)
     categories = [*spec.categorical, *spec.text_categorical]
     for c, size in zip(categories, encoder.categorySizes if encoder else []):
         first = -1 if c in spec.categorical else 0

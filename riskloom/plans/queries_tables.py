@@ -340,20 +340,23 @@ def roc_auc(spark, sf):
     return metrics.roc_auc(_judged(spark, sf), "l_extendedprice").withColumn("auc", F.round("auc", 8))
 
 
-def _encoded(spark, sf):
-    slots = read_table(spark, sf, "lineitem").withColumns({
+def _slots(spark, sf):
+    return read_table(spark, sf, "lineitem").withColumns({
         "number_slot": category_slot(F.nullif("l_linenumber", F.lit(3))),
         "supplier_slot": category_slot(F.col("l_suppkey"))})
-    encoder = OneHotEncoder(inputCols=["number_slot", "supplier_slot"], outputCols=["number_vec", "supplier_vec"], handleInvalid="keep")
-    return encoder.fit(slots).transform(slots)
+
+
+def _encoder(slots):
+    return OneHotEncoder(inputCols=["number_slot", "supplier_slot"], outputCols=["number_vec", "supplier_vec"], handleInvalid="keep").fit(slots)
 
 
 @query("one_hot", """
 SELECT l_orderkey, l_linenumber, 'number_vec' AS feature, CASE WHEN l_linenumber = 3 THEN 0 ELSE l_linenumber + 1 END AS slot FROM lineitem
 UNION ALL SELECT l_orderkey, l_linenumber, 'supplier_vec', l_suppkey + 1 FROM lineitem""")
 def one_hot(spark, sf):
-    found = features.active_slots(_encoded(spark, sf), ["l_orderkey", "l_linenumber"], ["number_vec", "supplier_vec"])
-    return found.withColumn("slot", F.col("slot").cast("long"))
+    slots = _slots(spark, sf)
+    blocks = {"number_vec": "number_slot", "supplier_vec": "supplier_slot"}
+    return features.active_slots(slots, ["l_orderkey", "l_linenumber"], blocks, _encoder(slots).categorySizes)
 
 
 def _assembled(spark, sf):
@@ -371,7 +374,8 @@ def assemble_features(spark, sf):
 @query("feature_width", "SELECT CAST(max(l_suppkey) + 2 + max(l_linenumber) + 2 + 4 AS BIGINT) AS width FROM lineitem")
 def feature_width(spark, sf):
     columns = ["number_vec", "supplier_vec", *_RANKED]
-    encoded = VectorAssembler(inputCols=columns, outputCol="features").transform(_encoded(spark, sf))
+    slots = _slots(spark, sf)
+    encoded = VectorAssembler(inputCols=columns, outputCol="features").transform(_encoder(slots).transform(slots))
     return spark.createDataFrame([(features.feature_width(encoded, "features"),)], "width bigint")
 
 

@@ -134,6 +134,22 @@ def test_both_standardisations_agree(spark):
     assert all(r["d"] == pytest.approx(1.0) or r["d"] == 0.0 for r in moments) and len(moments) == len(names)
 
 
+@pytest.mark.parametrize("spec", [SMALL, replace(SMALL, standardise="all"), replace(SMALL, bad_numeric="impute"),
+                                  replace(SMALL, numeric=()), replace(SMALL, categorical=(), text_categorical=())])
+def test_expression_and_stages_score_alike(spark, monkeypatch, spec):
+    df = small(spark)
+    model = pipeline.train(df, spec)
+    odd = [(900, 3, "zz", 2.0, 3.0), (901, 99, "a", 5.0, 3.0), (902, None, None, 1.0, 3.5), (903, -2, "b", None, 3.0)]
+    rows = df.drop("y").unionByName(spark.createDataFrame(odd, "id long, c int, t string, x double, flat double"))
+    by_expression = {r["id"]: r for r in pipeline.score(rows, model).collect()}
+    monkeypatch.setattr(pipeline, "LITERAL_SLOTS", -1)
+    by_stages = {r["id"]: r for r in pipeline.score(rows, model).collect()}
+    assert by_expression.keys() == by_stages.keys() and len(by_stages) >= 403
+    for k, r in by_stages.items():
+        assert by_expression[k]["p_positive"] == pytest.approx(r["p_positive"], abs=1e-12)
+        assert by_expression[k]["prediction"] == r["prediction"]
+
+
 def test_imputation_scores_every_row(spark):
     holes = small(spark).withColumn("x", F.when(F.col("id") % 5 == 0, F.lit(None)).when(F.col("id") % 7 == 0, float("nan")).otherwise(F.col("x")))
     _, p = probabilities(spark, holes, replace(SMALL, bad_numeric="impute"))

@@ -200,10 +200,14 @@ def test_slots_and_widths(spark):
         "a", "b", category_slot(F.col("a")).alias("a_slot"), category_slot(F.col("b")).alias("b_slot"))
     fit = OneHotEncoder(inputCols=["a_slot", "b_slot"], outputCols=["a_vec", "b_vec"], handleInvalid="keep").fit(df)
     assert fit.categorySizes == [5, 4]
-    slots = {(r["a"], r["feature"], r["slot"]) for r in features.active_slots(fit.transform(df), ["a"], ["a_vec", "b_vec"]).collect()}
+    slots = {(r["a"], r["feature"], r["slot"]) for r in features.active_slots(df, ["a"], {"a_vec": "a_slot", "b_vec": "b_slot"}, fit.categorySizes).collect()}
     assert slots == {(0, "a_vec", 1), (0, "b_vec", 3), (3, "a_vec", 4), (3, "b_vec", 0), (1, "a_vec", 2), (1, "b_vec", 0)}
+    vectors = {(r["a"], f, int(r[f].indices[0])) for r in fit.transform(df).collect() for f in ("a_vec", "b_vec")}
+    assert slots == vectors
     unseen = spark.createDataFrame([(9.0, 0.0)], "a_slot double, b_slot double")
     assert sum(vec[0] for vec in [fit.transform(unseen).select(F.aggregate(vector_to_array("a_vec"), F.lit(0.0), lambda s, v: s + v)).head()]) == 0
+    shown = features.active_slots(unseen, [], {"a_vec": "a_slot", "b_vec": "b_slot"}, fit.categorySizes)
+    assert [tuple(r) for r in shown.collect()] == [("b_vec", 0)]
     both = VectorAssembler(inputCols=["a_vec", "b_vec"], outputCol="f").transform(fit.transform(df))
     assert features.feature_width(both, "f") == 9
 
