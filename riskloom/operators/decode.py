@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.functions.casts import lenient_double, lenient_int, missing_to_null, strip
+from riskloom.spec import FeatureSpec
 
 _CORRUPT = "_corrupt"
 MALFORMED = "malformed"
@@ -56,6 +57,16 @@ def decode_messages(
     )
 
 
+def decode_records(
+    envelope: DataFrame, spec: FeatureSpec, with_keys: bool = True, keep: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """The readable records of a batch or stream of messages, typed as the spec says, and
+    the quarantine. Base records come without the key fields."""
+    fields = [*(spec.keys if with_keys else ()), *spec.record_fields, spec.target]
+    decoded = decode_messages(envelope, fields, spec.integer_fields, spec.double_fields, keep)
+    return well_formed(decoded), malformed(decoded, keep)
+
+
 def well_formed(decoded: DataFrame) -> DataFrame:
     return decoded.filter(~F.col(MALFORMED)).drop(MALFORMED, "malformed_text")
 

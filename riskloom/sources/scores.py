@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.casts import strip
+from riskloom.session import materialise
 
 KEY_BUCKETS = 64
 
@@ -54,20 +55,32 @@ def lookup(scores: DataFrame, key: str, wanted: str, buckets: int = KEY_BUCKETS)
     return found
 
 
+def _distinct_keys(table: DataFrame, column: str, name: str) -> DataFrame:
+    """The distinct keys as a written table. Spark then knows its size, and broadcasts it
+    only when small; a join that shuffles reads it straight from its own exchange, which is
+    what lets Spark split a hot key on the other side."""
+    return materialise(table.select(F.col(column).alias(name)).distinct(), "keys")
+
+
 def lookup_many(scores: DataFrame, keys: DataFrame, key: str, wanted: str) -> DataFrame:
     """Every score whose ``key`` occurs in column ``wanted`` of ``keys``."""
-    chosen = keys.select(F.col(wanted).alias(key)).distinct()
-    return scores.join(chosen, key, "left_semi")
+    return scores.join(_distinct_keys(keys, wanted, key), key, "left_semi")
+
+
+def _order(columns: Sequence[str]) -> Column:
+    """One column is compared as it is, which lets Spark aggregate by hash; several as a
+    struct, for which it sorts within each task."""
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
 def latest_per_key(scores: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
     """The newest score per key. ``order`` should end in a unique column, so that there is
     one answer; only one candidate per key and task reaches the shuffle."""
-    return scores.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(value))
+    return scores.groupBy(key).agg(F.max_by(value, _order(order)).alias(value))
 
 
 def first_per_key(scores: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
-    return scores.groupBy(key).agg(F.min_by(value, F.struct(*order)).alias(value))
+    return scores.groupBy(key).agg(F.min_by(value, _order(order)).alias(value))
 
 
 def attach_scores(identities: DataFrame, scores: DataFrame, key: str, score_key: str) -> DataFrame:
@@ -77,5 +90,4 @@ def attach_scores(identities: DataFrame, scores: DataFrame, key: str, score_key:
 
 def unscored(rows: DataFrame, scores: DataFrame, key: str, score_key: str) -> DataFrame:
     """The rows whose key has no score yet."""
-    done = scores.select(F.col(score_key).alias(key)).distinct()
-    return rows.join(done, key, "left_anti")
+    return rows.join(_distinct_keys(scores, score_key, key), key, "left_anti")

@@ -1,4 +1,4 @@
-"""Continuous decoding, routing, scoring and retraining.
+"""Continuous routing, scoring and retraining. Decoding is ``operators.decode``, as in batch.
 
 Each flow takes a streaming DataFrame and returns one, or a writer to start; checkpoints
 make every message count once across restarts.
@@ -15,7 +15,6 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskloom.functions.labels import is_labelled
-from riskloom.operators.decode import decode_messages, malformed, well_formed
 from riskloom.operators.shape import append_by_name
 from riskloom.plans.jobs import high_water, latest_version, registry, train_version
 from riskloom.plans.pipeline import RiskModel, clean, score
@@ -24,13 +23,6 @@ from riskloom.sources.scores import latest_per_key
 from riskloom.spec import FeatureSpec
 
 
-def decode_stream(envelope: DataFrame, spec: FeatureSpec, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """The readable records of a message stream, and its quarantine."""
-    fields = [*spec.keys, *spec.record_fields, spec.target]
-    decoded = decode_messages(envelope, fields, spec.integer_fields, spec.double_fields, keep)
-    return well_formed(decoded), malformed(decoded, keep)
-
-
 def score_stream(records: DataFrame, model: RiskModel, keep: Sequence[str] | None = None) -> DataFrame:
     return score(clean(records, model.spec), model, keep)
 

@@ -26,7 +26,7 @@ def test_lenient_int_table(spark):
     assert applied(one_column(spark, texts), lenient_int(F.col("v"))) == list(expected)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="0123456789+-. e\t", max_size=12), min_size=1, max_size=60))
 def test_lenient_casts_equal_the_non_ansi_cast(spark, texts):
     df = one_column(spark, texts)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from riskloom.operators.quality import null_audit
 from riskloom.plans import jobs, pipeline
 from riskloom.plans.students import (
-    FORM_LISTS, IDENTITY_FIELDS, SCORE_FIELDS, STUDENT_SPEC, TOPIC_BASE, TOPIC_SCORES, form_to_records, risk_scores,
+    FORM_LISTS, IDENTITY_FIELDS, SCORE_FIELDS, STUDENT_SPEC, TOPIC_BASE, TOPIC_LABELLED, TOPIC_SCORES, TOPIC_UNLABELLED, form_to_records, risk_scores,
 )
-from riskloom.operators.decode import decode_messages, well_formed
+from riskloom.operators.decode import decode_messages, decode_records, well_formed
 from riskloom.sources import scores
-from riskloom.sources.messages import FileTransport, encode_rows
+from riskloom.sources.messages import FileTransport, encode_rows, route_by_target
 from riskloom.spec import FeatureSpec
 from tests.students import FIELDS, frame, students
 
@@ -245,3 +245,32 @@ def test_form_answers_become_records(spark):
     assert row["Debtor"] == "0" and row["Gender"] == "0" and row["Student ID"] == "5"
     assert row["Nacionality"] == "Portugal" and row["International"] == "0"
     assert len(FORM_LISTS) == 13 and IDENTITY_FIELDS[0] in row.asDict()
+
+
+def test_whole_lifecycle(spark, tmp_path):
+    """Publish, train, upload, retrain, score what is new, publish scores, look one up."""
+    transport, root = FileTransport(str(tmp_path / "topics")), str(tmp_path / "models")
+    no_identity = [f for f in FIELDS if f not in IDENTITY_FIELDS]
+    transport.write(encode_rows(frame(spark, students(300)), TOPIC_BASE, no_identity))
+    base, _ = decode_records(transport.read(spark, [TOPIC_BASE]), STUDENT_SPEC, with_keys=False)
+    assert base.columns == no_identity
+    jobs.train_initial(base, STUDENT_SPEC, root, keep_in_memory=True)
+
+    upload = students(30, seed=3, first=500) + students(20, seed=4, labelled=False, first=600)
+    routed = route_by_target(frame(spark, upload), "Target", TOPIC_LABELLED, TOPIC_UNLABELLED)
+    transport.write(encode_rows(routed, F.col("topic"), FIELDS))
+    labelled, bad = decode_records(transport.read(spark, [TOPIC_LABELLED]), STUDENT_SPEC, keep=["offset"])
+    assert labelled.count() == 30 and bad.isEmpty()
+    assert jobs.retrain_if_new(base, labelled, STUDENT_SPEC, root, "offset", keep_in_memory=True) is not None
+    assert jobs.latest_version(spark, root)["n_labelled"] == 330
+
+    waiting, _ = decode_records(transport.read(spark, [TOPIC_UNLABELLED]), STUDENT_SPEC)
+    model, path = jobs.load_latest(spark, root), str(tmp_path / "scores")
+    first = risk_scores(jobs.score_new(waiting, model, None, "Student_ID"))
+    scores.write_scores(first, path, "student_id")
+    transport.write(scores.score_messages(first, {c: c for c in SCORE_FIELDS}, TOPIC_SCORES, "student_id"))
+    assert transport.read(spark, [TOPIC_SCORES]).count() == 20
+    again = jobs.score_new(waiting, model, scores.read_scores(spark, path), "Student_ID", "student_id")
+    assert again.isEmpty()
+    found = scores.lookup(scores.read_scores(spark, path), "student_id", " 10000605").head()
+    assert found["first_name"] == "First605" and 0.0 < found["dropout_probability"] < 1.0

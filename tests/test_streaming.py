@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.decode import decode_messages, well_formed
+from riskloom.operators.decode import decode_messages, decode_records, well_formed
 from riskloom.plans import jobs, pipeline
 from riskloom.plans.students import STUDENT_SPEC, TOPIC_BASE, TOPIC_LABELLED, TOPIC_UNLABELLED
 from riskloom.sources.messages import FileTransport, encode_rows
@@ -40,7 +40,7 @@ def test_scoring_stream_is_once_only_and_equals_batch(spark, model, tmp_path):
     FileTransport.write(transport, spark.createDataFrame([(bytearray(b"{oops"), TOPIC_UNLABELLED)], "value binary, topic string"))
 
     def start():
-        records, bad = flows.decode_stream(transport.read_stream(spark, [TOPIC_UNLABELLED]), STUDENT_SPEC)
+        records, bad = decode_records(transport.read_stream(spark, [TOPIC_UNLABELLED]), STUDENT_SPEC)
         run(files(bad, str(tmp_path / "bad"), str(tmp_path / "bad-checkpoint")))
         run(files(flows.score_stream(records, model), out, checkpoint))
 
@@ -75,7 +75,7 @@ def test_retrain_stream_gates_and_survives_replay(spark, tmp_path):
     base = decode_batch(encode_rows(frame(spark, students(300)), TOPIC_BASE)).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
 
     def start():
-        records, _ = flows.decode_stream(transport.read_stream(spark, [TOPIC_LABELLED]), STUDENT_SPEC, ["timestamp"])
+        records, _ = decode_records(transport.read_stream(spark, [TOPIC_LABELLED]), STUDENT_SPEC, keep=["timestamp"])
         return run(flows.retrain_writer(records, STUDENT_SPEC, root, base, "timestamp", checkpoint, min_new=10))
 
     def versions():
