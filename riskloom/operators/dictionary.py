@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
-
 
 def code_dictionary(spark: SparkSession, lists: Mapping[str, Sequence[str]], first_code: int = 1) -> DataFrame:
     """``(attribute, code, label)`` from ordered label lists; codes count from ``first_code``."""
@@ -17,40 +15,22 @@ def code_dictionary(spark: SparkSession, lists: Mapping[str, Sequence[str]], fir
     return spark.range(1).select(F.inline(F.array(*entries)))
 
 
-def _maybe_broadcast(dictionary: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast only a dictionary whose row count is known to be small."""
-    return F.broadcast(dictionary) if rows is not None and rows <= MAX_BROADCAST_ROWS else dictionary
-
-
-def attach_label(
-    df: DataFrame,
-    dictionary: DataFrame,
-    attribute: str,
-    code_column: str,
-    label_column: str,
-    dictionary_rows: int | None = None,
-) -> DataFrame:
-    """Add the label of ``code_column``; null for a code the dictionary does not hold.
-
-    Pass ``dictionary_rows`` when the size of the dictionary is known, so that a small one
-    is broadcast; otherwise Spark chooses from its own size statistics.
-    """
+def attach_label(df: DataFrame, dictionary: DataFrame, attribute: str, code_column: str, label_column: str) -> DataFrame:
+    """Add the label of ``code_column``; null for a code the dictionary does not hold. Spark
+    broadcasts the dictionary when its own size statistics show it to be small."""
     side = dictionary.filter(F.col("attribute") == attribute).select(
         F.col("code").alias("_code"), F.col("label").alias(label_column))
-    side = _maybe_broadcast(side, dictionary_rows)
     return df.join(side, F.col(code_column) == F.col("_code"), "left").drop("_code")
 
 
-def unknown_codes(
-    df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str], dictionary_rows: int | None = None
-) -> DataFrame:
+def unknown_codes(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """``(attribute, code, n)`` for codes outside the dictionary. ``columns`` maps attribute
     to column. Codes are counted first, so only distinct codes reach the join."""
     attributes = [F.struct(F.lit(a).alias("attribute"), F.col(c).cast("long").alias("code"))
                   for a, c in columns.items()]
     counted = df.select(F.inline(F.array(*attributes))).groupBy("attribute", "code").agg(F.count("*").alias("n"))
     known = dictionary.select("attribute", F.col("code").cast("long").alias("code"))
-    return counted.join(_maybe_broadcast(known, dictionary_rows), ["attribute", "code"], "left_anti")
+    return counted.join(known, ["attribute", "code"], "left_anti")
 
 
 def encode_labels(df: DataFrame, lists: Mapping[str, Sequence[str]], first_code: int = 1, other: int = 0) -> DataFrame:

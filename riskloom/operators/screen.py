@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegralType
 
 from riskloom.functions.casts import usable_numbers
 from riskloom.functions.chi_square import chi_square_tail
@@ -27,6 +28,18 @@ def _labels(df: DataFrame, label: str) -> list:
     return sorted(row[0] for row in found)
 
 
+def _cell(df: DataFrame, position: int, feature: str) -> Column:
+    """One category of one feature, in the column of its kind: counting whole numbers and
+    reals as they are spares a conversion to text for every row."""
+    kind = df.schema[feature].dataType
+    value = F.col(feature)
+    whole = value.cast("long") if isinstance(kind, (IntegralType, BooleanType)) else F.lit(None).cast("long")
+    real = value.cast("double") if isinstance(kind, (FloatType, DoubleType)) else F.lit(None).cast("double")
+    other = not isinstance(kind, (IntegralType, BooleanType, FloatType, DoubleType))
+    text = value.cast("string") if other else F.lit(None).cast("string")
+    return F.struct(F.lit(position).alias("_feature"), whole.alias("_whole"), real.alias("_real"), text.alias("_text"))
+
+
 def contingency(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:
     """One row per (variable, category) with a count per label in ``n_0``, ``n_1``, ...
 
@@ -35,11 +48,15 @@ def contingency(df: DataFrame, features: Sequence[str], label: str, labels: Sequ
     """
     labels = list(labels) if labels is not None else _labels(df, label)
     position = F.coalesce(*[F.when(F.col(label) == v, F.lit(i)) for i, v in enumerate(labels)])
-    cells = F.array(*[F.struct(F.lit(f).alias("variable"), F.col(f).cast("string").alias("category")) for f in features])
-    long = df.select(position.alias("_label"), F.inline(cells)).filter(
-        F.col("_label").isNotNull() & F.col("category").isNotNull())
-    return long.groupBy("variable", "category").agg(
-        *[F.count_if(F.col("_label") == i).alias(f"n_{i}") for i in range(len(labels))])
+    cells = F.array(*[_cell(df, i, f) for i, f in enumerate(features)])
+    category = F.coalesce(F.col("_text"), F.col("_whole").cast("string"), F.col("_real").cast("string"))
+    filled = F.col("_text").isNotNull() | F.col("_whole").isNotNull() | F.col("_real").isNotNull()
+    counted = (df.select(position.alias("_label"), F.inline(cells)).filter(F.col("_label").isNotNull() & filled)
+               .groupBy("_feature", "_whole", "_real", "_text")
+               .agg(*[F.count_if(F.col("_label") == i).alias(f"n_{i}") for i in range(len(labels))]))
+    names = F.array(*[F.lit(f) for f in features])
+    return counted.select(F.get(names, F.col("_feature")).alias("variable"), category.alias("category"),
+                          *[f"n_{i}" for i in range(len(labels))])
 
 
 def chi_square_stat(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:

@@ -213,7 +213,7 @@ SELECT o_orderkey, CAST(left(o_orderpriority, 1) AS INTEGER) AS priority_code,
             WHEN '4' THEN 'NOT SPECIFIED' END AS priority FROM orders""")
 def code_dictionary_join(spark, sf):
     codes = dictionary.code_dictionary(spark, _PRIORITIES)
-    return dictionary.attach_label(_priority_codes(spark, sf), codes, "priority", "priority_code", "priority", dictionary_rows=4)
+    return dictionary.attach_label(_priority_codes(spark, sf), codes, "priority", "priority_code", "priority")
 
 
 @query("nation_dictionary_join", """
@@ -230,7 +230,7 @@ SELECT 'priority' AS attribute, CAST(left(o_orderpriority, 1) AS BIGINT) AS code
 FROM orders WHERE left(o_orderpriority, 1) = '5' GROUP BY 2""")
 def unknown_codes(spark, sf):
     codes = dictionary.code_dictionary(spark, _PRIORITIES)
-    return dictionary.unknown_codes(_priority_codes(spark, sf), codes, {"priority": "priority_code"}, dictionary_rows=4)
+    return dictionary.unknown_codes(_priority_codes(spark, sf), codes, {"priority": "priority_code"})
 
 
 @query("encode_labels", """

@@ -75,11 +75,10 @@ def test_dictionary(spark):
     codes = dictionary.code_dictionary(spark, {"k": ("one", "two"), "m": ("x",)})
     assert {tuple(r) for r in codes.collect()} == {("k", 1, "one"), ("k", 2, "two"), ("m", 1, "x")}
     df = spark.createDataFrame([(1, 1), (2, 9), (None, 9), (1, 2)], "k int, m int")
-    for rows in (3, None):
-        labelled = dictionary.attach_label(df, codes, "k", "k", "name", rows).collect()
-        assert sorted((r["k"] or 0, r["name"] or "") for r in labelled) == [(0, ""), (1, "one"), (1, "one"), (2, "two")]
-        unknown = {tuple(r) for r in dictionary.unknown_codes(df, codes, {"k": "k", "m": "m"}, rows).collect()}
-        assert unknown == {("k", None, 1), ("m", 9, 2), ("m", 2, 1)}
+    labelled = dictionary.attach_label(df, codes, "k", "k", "name").collect()
+    assert sorted((r["k"] or 0, r["name"] or "") for r in labelled) == [(0, ""), (1, "one"), (1, "one"), (2, "two")]
+    unknown = {tuple(r) for r in dictionary.unknown_codes(df, codes, {"k": "k", "m": "m"}).collect()}
+    assert unknown == {("k", None, 1), ("m", 9, 2), ("m", 2, 1)}
     coded = dictionary.encode_labels(spark.createDataFrame([("two",), ("?",), (None,)], "k string"), {"k": ("one", "two")})
     assert [r["k"] for r in coded.collect()] == [2, 0, 0]
 
@@ -144,6 +143,14 @@ def test_chi_square_equals_the_ml_test(spark):
     assert "a" in kept.columns and "y" in kept.columns
 
 
+def test_contingency_keeps_types_apart(spark):
+    rows = [(1, 2**60, 0.5, "x"), (1, 2**60 + 1, 0.5, "x"), (0, 2**60, -0.0, None), (0, None, 0.0, "y"), (None, 1, 9.0, "z")]
+    df = spark.createDataFrame(rows, "y int, big long, real double, word string")
+    cells = {(r["variable"], r["category"]): (r["n_0"], r["n_1"]) for r in screen.contingency(df, ["big", "real", "word"], "y").collect()}
+    assert cells == {("big", str(2**60)): (1, 1), ("big", str(2**60 + 1)): (0, 1), ("real", "0.5"): (0, 2), ("real", "0.0"): (2, 0),
+                     ("word", "x"): (0, 2), ("word", "y"): (1, 0)}
+
+
 def poisson_tail(x, dof):
     """Even degrees of freedom: the tail is a finite Poisson sum."""
     return sum(math.exp(-x / 2 + i * math.log(x / 2) - math.lgamma(i + 1)) for i in range(dof // 2))
