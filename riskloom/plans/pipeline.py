@@ -49,6 +49,7 @@ FEATURES = "features"
 LABEL = "label"
 SPREAD_ROWS = 5_000_000
 LITERAL_SLOTS = 5_000
+MAX_SLOTS = 1_000_000
 
 
 def clean(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -142,14 +143,18 @@ def with_slot_counts(rows: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, int
     also the number of rows.
 
     One aggregate over the bare columns finds both, and checks on the way that both classes
-    occur.
+    occur and that no category is so wide that its slots would swamp the driver.
     """
     found = rows.agg(
         *[F.max(f"`{_slot(c)}`").alias(_slot(c)) for c in spec.categorical],
+        *[F.approx_count_distinct(f"`{c}_text`").alias(_slot(c)) for c in spec.text_categorical],
         F.count_if(F.col(LABEL) == 1.0).alias("n_positive"), F.count_if(F.col(LABEL) == 0.0).alias("n_negative")).head()
     for label, n in ((spec.positive_label, found["n_positive"]), (spec.negative_label, found["n_negative"])):
         if n == 0:
             raise ValueError(f"no usable training row has label {label!r}")
+    for c in [*spec.categorical, *spec.text_categorical]:
+        if found[_slot(c)] > MAX_SLOTS:
+            raise ValueError(f"category {c!r} needs about {int(found[_slot(c)])} slots, more than {MAX_SLOTS}")
     noted = {_slot(c): {"ml_attr": {"type": "nominal", "num_vals": int(found[_slot(c)]) + 1}} for c in spec.categorical}
     named = [F.col(f"`{c}`").alias(c, metadata=noted[c]) if c in noted else F.col(f"`{c}`") for c in rows.columns]
     return rows.select(*named), found["n_positive"] + found["n_negative"]
@@ -283,11 +288,9 @@ def coefficients(model: RiskModel, spark: SparkSession) -> DataFrame:
 
 def feature_names(model: RiskModel) -> list[str]:
     """Names of the vector positions, in the order the stages assemble them."""
-    spec = model.spec
-    names: list[str] = []
-    encoder = model.stage(OneHotEncoderModel)
-    categories = [*spec.categorical, *spec.text_categorical]
-    for c, size in zip(categories, encoder.categorySizes if encoder else []):
-        first = -1 if c in spec.categorical else 0
-        names += [f"{c}={'unknown' if i + first < 0 else i + first}" for i in range(size)]
+    spec, encoder, indexer = model.spec, model.stage(OneHotEncoderModel), model.stage(StringIndexerModel)
+    sizes = list(encoder.categorySizes) if encoder else []
+    names = [f"{c}={slot - 1 if slot else UNKNOWN_TEXT}" for c, size in zip(spec.categorical, sizes) for slot in range(size)]
+    for c, labels in zip(spec.text_categorical, indexer.labelsArray if indexer else []):
+        names += [f"{c}={label}" for label in labels] + [f"{c}=(unseen)"]
     return names + list(spec.numeric)

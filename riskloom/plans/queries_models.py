@@ -68,6 +68,15 @@ def train_coefficients(spark, sf):
     return pipeline.coefficients(model, spark)
 
 
+@query("train_log_odds", _RATES + """
+SELECT 'o_orderpriority=' || o_orderpriority AS feature, round(ln(p / (1 - p)), 4) AS log_odds FROM rates""")
+def train_log_odds(spark, sf):
+    """Intercept plus weight of each category, which is that category's own log odds."""
+    _, model = rate_model(spark, sf)
+    weights = pipeline.coefficients(model, spark).filter((F.col("position") >= 0) & ~F.col("feature").endswith("(unseen)"))
+    return weights.select("feature", F.round(F.col("coefficient") + float(model.regression.intercept), 4).alias("log_odds"))
+
+
 @query("scored_lines")
 def scored_lines(spark, sf):
     lines, model = line_model(spark, sf)

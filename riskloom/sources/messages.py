@@ -56,7 +56,8 @@ class KafkaTransport:
 
 @dataclass(frozen=True)
 class FileTransport:
-    """Envelope columns as Parquet files, one folder per topic."""
+    """Envelope columns as Parquet files, one folder per topic. Offsets count within one
+    write; the timestamp tells one write from the next."""
 
     folder: str
 

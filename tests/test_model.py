@@ -126,7 +126,7 @@ def test_both_standardisations_agree(spark):
     dense, q = probabilities(spark, df, replace(SMALL, standardise="all"))
     assert max(abs(p[k] - q[k]) for k in p) < 1e-3
     names = pipeline.feature_names(sparse)
-    assert names == ["c=unknown", "c=0", "c=1", "c=2", "c=3", "t=0", "t=1", "t=2", "t=3", "x", "flat"]
+    assert names == ["c=(unknown)", "c=0", "c=1", "c=2", "c=3", "t=(unknown)", "t=a", "t=b", "t=(unseen)", "x", "flat"]
     assert pipeline.coefficients(sparse, spark).count() == len(names) + 1
     rows = dense.fitted.transform(pipeline.model_columns(df, SMALL, ["id"])).select(vector_to_array("features").alias("f"))
     moments = rows.select(F.posexplode("f")).groupBy("pos").agg(F.avg("col").alias("m"), F.stddev_samp("col").alias("d")).collect()
@@ -165,6 +165,14 @@ def test_training_needs_both_classes(spark):
         pipeline.train(small(spark).limit(0), SMALL)
 
 
+def test_too_wide_a_category_is_refused(spark, monkeypatch):
+    with pytest.raises(ValueError, match="'c' needs about 70000004 slots"):
+        pipeline.train(small(spark).withColumn("c", F.col("c") + 70_000_000), SMALL)
+    monkeypatch.setattr(pipeline, "MAX_SLOTS", 8)
+    with pytest.raises(ValueError, match="'t' needs about"):
+        pipeline.train(small(spark).withColumn("t", F.col("id").cast("string")), SMALL)
+
+
 def test_evaluate(spark):
     df = small(spark)
     per_label, area = pipeline.evaluate(df, pipeline.train(df, SMALL))
@@ -259,9 +267,9 @@ def test_whole_lifecycle(spark, tmp_path):
     upload = students(30, seed=3, first=500) + students(20, seed=4, labelled=False, first=600)
     routed = route_by_target(frame(spark, upload), "Target", TOPIC_LABELLED, TOPIC_UNLABELLED)
     transport.write(encode_rows(routed, F.col("topic"), FIELDS))
-    labelled, bad = decode_records(transport.read(spark, [TOPIC_LABELLED]), STUDENT_SPEC, keep=["offset"])
+    labelled, bad = decode_records(transport.read(spark, [TOPIC_LABELLED]), STUDENT_SPEC, keep=["timestamp"])
     assert labelled.count() == 30 and bad.isEmpty()
-    assert jobs.retrain_if_new(base, labelled, STUDENT_SPEC, root, "offset", keep_in_memory=True) is not None
+    assert jobs.retrain_if_new(base, labelled, STUDENT_SPEC, root, "timestamp", keep_in_memory=True) is not None
     assert jobs.latest_version(spark, root)["n_labelled"] == 330
 
     waiting, _ = decode_records(transport.read(spark, [TOPIC_UNLABELLED]), STUDENT_SPEC)
