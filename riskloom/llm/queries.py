@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.llm.jaccard_tree import jaccard_components
+from riskloom.llm.repeats import repeated_spans
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,8 +19,16 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), shingle=4, percent=85)
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = repeated_spans(table(spark, folder, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op2_jaccard_join,
+    op4_suffix_dedup,
 )}
 
 ORACLES: dict[str, str] = {}
