@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.jaccard_tree import jaccard_components
+from riskloom.llm.mixing import mix
+from riskloom.llm.quality import fit, score
 from riskloom.llm.repeats import repeated_spans
 
 
@@ -26,9 +28,23 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_fair_queue_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).drop("copies")
+
+
+def op8_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = fit(docs, table(spark, folder, "labels").where(~held_out))
+    scored = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op2_jaccard_join,
     op4_suffix_dedup,
+    op6_fair_queue_mix,
+    op8_quality_discriminant,
 )}
 
 ORACLES: dict[str, str] = {}
