@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm import bpe
 from riskloom.llm.jaccard_tree import jaccard_components
 from riskloom.llm.mixing import mix
 from riskloom.llm.quality import fit, score
@@ -40,11 +42,20 @@ def op8_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    both = bpe.decode(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path), path)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op2_jaccard_join,
     op4_suffix_dedup,
     op6_fair_queue_mix,
     op8_quality_discriminant,
+    op9_forced_boundary_bpe,
 )}
 
 ORACLES: dict[str, str] = {}
