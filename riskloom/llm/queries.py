@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe
+from riskloom.llm import bpe, huffman
 from riskloom.llm.jaccard_tree import jaccard_components
 from riskloom.llm.mixing import mix
 from riskloom.llm.quality import fit, score
 from riskloom.llm.repeats import repeated_spans
+from riskloom.session import fresh_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,12 +51,19 @@ def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_huffman_ids(spark: SparkSession, folder: str) -> DataFrame:
+    store = fresh_path(spark, "token-ids")
+    huffman.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), store, end_id=1)
+    return huffman.read(spark, store).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op2_jaccard_join,
     op4_suffix_dedup,
     op6_fair_queue_mix,
     op8_quality_discriminant,
     op9_forced_boundary_bpe,
+    op10_huffman_ids,
 )}
 
 ORACLES: dict[str, str] = {}
