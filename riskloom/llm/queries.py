@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import bpe, huffman
+from riskloom.llm.fingerprints import edited_fingerprints
 from riskloom.llm.jaccard_tree import jaccard_components
 from riskloom.llm.mixing import mix
 from riskloom.llm.quality import fit, score
@@ -24,6 +25,10 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), shingle=4, percent=85)
 
 
+def op3_weighted_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = repeated_spans(table(spark, folder, "documents"), length=200)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -59,6 +64,7 @@ def op10_huffman_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op2_jaccard_join,
+    op3_weighted_fingerprints,
     op4_suffix_dedup,
     op6_fair_queue_mix,
     op8_quality_discriminant,
