@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import bpe, huffman
+from riskloom.llm.caps import near_duplicates
 from riskloom.llm.fingerprints import edited_fingerprints
 from riskloom.llm.jaccard_tree import jaccard_components
 from riskloom.llm.mixing import mix
@@ -40,6 +41,10 @@ def op6_fair_queue_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("copies")
 
 
+def op7_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op8_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op3_weighted_fingerprints,
     op4_suffix_dedup,
     op6_fair_queue_mix,
+    op7_cap_filters,
     op8_quality_discriminant,
     op9_forced_boundary_bpe,
     op10_huffman_ids,
