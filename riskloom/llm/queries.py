@@ -8,20 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, huffman
+from riskloom.llm import bpe, fixity, huffman, licences
 from riskloom.llm.caps import near_duplicates
 from riskloom.llm.fingerprints import edited_fingerprints
 from riskloom.llm.jaccard_tree import jaccard_components
 from riskloom.llm.mixing import mix
 from riskloom.llm.quality import fit, score
 from riskloom.llm.repeats import repeated_spans
-from riskloom.session import fresh_path
+from riskloom.session import fresh_path, materialise
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), shingle=4, percent=85)
 
@@ -37,6 +41,33 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Audit of a replica of the pages' archive in which records were altered and lost by rule:
+    of each 97 page ids, record 5 lost the first bracket of its page, and record 7 is not there."""
+    archive = materialise(fixity.volumes(table(spark, folder, "pages")), "warc-archive")
+    spoilt = F.when(F.col("id") % 97 == 5, F.regexp_replace("record", "\r\n\r\n<", "\r\n\r\n ")).otherwise(F.col("record"))
+    replica = archive.where("id % 97 != 7 or id is null").withColumn("record", spoilt)
+    return fixity.audit(fixity.leaves(archive), fixity.leaves(replica))
+
+
+OP5_SQL = """
+WITH records AS (
+  SELECT page_id // 1024 AS volume, page_id AS id, html,
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+    || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'Content-Type: text/html'
+    || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages),
+placed AS (
+  SELECT *, strlen(record) AS length,
+    coalesce(sum(strlen(record)) OVER (PARTITION BY volume ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM records)
+SELECT CAST(volume AS BIGINT) AS volume, CAST(start AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length, id,
+  CASE WHEN id % 97 = 7 THEN 'missing' ELSE 'altered' END AS state
+FROM placed WHERE id % 97 = 7 OR (id % 97 = 5 AND contains(record, chr(13) || chr(10) || chr(13) || chr(10) || '<'))
+"""
+
+
 def op6_fair_queue_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("copies")
 
@@ -68,9 +99,11 @@ def op10_huffman_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_licence_scan,
     op2_jaccard_join,
     op3_weighted_fingerprints,
     op4_suffix_dedup,
+    op5_merkle_audit,
     op6_fair_queue_mix,
     op7_cap_filters,
     op8_quality_discriminant,
@@ -78,4 +111,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op10_huffman_ids,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_licence_scan": licences.SQL, "op5_merkle_audit": OP5_SQL}
