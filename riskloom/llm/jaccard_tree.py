@@ -32,6 +32,7 @@ from riskloom.session import materialise
 FAMILY_ROWS = 4096
 FAMILY_TOKENS = 1 << 21
 LEAF = 8
+MOST_BITS = 1 << 14
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -131,20 +132,27 @@ def region_keys(tokens: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[n
     return keys, np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(sizes)))])
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """The set's token bitmap: two bits or more per token, up to ``MOST_BITS`` in all."""
+    size = 64
+    while size < min(2 * len(tokens), MOST_BITS):
+        size *= 2
+    bits = np.zeros(size, bool)
+    bits[(tokens & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of one width, the smallest: halves of a larger one are OR-combined."""
+    width = min(map(len, maps)) // 8
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, width), axis=0) for m in maps])
+
+
 class SignatureTree:
-    """A tree over sets in a given order: bitmaps of ``bits`` bits, leaves of ``LEAF`` sets, each
-    level above joining ``LEAF`` nodes."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        n = np.array([len(s) for s in sets], np.int64)
-        self.bits = 64
-        while self.bits < min(2 * int(n.max()), 1 << 14):
-            self.bits *= 2
-        words = self.bits // 64
-        maps = np.zeros((len(sets), words), np.uint64)
-        bit = np.concatenate(sets) & np.uint64(self.bits - 1)
-        np.bitwise_or.at(maps, (np.repeat(np.arange(len(sets)), n), (bit >> np.uint64(6)).astype(np.int64)),
-                         np.uint64(1) << (bit & np.uint64(63)))
+    """A tree over sets in a given order, from their bitmaps and sizes: leaves of ``LEAF`` sets,
+    each level above joining ``LEAF`` nodes."""
+
+    def __init__(self, maps: np.ndarray, n: np.ndarray):
         #: per level from the sets up: bitmap, least size, largest size, most tokens beyond the set bits
         self.levels = [(maps, n, n, n - np.bitwise_count(maps).sum(1).astype(np.int64))]
         while len(self.levels[-1][0]) > 1:
@@ -180,40 +188,82 @@ class SignatureTree:
         return i, j
 
 
-def family_links(sets: list[np.ndarray], sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between ``sets``; with ``sides``, only links across sides."""
-    if len(sets) < 2:
-        return []
-    order = sorted(range(len(sets)), key=lambda i: (sets[i][0], len(sets[i])) if len(sets[i]) else (0, 0))
-    sets = [sets[i] for i in order]
-    side = None if sides is None else sides[order]
-    tree = SignatureTree(sets)
-    root = list(range(len(sets)))
+class Forest:
+    """Which members of a group are connected so far."""
+
+    def __init__(self, n: int):
+        self.root = list(range(n))
 
-    def find(i: int) -> int:
+    def find(self, i: int) -> int:
+        root = self.root
         while root[i] != i:
             root[i] = root[root[i]]
             i = root[i]
         return i
 
-    links = []
+    def join(self, i: int, j: int) -> None:
+        self.root[self.find(j)] = self.find(i)
+
+
+def traverse(tree: SignatureTree, forest: Forest, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of sets that the dual traversal leaves over and that are not connected by then."""
+    n = len(tree.levels[0][0])
     i, j = tree.leaf_pairs(percent)
     nearest = np.argsort(j - i, kind="stable")
     for a, b in zip(i[nearest].tolist(), j[nearest].tolist(), strict=True):
-        left, right = range(a * LEAF, min(a * LEAF + LEAF, len(sets))), range(b * LEAF, min(b * LEAF + LEAF, len(sets)))
-        if len({find(x) for x in left} | {find(y) for y in right}) == 1:
+        left, right = range(a * LEAF, min(a * LEAF + LEAF, n)), range(b * LEAF, min(b * LEAF + LEAF, n))
+        if len({forest.find(x) for x in left} | {forest.find(y) for y in right}) == 1:
             continue
         x, y = np.array([(p, q) for p in left for q in right if p < q], np.int64).reshape(-1, 2).T
         ok = tree.alive(0, x, y, percent)
         for p, q in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
-            if (side is not None and side[p] == side[q]) or find(p) == find(q):
+            if forest.find(p) != forest.find(q):
+                yield p, q
+
+
+def possible_links(maps: list[bytes], sizes: list[int], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that can be links by size and bitmap."""
+    n, links = len(maps), []
+    forest = Forest(n)
+    if n > 4 * LEAF:
+        order = sorted(range(n), key=lambda i: (sizes[i], maps[i]))
+        tree = SignatureTree(folded([maps[i] for i in order]), np.array([sizes[i] for i in order], np.int64))
+        for p, q in traverse(tree, forest, percent):
+            forest.join(p, q)
+            links.append((order[p], order[q]))
+        return links
+    width = min(map(len, maps))
+    bits = [int.from_bytes(m if len(m) == width else folded([m, bytes(width)])[0].tobytes(), "little") for m in maps]
+    for p in range(n):
+        for q in range(p + 1, n):
+            x, y = sizes[p], sizes[q]
+            if 100 * min(x, y) < percent * max(x, y) or forest.find(p) == forest.find(q):
                 continue
-            small, large = (sets[p], sets[q]) if len(sets[p]) <= len(sets[q]) else (sets[q], sets[p])
-            at = np.searchsorted(large, small)
-            common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            if 100 * common >= percent * (len(small) + len(large) - common):
-                root[find(q)] = find(p)
-                links.append((order[p], order[q]))
+            common = min(x - (bits[p] & ~bits[q]).bit_count(), y - (bits[q] & ~bits[p]).bit_count())
+            if (100 + percent) * common >= percent * (x + y):
+                forest.join(p, q)
+                links.append((p, q))
+    return links
+
+
+def family_links(sets: list[np.ndarray], sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between ``sets``; with ``sides``, only links across sides."""
+    if len(sets) < 2:
+        return []
+    order = sorted(range(len(sets)), key=lambda i: (sets[i][0], len(sets[i])) if len(sets[i]) else (0, 0))
+    sets = [sets[i] for i in order]
+    side = None if sides is None else sides[order]
+    tree = SignatureTree(folded([bitmap(s) for s in sets]), np.array([len(s) for s in sets], np.int64))
+    forest, links = Forest(len(sets)), []
+    for p, q in traverse(tree, forest, percent):
+        if side is not None and side[p] == side[q]:
+            continue
+        small, large = (sets[p], sets[q]) if len(sets[p]) <= len(sets[q]) else (sets[q], sets[p])
+        at = np.searchsorted(large, small)
+        common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+        if 100 * common >= percent * (len(small) + len(large) - common):
+            forest.join(p, q)
+            links.append((order[p], order[q]))
     return links
 
 
@@ -245,17 +295,52 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
                         fresh[i] = True
                 counts = np.where(fresh, np.diff(at), 0)
                 keys = keys[np.repeat(fresh, np.diff(at))]
+                cuts = bounds.tolist()
+                maps = [bitmap(tokens[x:y]) if f else None for x, y, f in zip(cuts[:-1], cuts[1:], (counts > 0).tolist(), strict=True)]
                 at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(np.diff(bounds)), pa.array(sids), pa.ListArray.from_arrays(pa.array(at), pa.array(keys))],
-                    names=["id", "n", "sid", "keys"])
+                    [ids.slice(a, b - a), pa.array(np.diff(bounds)), pa.array(sids), pa.ListArray.from_arrays(pa.array(at), pa.array(keys)),
+                     pa.array(maps, pa.binary())],
+                    names=["id", "n", "sid", "keys", "bits"])
+
+    profiles = materialise(source.mapInArrow(profile, "id long, n long, sid long, keys array<long>, bits binary"), "jaccard-profiles")
 
-    profiles = materialise(source.mapInArrow(profile, "id long, n long, sid long, keys array<long>"), "jaccard-profiles")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
 
+        def close() -> Iterator[pa.RecordBatch]:
+            if len(held) > 1:
+                ids, (sizes, maps) = list(held), zip(*held.values(), strict=True)
+                found = possible_links(list(maps), list(sizes), percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[p] for p, _ in found]), pa.array([ids[q] for _, q in found])], names=["a", "b"])
+
+        for batch in batches:
+            over: list[tuple[int, int]] = []
+            for k, sid, n, bits in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if k != key:
+                    yield from close()
+                    key, held, first = k, {}, sid
+                if sid in held or bits is None:
+                    continue
+                if len(held) < family_rows:
+                    held[sid] = (n, bits)
+                else:  # a key beyond what a task holds: possible as far as known here
+                    over.append((first, sid))
+            if over:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in over]), pa.array([b for _, b in over])], names=["a", "b"])
+        yield from close()
+
+    # Keys of one set only go at once; what is left is small, and takes sizes and bitmaps along.
     shared = Window.partitionBy("key")
-    meets = (profiles.select(F.explode("keys").alias("key"), "sid")
-             .select("sid", F.min("sid").over(shared).alias("first"), F.max("sid").over(shared).alias("last"))
-             .where("first < last and sid != first").select("sid", "first"))
+    postings = (profiles.select(F.explode("keys").alias("key"), "sid")
+                .select("key", "sid", F.min("sid").over(shared).alias("first"), F.max("sid").over(shared).alias("last"))
+                .where("first < last").select("key", "sid"))
+    maps = profiles.where("bits is not null").groupBy("sid").agg(F.min("id").alias("id"), F.min("n").alias("n")).join(
+        profiles.where("bits is not null").select("id", "sid", "bits").withColumnRenamed("sid", "of"), "id").where("sid = of").select("sid", "n", "bits")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    meets = postings.join(maps, "sid").select("key", "sid", "n", "bits").repartition(width, "key").sortWithinPartitions("key", "sid").mapInArrow(
+        meet, "a long, b long")
     families = components(meets, "jaccard-families").select(F.col("node").alias("sid"), F.col("component").alias("family"))
     first = profiles.where("n > 0 and id is not null").groupBy("sid").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     members = materialise(families.join(first, "sid"), "jaccard-members")
@@ -284,39 +369,36 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     tasks = placed.where("large is null").select("sid", "id", F.col("family").alias("task"), F.lit(0).alias("side"), F.lit(True).alias("alone"))
     tasks = tasks.unionByName(placed.where("large").join(sides, ["family", "band", "part"]).select("sid", "id", "task", "side", "alone"))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, raw, offsets in texts.chunks(batch.column(1)):
-                tokens, bounds = shingle_sets(raw, offsets, shingle)
-                yield pa.RecordBatch.from_arrays([pa.array(set_ids(tokens, bounds)), texts.packed(tokens, bounds)], names=["sid", "tokens"])
-
-    needed = members.select("id", F.col("sid").alias("wanted"))
-    taken = source.join(needed, "id").select("wanted", "text").mapInArrow(sets, "sid long, tokens binary")
-    stored = materialise(taken.dropDuplicates(["sid"]), "jaccard-sets")
-
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, ids, held, side, alone = None, [], [], [], True
 
-        def close() -> pa.RecordBatch | None:
+        def close() -> Iterator[pa.RecordBatch]:
             found = family_links(held, None if alone else np.array(side), percent)
             if found:
-                return pa.RecordBatch.from_arrays([pa.array([ids[p] for p, _ in found]), pa.array([ids[q] for _, q in found])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([ids[p] for p, _ in found]), pa.array([ids[q] for _, q in found])], names=["a", "b"])
 
         for batch in batches:
-            for t, sid, s, whole, data in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if t != task:
-                    if task is not None and (out := close()):
-                        yield out
-                    task, ids, held, side, alone = t, [], [], [], whole
-                ids.append(sid)
-                held.append(np.frombuffer(data, np.uint64))
-                side.append(s)
-        if task is not None and (out := close()):
-            yield out
-
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    joined = tasks.join(stored, "sid").select("task", "sid", "side", "alone", "tokens")
-    found = joined.repartition(width, "task").sortWithinPartitions("task", "sid").mapInArrow(links, "a long, b long")
+            columns = [batch.column(i).to_pylist() for i in range(4)]
+            for a, b, raw, offsets in texts.chunks(batch.column(4)):
+                tokens, bounds = shingle_sets(raw, offsets, shingle)
+                own = set_ids(tokens, bounds).tolist()
+                for i, (t, sid, s, whole) in enumerate(zip(*(c[a:b] for c in columns), strict=True)):
+                    if own[i] != sid:  # another text with the same key
+                        continue
+                    if t != task:
+                        yield from close()
+                        task, ids, held, side, alone = t, [], [], [], whole
+                    elif ids[-1] == sid:  # a repeated row
+                        continue
+                    ids.append(sid)
+                    held.append(tokens[bounds[i]:bounds[i + 1]].copy())
+                    side.append(s)
+        yield from close()
+
+    # Texts, not their larger sets, go to the families; a text goes once through the join by key.
+    needed = tasks.groupBy("id", "sid").agg(F.collect_list(F.struct("task", "side", "alone")).alias("to"))
+    sent = source.join(needed, "id").select("sid", "text", F.explode("to").alias("to")).select("to.task", "sid", "to.side", "to.alone", "text")
+    found = sent.repartition(width, "task").sortWithinPartitions("task", "sid").mapInArrow(links, "a long, b long")
     labels = components(found, "jaccard-links").select(F.col("node").alias("sid"), F.col("component").alias("label"))
 
     known = first.select("sid", "id").join(labels, "sid", "left").select("sid", "id", F.coalesce("label", "sid").alias("label"))
