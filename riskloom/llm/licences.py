@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import string
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,24 +95,34 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     repeated rows and null keys stay as they are, long texts are scanned whole, an empty table gives an empty one, other columns are
     not read. Nothing is shuffled.
     """
-    found = docs.select(F.col(f"`{key}`").alias(key), recognised(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("__ids"))
-    rest = F.concat(F.lit("<"), F.array_join("__ids", "><"), F.lit(">"))
-    names: dict[str, list[Column]] = {}
+    ids = recognised(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+    found = docs.select(F.col(f"`{key}`").alias(key), ids.alias("ids"))
+    found = found.select(key, F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", " ").alias("sentences"))
+    return found.withColumn("match", _rules(F.col("sentences"))).select(key, "n_sentences", "sentences", "match.licences", "match.unmatched")
+
+
+def match_rules(sentences: str) -> tuple[str, str]:
+    """(licences, identifiers left over) of identifiers joined by blanks."""
+    rest, names = "".join(f"<{s}>" for s in sentences.split()), []
     for name, sequence in RULES:
         pattern = "".join(f"<{s}>" for s in sequence)
-        names.setdefault(name, []).append(F.contains(rest, F.lit(pattern)))
-        rest = F.replace(rest, F.lit(pattern), F.lit("#"))
-    hits = []
-    for name, matches in names.items():
-        any_match = matches[0]
-        for m in matches[1:]:
-            any_match = any_match | m
-        hits.append(F.when(any_match, F.lit(name)))
-    left = F.btrim(F.regexp_replace(rest, "[<>#]+", " "))
-    some = F.size("__ids") > 0
-    return found.select(
-        key, F.size("__ids").cast("long").alias("n_sentences"), F.array_join("__ids", " ").alias("sentences"),
-        F.when(some, F.concat_ws(" ", *hits)).otherwise("").alias("licences"), F.when(some, left).otherwise("").alias("unmatched"))
+        if pattern in rest:
+            rest = rest.replace(pattern, "#")
+            if name not in names:
+                names.append(name)
+    order = list(dict.fromkeys(name for name, _ in RULES))
+    return " ".join(sorted(names, key=order.index)), " ".join(rest.replace("#", " ").replace("<", " ").replace(">", " ").split())
+
+
+def _rules(sentences: Column) -> Column:
+    @F.arrow_udf("struct<licences: string, unmatched: string>")
+    def match(column: pa.Array) -> pa.Array:
+        coded = column.dictionary_encode()  # few different sequences in many rows
+        each = [match_rules(s) for s in coded.dictionary.to_pylist()]
+        parts = [pa.array([e[i] for e in each], pa.string()).take(coded.indices) for i in (0, 1)]
+        return pa.StructArray.from_arrays(parts, names=["licences", "unmatched"])
+
+    return match(sentences)
 
 
 def _sql() -> str:
