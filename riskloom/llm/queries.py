@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,4 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op10_huffman_ids,
 )}
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
 ORACLES: dict[str, str] = {"op1_licence_scan": licences.SQL, "op5_merkle_audit": OP5_SQL}

@@ -150,19 +150,23 @@ def extents(rows: np.ndarray, keys: np.ndarray, left: int, length: int) -> tuple
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = 200,
-                   group_rows: int = GROUP_ROWS, gram: int = GRAM) -> DataFrame:
-    """``key``, n_bytes, kept (binary), spans (array of removed [start, end)) of every row.
+                   group_rows: int = GROUP_ROWS, gram: int = GRAM, whole_characters: bool = False,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, the columns named in ``carry``, n_bytes, kept (binary), spans (array of removed
+    [start, end)) of every row.
 
     A byte of the UTF-8 text goes if it is in a string of ``length`` bytes that also starts
     anywhere else in the table, in the same or another row; strings do not cross rows. Null text
     is empty; a text shorter than ``length`` stays as it is. A null key is a key like any other,
     rows repeated in all columns are rows of their own (their long texts repeat each other), and an
-    empty table gives an empty one. Other columns are not read, whatever their names.
+    empty table gives an empty one. Other columns are not read, whatever their names. With
+    ``whole_characters`` a character of which a byte goes, goes whole, so what is kept is UTF-8.
     Grams and contexts are compared by 64-bit hashes before their bytes are.
     """
     spark = docs.sparkSession
     left, gram = length - min(gram, length), min(gram, length)
-    source = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    carried = F.struct(*(F.col(f"`{c}`") for c in (key, *carry))).alias("carried")
+    source = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), carried)
     source = source.withColumn("row", F.xxhash64("id", "text"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = source.repartition(width, "row")
@@ -257,19 +261,20 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
             for batch in batches:
                 for s in range(0, batch.num_rows, 1024):
                     part = batch.slice(s, 1024)
-                    h = part.column(0).to_numpy()
-                    raw, _ = texts.flat(part.column(1))
+                    h, grams = part.column(0).to_numpy(), part.column(1).to_numpy()
+                    raw, _ = texts.flat(part.column(2))
                     rows = raw.reshape(-1, left + length)
                     for offset in range(left + 1):
                         window = np.ascontiguousarray(rows[:, left - offset:left - offset + length])
                         ok = (window > 0).all(1)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(row_hash(window[ok]).view(np.int64)), pa.array(h[ok]), pa.array(np.full(int(ok.sum()), offset))],
-                            names=["window", "hash", "before"])
+                            [pa.array(row_hash(window[ok]).view(np.int64)), pa.array(h[ok]), pa.array(grams[ok]), pa.array(np.full(int(ok.sum()), offset))],
+                            names=["window", "hash", "gram", "before"])
 
-        hot = sent.join(counted, "gram", "left_semi").dropDuplicates(["hash"]).select("hash", "context").mapInArrow(
-            windows, "window long, hash long, before long")
-        hot = hot.withColumn("n", F.count("*").over(Window.partitionBy("window"))).where("n > 1").groupBy("hash").agg(
+        hot = sent.join(counted, "gram", "left_semi").dropDuplicates(["hash"]).select("hash", "gram", "context").mapInArrow(
+            windows, "window long, hash long, gram long, before long")
+        # Of one gram at one place of the string: a string seen from two anchors is one occurrence.
+        hot = hot.withColumn("n", F.count("*").over(Window.partitionBy("window", "gram", "before"))).where("n > 1").groupBy("hash").agg(
             F.max("before").alias("before"), (F.lit(length) - F.min("before")).alias("after"))
         reach = reach.unionByName(hot)
     copies = occurrences.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(
@@ -278,7 +283,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     covered = occurrences.select("row", "at", "hash").join(reach, "hash").groupBy("row").agg(
         F.collect_set(F.struct((F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))).alias("covered"))
 
-    kind = source.schema["id"].dataType.simpleString()
+    kind = source.schema["carried"].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,6 +295,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                         low, high = offsets[i - a], offsets[i - a + 1]
                         for span in covers[i].as_py():
                             mask[max(low + span["start"], low):min(low + span["end"], high)] = True
+                if whole_characters:
+                    inner = (raw & 0xC0) == 0x80
+                    character = np.cumsum(~inner) - 1
+                    mask = np.bincount(character, weights=mask, minlength=1)[character] > 0 if len(raw) else mask
                 step = np.zeros(len(raw) + 1, np.int8)
                 edge = np.zeros(len(raw) + 1, bool)
                 edge[offsets] = True
@@ -303,8 +312,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                 left_over = np.concatenate([[0], np.cumsum(~mask)])[offsets]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(np.diff(offsets)), texts.packed(raw[~mask], left_over), pa.ListArray.from_arrays(pa.array(per), spans)],
-                    names=["id", "n_bytes", "kept", "spans"])
+                    names=["carried", "n_bytes", "kept", "spans"])
 
-    out = dealt.join(covered, "row", "left").select("id", "text", "covered").mapInArrow(
-        remove, f"id {kind}, n_bytes long, kept binary, spans array<struct<start long, end long>>")
-    return out.withColumnRenamed("id", key)
+    out = dealt.join(covered, "row", "left").select("carried", "text", "covered").mapInArrow(
+        remove, f"carried {kind}, n_bytes long, kept binary, spans array<struct<start long, end long>>")
+    return out.select("carried.*", "n_bytes", "kept", "spans")
