@@ -8,6 +8,7 @@ cuts them, are split there, and the fragments are encoded alone and concatenated
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from dataclasses import dataclass, field
 
@@ -19,11 +20,16 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import texts
 
+from riskloom.llm import texts
+
 #: Fixed value: the published pattern of byte-level pre-tokenisation.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words kept with their ids by one Python worker; above it the store is begun anew.
-KEPT_WORDS = 400_000
-_NEVER = (1 << 62, -1)
+KEPT_WORDS = 600_000
+#: Characters of a word above which it is encoded alone and not kept.
+LONG_WORD = 48
+_NO_RANK = 1 << 62
+_NEVER = (_NO_RANK, -1)
 
 
 def byte_symbols() -> list[str]:
@@ -34,6 +40,29 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
+class _Arrays:
+    """A vocabulary's tables as arrays."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.single = np.array(vocabulary.single, np.int64)
+        self.inside = np.zeros((256, 256), bool)
+        for pair in vocabulary.inside:
+            self.inside[pair] = True
+        self.width = len(vocabulary.tokens)
+        pairs = np.array([a * self.width + b for a, b in vocabulary.merges] or [-1], np.int64)
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        self.results = np.array([*vocabulary.merges.values()] or [_NEVER], np.int64)[order]
+
+    def ranked(self, ids: np.ndarray, fragment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of each id with the next of its fragment, and the merged id."""
+        pair = np.full(len(ids), -2, np.int64)
+        pair[:-1] = np.where(fragment[1:] == fragment[:-1], ids[:-1] * self.width + ids[1:], -2)
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        found = self.pairs[at] == pair
+        return np.where(found, self.results[at, 0], _NO_RANK), self.results[at, 1]
+
+
 @dataclass
 class Vocabulary:
     """What a tokenizer file says, and the ids of words met so far."""
@@ -48,6 +77,9 @@ class Vocabulary:
     inside: set[tuple[int, int]]
     kept: dict[str, bytes] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.arrays = _Arrays(self)
+
     @classmethod
     def parse(cls, content: str) -> Vocabulary:
         """From the JSON of a byte-level BPE without normaliser."""
@@ -95,30 +127,66 @@ class Vocabulary:
         return parts
 
     def word(self, word: str) -> bytes:
-        """The ids of a word as little-endian 32-bit integers."""
+        """The ids of one word, as little-endian 32-bit integers: for words too long to be learnt."""
         raw = word.encode()
         found = array("I")
         for fragment in self.fragments(raw):
             found.extend(self.merge(fragment))
-        out = found.tobytes()
-        if len(raw) <= 64:
-            if len(self.kept) >= KEPT_WORDS:
-                self.kept.clear()
-            self.kept[word] = out
-        return out
+        return found.tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        """Keeps the ids of all these words. All their fragments are merged together: each round
+        merges in every fragment the leftmost pair of lowest rank, until no fragment has one."""
+        if not words:
+            return
+        raw = [w.encode() for w in words]
+        sizes = np.array([len(r) for r in raw])
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        ids = self.arrays.single[flat]
+        word = np.repeat(np.arange(len(raw)), sizes)
+        begins = np.ones(len(flat), bool)
+        begins[1:] = (word[1:] != word[:-1]) | ~self.arrays.inside[flat[:-1], flat[1:]]
+        place, fragment = np.arange(len(flat)), np.cumsum(begins) - 1
+        done_place, done_ids = [], []
+        while len(ids):
+            rank, new = self.arrays.ranked(ids, fragment)
+            first = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
+            counts = np.diff(np.append(first, len(ids)))
+            least = np.minimum.reduceat(rank, first)
+            going = np.repeat(least < _NO_RANK, counts)
+            done_place.append(place[~going])
+            done_ids.append(ids[~going])
+            hit = np.flatnonzero((rank == np.repeat(least, counts)) & going)
+            hit = hit[np.concatenate([[True], fragment[hit[1:]] != fragment[hit[:-1]]])] if len(hit) else hit
+            ids[hit] = new[hit]
+            going[hit + 1] = False
+            ids, place, fragment = ids[going], place[going], fragment[going]
+        place, ids = np.concatenate(done_place), np.concatenate(done_ids)
+        order = np.argsort(place, kind="stable")
+        ends = np.cumsum(np.bincount(word[place], minlength=len(raw))) * 4
+        data, begin = ids[order].astype(np.uint32).tobytes(), 0
+        for w, end in zip(words, ends.tolist(), strict=True):
+            self.kept[w] = data[begin:end]
+            begin = end
+
+    def encode_all(self, rows: list[str | None]) -> list[bytes]:
+        """The ids of some texts, the words new to the store learnt together."""
+        if len(self.kept) >= KEPT_WORDS:
+            self.kept.clear()
+        cut = [[p if isinstance(p, int) else _words(p) for p in self._pieces(t)] if t else [] for t in rows]
+        met: set[str] = set()
+        for pieces in cut:
+            met.update(*(p for p in pieces if not isinstance(p, int)))
+        self.learn([w for w in met if w not in self.kept and len(w) <= LONG_WORD])
+        return [b"".join([x for p in pieces for x in ([np.uint32(p).tobytes()] if isinstance(p, int) else self._known(p))]) for pieces in cut]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        known = [*map(self.kept.get, words)]
+        return [self.word(w) if k is None else k for w, k in zip(words, known, strict=True)] if None in known else known
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit integers."""
-        found: list[bytes] = []
-        for piece in self._pieces(text):
-            if isinstance(piece, int):
-                found.append(np.uint32(piece).tobytes())
-                continue
-            kept = self.kept
-            for word in _words(piece):
-                known = kept.get(word)
-                found.append(self.word(word) if known is None else known)
-        return b"".join(found)
+        return self.encode_all([text])[0]
 
     def _pieces(self, text: str) -> list[str | int]:
         pieces: list[str | int] = [text]
@@ -138,16 +206,30 @@ class Vocabulary:
         return b"".join([self.tokens[i] for i in ids]).decode("utf-8", "replace")
 
 
-_pattern = regex.compile(PATTERN)
-_plain = regex.compile(r"[^\x00-ӿ]")
+#: Up to here the word pattern is compiled with its classes spelt out, which is faster; beyond it
+#: two libraries may follow different Unicode versions, and the pre-tokeniser's own classes decide.
+_PLAIN_END = 0x500
+
+
+def _plain_pattern() -> re.Pattern:
+    """``PATTERN`` for texts below ``_PLAIN_END``, its classes written as ranges."""
+    def ranges(test: str) -> str:
+        inside = [c for c in range(_PLAIN_END) if regex.match(test, chr(c))]
+        runs = [i for i, c in enumerate(inside) if i == 0 or c != inside[i - 1] + 1]
+        return "".join(f"\\u{inside[a]:04x}-\\u{inside[b - 1]:04x}" for a, b in zip(runs, [*runs[1:], len(inside)], strict=True))
+
+    letters, numbers, blanks = ranges(r"\p{L}"), ranges(r"\p{N}"), ranges(r"\s")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{blanks}{letters}{numbers}]+|[{blanks}]+(?![^{blanks}])|[{blanks}]+")
+
+
+_plain_words = _plain_pattern()
+_beyond = re.compile(f"[^\\x00-\\u{_PLAIN_END - 1:04x}]")
 _VOCABULARIES: dict[int, Vocabulary] = {}
 
 
 def _words(text: str) -> list[str]:
-    if _plain.search(text) is None:
-        return _pattern.findall(text)
-    # Beyond the first alphabets two libraries may follow different Unicode versions: the
-    # pre-tokeniser's own classes decide there.
+    if text.isascii() or _beyond.search(text) is None:
+        return _plain_words.findall(text)
     from tokenizers import pre_tokenizers
 
     return [text[a:b] for _, (a, b) in pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str(text)]
@@ -181,7 +263,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     @F.arrow_udf("array<int>")
     def compute(column: pa.Array) -> pa.Array:
         vocabulary = _loaded(shared)
-        found = [vocabulary.encode(t) if t else b"" for t in column.to_pylist()]
+        found = []
+        for a, b, _, _ in texts.chunks(column):
+            found += vocabulary.encode_all(column.slice(a, b - a).to_pylist())
         at = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), np.int32)))
 
