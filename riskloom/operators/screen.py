@@ -101,7 +101,8 @@ def screen_by_chi_square(
 def _attach_rank(rows: DataFrame, ranks: DataFrame, column: str, distinct: int, hot: int) -> DataFrame:
     """Add ``<column>_rank``. A small rank table is broadcast. With a large one the rows are
     shuffled on the value; the few values with a large share of the rows get their rank from
-    a broadcast instead, and their rows are spread over all partitions by a salt."""
+    a broadcast instead, and their rows are spread over all partitions by a salt, which differs
+    from row to row, also between rows that are equal in all columns."""
     rank = f"{column}_rank"
     if distinct <= BROADCAST_VALUES:
         side = ranks.select(F.col("value").alias(column), F.col("rank").alias(rank))
@@ -109,7 +110,7 @@ def _attach_rank(rows: DataFrame, ranks: DataFrame, column: str, distinct: int,
     frequent = ranks.filter(F.col("n") >= hot).select(F.col("value").alias(column), F.col("rank").alias("_hot_rank"))
     seldom = ranks.filter(F.col("n") < hot).select(
         F.col("value").alias(column), F.lit(0).alias("_salt"), F.col("rank").alias("_rank"))
-    salt = F.when(F.col("_hot_rank").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(65_536)).cast("int") + 1).otherwise(0)
+    salt = F.when(F.col("_hot_rank").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.lit(65_536)).cast("int") + 1).otherwise(0)
     return (rows.join(F.broadcast(frequent), column, "left")  # at most HOT_SHARES values
             .withColumn("_salt", salt)
             .join(seldom, [column, "_salt"], "left")

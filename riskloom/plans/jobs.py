@@ -7,12 +7,14 @@ overwrites.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.casts import strip
 from riskloom.functions.labels import is_labelled
 from riskloom.operators.shape import append_by_name
 from riskloom.plans.pipeline import RiskModel, clean, score, target_name, train, unlabelled_rows
@@ -60,9 +62,12 @@ def newer_than(df: DataFrame, order: str, mark: str | None) -> DataFrame:
     return df.filter(F.col(order) > F.lit(mark).cast(df.schema[order].dataType))
 
 
-def retrain_gate(new: DataFrame, target: str, order: str, mark: str | None) -> DataFrame:
-    """One row: labelled rows beyond the mark, whether to retrain, and the next mark."""
-    fresh = newer_than(new, order, mark).filter(is_labelled(F.col(f"`{target}`")))
+def retrain_gate(new: DataFrame, target: str, order: str, mark: str | None, classes: Sequence[str] | None = None) -> DataFrame:
+    """One row: labelled rows beyond the mark, whether to retrain, and the next mark. With
+    ``classes`` only rows of these count, not those that no training would use."""
+    value = F.col(f"`{target}`")
+    counts = is_labelled(value) if classes is None else strip(value.cast("string")).isin(*classes)
+    fresh = newer_than(new, order, mark).filter(counts)
     return fresh.agg(
         F.count("*").alias("n_new"),
         (F.count("*") > 0).alias("retrain"),
@@ -98,10 +103,10 @@ def retrain_if_new(
     min_new: int = 1, keep_in_memory: bool = False,
 ) -> RiskModel | None:
     """Train the next version on base and new rows together when at least ``min_new``
-    labelled rows of ``new`` lie beyond the last version's mark; otherwise do nothing."""
+    rows of ``new`` with a label that trains lie beyond the last version's mark; otherwise do nothing."""
     spark = base.sparkSession
     last = latest_version(spark, root)
-    gate = retrain_gate(new, spec.target, order, last["high_water"] if last else None).head()
+    gate = retrain_gate(new, spec.target, order, last["high_water"] if last else None, spec.class_labels).head()
     if gate["n_new"] < min_new:
         return None
     both = append_by_name(base, new.select(*[F.col(f"`{c}`") for c in base.columns]))

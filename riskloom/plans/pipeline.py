@@ -29,7 +29,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.casts import missing_to_null, usable_number, usable_numbers
+from riskloom.functions.casts import missing_to_null, strip, usable_number, usable_numbers
 from riskloom.functions.labels import binary_label, is_labelled
 from riskloom.functions.values import category_slot, vector_element
 from riskloom.operators.metrics import classification_metrics, roc_auc
@@ -47,14 +47,17 @@ from riskloom.spec import FeatureSpec
 UNKNOWN_TEXT = "(unknown)"
 FEATURES = "features"
 LABEL = "label"
-SPREAD_ROWS = 5_000_000
 LITERAL_SLOTS = 5_000
 MAX_SLOTS = 1_000_000
 
 
 def clean(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Rename, normalise names, derive pair means and drop what the model does not use."""
+    """Rename, normalise names, trim the target, derive pair means and drop what the model does
+    not use."""
     named = normalise_names(rename_columns(df, spec.renames))
+    target = target_name(spec)
+    if target in named.columns and named.schema[target].dataType.typeName() == "string":
+        named = named.withColumn(target, strip(F.col(f"`{target}`")))
     return drop_by_pattern(add_pair_means(named, spec.pairs), spec.drop_patterns, spec.drops)
 
 
@@ -188,26 +191,31 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
     """Fit on the labelled rows of a cleaned table.
 
     The fit reads its input a few times: slot counts, text categories, moments, and the
-    regression's own read, which caches what it iterates over. Over a columnar table those
-    reads are cheap; over messages that must be parsed, ``keep_in_memory`` holds the pruned
-    columns. A training set of at most SPREAD_ROWS rows may come from too few file splits
-    to occupy the cores, so it is dealt out evenly and held; a larger one stays as it lies.
+    regression's own read. The pruned columns are held for that, in memory and on disk,
+    whatever their number, and dealt out anew, so that few file splits do not leave cores idle.
+    ``keep_in_memory`` holds them before that as well, for messages that must be parsed.
     """
     rows = model_columns(labelled_rows(cleaned, spec), spec, [LABEL])
-    held = rows.persist(StorageLevel.MEMORY_AND_DISK) if keep_in_memory else None
+    held = [rows.persist(StorageLevel.MEMORY_AND_DISK)] if keep_in_memory else []
     try:
         rows, n = with_slot_counts(rows, spec)
-        if held is None and n <= SPREAD_ROWS:
-            held = rows = rows.repartition(_even_parts(rows, n)).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = rows.repartition(_even_parts(rows, n)).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(rows)
         return RiskModel(spec, Pipeline(stages=stages(spec)).fit(rows))
     finally:
-        if held is not None:
-            held.unpersist()
+        for table in held:
+            table.unpersist()
+
+
+#: Rows of a part of the training set, where there are enough for every core.
+PART_ROWS = 250_000
 
 
 def _even_parts(rows: DataFrame, n: int) -> int:
-    """One part per core, but no part of fewer than a thousand rows."""
-    return max(1, min(rows.sparkSession.sparkContext.defaultParallelism, n // 1000))
+    """One part per core and at least one for each PART_ROWS rows, but none of fewer than a
+    thousand."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(cores, n // 1000), -(-n // PART_ROWS))
 
 
 def score(cleaned: DataFrame, model: RiskModel, keep: Sequence[str] | None = None) -> DataFrame:

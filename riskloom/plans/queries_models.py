@@ -215,25 +215,24 @@ def scored_new_rows(spark, sf):
 
 
 def binary_embeddings(spark, sf):
-    """The ten-class table as a two-class one, each vector position a number."""
+    """The ten-class table as a two-class one, each vector position a number, and its spec. The
+    vectors are taken at the length of the longest; a shorter one lacks numbers and is left out."""
     table = read_table(spark, sf, "embeddings")
-    numbers = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)]
-    return table.select("vec_id", F.when(F.col("label") < 5, "low").otherwise("high").alias("half"), *numbers)
-
-
-EMBEDDING_SPEC = FeatureSpec(
-    keys=("vec_id",), target="half", label_order=("low", "high"), positive_label="high",
-    numeric=tuple(f"e{i}" for i in range(64)))
+    width = table.agg(F.max(F.size("embedding"))).head()[0] or 0
+    numbers = [F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(width)]
+    spec = FeatureSpec(keys=("vec_id",), target="half", label_order=("low", "high"), positive_label="high",
+                       numeric=tuple(f"e{i}" for i in range(width)))
+    return table.select("vec_id", F.when(F.col("label") < 5, "low").otherwise("high").alias("half"), *numbers), spec
 
 
 @query("scored_embeddings")
 def scored_embeddings(spark, sf):
-    table = binary_embeddings(spark, sf)
-    return pipeline.score(table, pipeline.train(table, EMBEDDING_SPEC))
+    table, spec = binary_embeddings(spark, sf)
+    return pipeline.score(table, pipeline.train(table, spec))
 
 
 @query("embedding_auc")
 def embedding_auc(spark, sf):
-    table = binary_embeddings(spark, sf)
-    scored = pipeline.score(table, pipeline.train(table, EMBEDDING_SPEC), ["half"])
+    table, spec = binary_embeddings(spark, sf)
+    scored = pipeline.score(table, pipeline.train(table, spec), ["half"])
     return roc_auc(scored.withColumn("label", (F.col("half") == "high").cast("double")), "p_positive")

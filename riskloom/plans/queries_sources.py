@@ -186,7 +186,7 @@ def score_table_lookup(spark, sf):
     table = read_table(spark, sf, "events").select(
         "event_id", F.col("user_id").cast("string").alias("student"), F.col("value").alias("risk"))
     scores.write_scores(table, path, "student", buckets=8)
-    return scores.lookup(scores.read_scores(spark, path), "student", "42 ", buckets=8).select("event_id", "student", "risk")
+    return scores.lookup(scores.read_scores(spark, path), "student", "42 ").select("event_id", "student", "risk")
 
 
 @query("score_lookup_many", """

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from riskloom.functions.casts import strip
 from riskloom.session import materialise
 
+#: Folders of a table of ``write_scores``, if the writer names no other number; each row's folder
+#: names the number it was placed by, so that readers need not know it.
 KEY_BUCKETS = 64
 
 
@@ -21,16 +23,16 @@ def score_messages(scores: DataFrame, fields: dict[str, str], topic: str, key: s
     return scores.select(keyed.alias("key"), value.alias("value"), F.lit(topic).alias("topic"))
 
 
-def _bucket(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+def _bucket(key: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), buckets).cast("int")
 
 
 def write_scores(scores: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS) -> None:
     """Append to the scores table, laid out so that one key lives in one folder. The
     rebalance hint lets Spark split a folder that a hot key makes too large for one task."""
-    placed = scores.withColumn("key_bucket", _bucket(F.col(key), buckets))
+    placed = scores.withColumn("key_buckets", F.lit(buckets)).withColumn("key_bucket", _bucket(F.col(key), F.lit(buckets)))
     (placed.hint("rebalance", "key_bucket").sortWithinPartitions("key_bucket", key)
-     .write.mode("append").partitionBy("key_bucket").parquet(path))
+     .write.mode("append").partitionBy("key_buckets", "key_bucket").parquet(path))
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -47,11 +49,12 @@ def key_equals(df: DataFrame, key: str, wanted: str) -> Column:
     return (F.col(key) == strip(F.lit(wanted)).try_cast(kind)) & text
 
 
-def lookup(scores: DataFrame, key: str, wanted: str, buckets: int = KEY_BUCKETS) -> DataFrame:
-    """Every score of one key; on a table of ``write_scores`` only one folder is read."""
+def lookup(scores: DataFrame, key: str, wanted: str) -> DataFrame:
+    """Every score of one key; on a table of ``write_scores`` only one folder is read, or one for
+    each number of folders that it was written with."""
     found = scores.filter(key_equals(scores, key, wanted))
     if "key_bucket" in scores.columns:
-        found = found.filter(F.col("key_bucket") == _bucket(strip(F.lit(wanted)), buckets))
+        found = found.filter(F.col("key_bucket") == _bucket(strip(F.lit(wanted)), F.col("key_buckets")))
     return found
 
 
@@ -84,7 +87,8 @@ def first_per_key(scores: DataFrame, key: str, order: Sequence[str], value: str)
 
 
 def attach_scores(identities: DataFrame, scores: DataFrame, key: str, score_key: str) -> DataFrame:
-    """Identities with their scores when the two arrive apart, matched by key."""
+    """Identities with their scores when the two arrive apart, matched by key. A key that many
+    rows share is split by the adaptive skew join."""
     return identities.join(scores, F.col(key) == F.col(score_key)).drop(score_key)
 
 

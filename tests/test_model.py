@@ -230,13 +230,13 @@ def test_publish_store_and_look_up(spark, base, model, tmp_path):
     path = str(tmp_path / "scores")
     for version in (1, 2):
         scores.write_scores(risk.withColumn("version", F.lit(version)), path, "student_id", buckets=4)
-    found = scores.lookup(scores.read_scores(spark, path), "student_id", "  10000042 ", buckets=4)
+    found = scores.lookup(scores.read_scores(spark, path), "student_id", "  10000042 ")
     assert sorted((r["student_id"], r["version"]) for r in found.collect()) == [("10000042", 1), ("10000042", 2)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(key_bucket" in plan and "PushedFilters: [IsNotNull(student_id), EqualTo(student_id,10000042)]" in plan
     assert scores.latest_per_key(scores.read_scores(spark, path), "student_id", ["version"], "version").filter("version <> 2").isEmpty()
     assert scores.first_per_key(scores.read_scores(spark, path), "student_id", ["version"], "version").filter("version <> 1").isEmpty()
-    assert scores.lookup(scores.read_scores(spark, path), "student_id", "nobody", buckets=4).isEmpty()
+    assert scores.lookup(scores.read_scores(spark, path), "student_id", "nobody").isEmpty()
 
 
 def test_key_text_equality_on_numbers(spark):
@@ -282,3 +282,20 @@ def test_whole_lifecycle(spark, tmp_path):
     assert again.isEmpty()
     found = scores.lookup(scores.read_scores(spark, path), "student_id", " 10000605").head()
     assert found["first_name"] == "First605" and 0.0 < found["dropout_probability"] < 1.0
+
+
+def test_lookup_finds_a_key_whatever_the_number_of_folders(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    for n in (8, 5):
+        scores.write_scores(spark.range(200).selectExpr("cast(id % 50 as string) as who", f"{n} as n"), path, "who", buckets=n)
+    found = scores.lookup(scores.read_scores(spark, path), "who", " 7 ")
+    assert sorted(r["n"] for r in found.collect()) == [5] * 4 + [8] * 4
+
+
+def test_padded_target_is_a_contradiction_all_the_same(spark):
+    from riskloom.plans.pipeline import clean, labelled_rows
+
+    rows = spark.createDataFrame([(" Graduate", 0), ("Graduate", 0), (" Graduate ", 2)], "Target string, avg_approved int")
+    spec = FeatureSpec(keys=(), target="Target", label_order=("Dropout", "Graduate"), positive_label="Graduate",
+                       contradictions=("avg_approved = 0 AND Target = 'Graduate'",))
+    assert [r["avg_approved"] for r in labelled_rows(clean(rows, spec), spec).collect()] == [2]

@@ -235,3 +235,10 @@ def test_split_does_not_depend_on_partitions(spark):
     assert parts[0] == parts[1] and 0.77 < len(parts[0]) / 5000 < 0.83
     train, test = features.train_test(df, ["id"])
     assert train.count() + test.count() == 5000 and train.join(test, "id").isEmpty()
+
+
+def test_chi_square_tail_of_many_degrees(spark):
+    rows = [(2.0e9, 2_000_000_000), (100_500.0, 100_001), (99_500.0, 100_001), (100_500.0, 100_000)]
+    got = [r["p"] for r in spark.createDataFrame(rows, "x double, dof long").select(chi_square_tail(F.col("x"), F.col("dof")).alias("p")).collect()]
+    assert got[0] == pytest.approx(0.5, abs=1e-4)
+    assert got[1] == pytest.approx(got[3], abs=2e-3) and 0.1 < got[1] < 0.2 and 0.85 < got[2] < 0.9
