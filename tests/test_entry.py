@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from riskloom.plans.catalog import load_all
 
 NAMES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
          "benchmark labels conversations").split()
@@ -30,12 +31,13 @@ def rows(frame):
 
 
 def test_registration():
-    queries, sql = entry_point.queries(), entry_point.oracle_sql()
+    queries, sql = load_all()
+    assert set(queries) <= set(entry_point.queries()) and set(sql) <= set(entry_point.oracle_sql())
     assert set(SLOW) <= set(sql) <= set(queries)
     assert set(queries) - set(sql) == {"train_coefficients", "scored_lines", "scored_embeddings", "embedding_auc"}
 
 
-@pytest.mark.parametrize("name", [n for n in entry_point.oracle_sql() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in load_all()[1] if n not in SLOW])
 def test_query_equals_its_sql(spark, tables, duck, name):
     ours, expected = entry_point.queries()[name](spark, tables).toPandas(), duck.sql(entry_point.oracle_sql()[name]).df()
     assert set(ours.columns) == set(expected.columns)
