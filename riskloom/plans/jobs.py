@@ -18,6 +18,7 @@ from riskloom.functions.casts import strip
 from riskloom.functions.labels import is_labelled
 from riskloom.operators.shape import append_by_name
 from riskloom.plans.pipeline import RiskModel, clean, score, target_name, train, unlabelled_rows
+from riskloom.sources.messages import encode_rows
 from riskloom.sources.scores import unscored
 from riskloom.spec import FeatureSpec
 
@@ -115,6 +116,29 @@ def retrain_if_new(
     return train_version(both, spec, root, version, "retrain", gate["next_mark"], n, keep_in_memory)
 
 
+def publish_and_check(records: DataFrame, transport, topic: str, key: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Send a table's rows as messages and compare: one row ``(topic, n_rows, n_messages)``.
+
+    Messages that the topic had before do not count. A difference fails the job.
+    """
+    spark = records.sparkSession
+
+    def messages() -> int:
+        try:
+            return transport.read(spark, [topic]).count()
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return 0
+
+    before, rows = messages(), records.count()
+    transport.write(encode_rows(records, topic, key=key, partitions=partitions))
+    sent = messages() - before
+    if sent != rows:
+        raise RuntimeError(f"{rows} rows were to be published to {topic}, {sent} messages are there")
+    return spark.createDataFrame([(topic, rows, sent)], "topic string, n_rows bigint, n_messages bigint")
+
+
 def score_new(records: DataFrame, model: RiskModel, done: DataFrame | None, key: str, done_key: str = "key") -> DataFrame:
     """Scores of the unlabelled rows that have none yet."""
     rows = clean(records, model.spec)

@@ -75,6 +75,9 @@ def labelled_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     sound = without_contradictions(df, spec.contradictions)
     target = F.col(target_name(spec)).cast("string")
     label = binary_label(target, spec.positive_label, spec.negative_label)
+    if spec.foreign_target == "error":
+        known = strip(target).isin(*spec.label_order) | ~is_labelled(target)
+        label = F.when(known, label).otherwise(F.raise_error(F.concat(F.lit("unknown target: "), target)).cast("double"))
     return sound.withColumn(LABEL, label).filter(F.col(LABEL).isNotNull())
 
 
@@ -277,11 +280,33 @@ def unscorable(cleaned: DataFrame, spec: FeatureSpec) -> DataFrame:
     return quarantined(cleaned, spec.numeric)
 
 
-def evaluate(cleaned: DataFrame, model: RiskModel) -> tuple[DataFrame, DataFrame]:
-    """Per-label metrics and the exact area under the ROC curve, over the labelled rows."""
-    scored = score(labelled_rows(cleaned, model.spec), model, [LABEL]).withColumn(
+def judged(cleaned: DataFrame, model: RiskModel) -> DataFrame:
+    """The labelled rows' labels, predictions as labels, and probabilities."""
+    return score(labelled_rows(cleaned, model.spec), model, [LABEL]).withColumn(
         "prediction", F.when(F.col("prediction") == model.spec.positive_label, 1.0).otherwise(0.0))
-    return classification_metrics(scored), roc_auc(scored, "p_positive")
+
+
+def evaluate_labels(cleaned: DataFrame, model: RiskModel) -> DataFrame:
+    """Per-label metrics over the labelled rows; no ranking is run for them."""
+    return classification_metrics(judged(cleaned, model))
+
+
+def evaluate_ranking(cleaned: DataFrame, model: RiskModel) -> DataFrame:
+    """The exact area under the ROC curve over the labelled rows."""
+    return roc_auc(judged(cleaned, model), "p_positive")
+
+
+def evaluate(cleaned: DataFrame, model: RiskModel) -> tuple[DataFrame, DataFrame]:
+    """``evaluate_labels`` and ``evaluate_ranking``."""
+    return evaluate_labels(cleaned, model), evaluate_ranking(cleaned, model)
+
+
+def foreign_targets(cleaned: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """``(target, n)``: targets that are filled in but no label of the spec. They never train; a
+    misspelt class shows up here."""
+    target = F.col(f"`{target_name(spec)}`").cast("string")
+    return cleaned.select(strip(target).alias("target")).filter(
+        is_labelled(F.col("target")) & ~F.col("target").isin(*spec.label_order)).groupBy("target").agg(F.count("*").alias("n"))
 
 
 def coefficients(model: RiskModel, spark: SparkSession) -> DataFrame:

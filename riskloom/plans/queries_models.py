@@ -127,7 +127,7 @@ _HELD_OUT = """WITH parts AS (SELECT *, ('0x' || left(md5(CAST(o_orderkey AS VAR
 def _held_out(spark, sf):
     orders = pipeline.clean(read_table(spark, sf, "orders"), RATE_SPEC)
     fit, rest = train_test(orders, ["o_orderkey"])
-    return pipeline.evaluate(rest, pipeline.train(fit, RATE_SPEC))
+    return rest, pipeline.train(fit, RATE_SPEC)
 
 
 @query("holdout_metrics", _HELD_OUT + " UNION ALL ".join(f"""
@@ -137,7 +137,7 @@ SELECT {v}::DOUBLE AS label, round(avg(CAST(y = p AS INTEGER)), 8) AS accuracy,
        round(2 * count(*) FILTER (y = {v} AND p = {v}) / (count(*) FILTER (p = {v}) + count(*) FILTER (y = {v})), 8) AS f1,
        count(*) FILTER (y = {v}) AS support FROM judged""" for v in (0, 1)))
 def holdout_metrics(spark, sf):
-    found, _ = _held_out(spark, sf)
+    found = pipeline.evaluate_labels(*_held_out(spark, sf))
     return found.withColumns({c: F.round(c, 8) for c in ("accuracy", "precision", "recall", "f1")})
 
 
@@ -146,10 +146,27 @@ def holdout_metrics(spark, sf):
     t AS (SELECT sum(rk) FILTER (y = 1) AS ranks, CAST(sum(y) AS DOUBLE) AS n1, CAST(sum(1 - y) AS DOUBLE) AS n0 FROM r)
 SELECT round((ranks - n1 * (n1 + 1) / 2) / (n1 * n0), 8) AS auc FROM t""")
 def holdout_auc(spark, sf):
-    _, area = _held_out(spark, sf)
+    area = pipeline.evaluate_ranking(*_held_out(spark, sf))
     return area.withColumn("auc", F.round("auc", 8))
 
 
+@query("foreign_targets", "SELECT o_orderstatus AS target, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 1")
+def unknown_order_targets(spark, sf):
+    spec = replace(RATE_SPEC, label_order=("F", "O"), dropped_labels=())
+    return pipeline.foreign_targets(pipeline.clean(read_table(spark, sf, "orders"), spec), spec)
+
+
+@query("padded_contradictions", """
+SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag <> 'N' AND NOT (l_returnflag = 'A' AND l_discount = 0)""")
+def padded_contradictions(spark, sf):
+    """Targets with blanks around them: a contradictory row goes all the same."""
+    spec = FeatureSpec(keys=("l_orderkey", "l_linenumber"), target="l_returnflag", label_order=("A", "N", "R"), positive_label="A",
+                       dropped_labels=("N",), contradictions=("l_discount = 0 AND l_returnflag = 'A'",))
+    lines = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_discount", F.concat(F.lit("  "), "l_returnflag", F.lit(" ")).alias("l_returnflag"))
+    return pipeline.labelled_rows(pipeline.clean(lines, spec), spec).select("l_orderkey", "l_linenumber", "l_returnflag")
+
+
 def _dated_orders(spark, sf):
     """Orders with status P as the rows that wait for a label."""
     return read_table(spark, sf, "orders").select(

@@ -9,6 +9,7 @@ from riskloom.functions.values import percent_text
 from riskloom.operators.decode import decode_messages
 from riskloom.operators.quality import row_count
 from riskloom.operators.shape import preview
+from riskloom.plans import jobs
 from riskloom.plans.catalog import query
 from riskloom.session import fresh_path
 from riskloom.sources import messages, scores
@@ -189,6 +190,22 @@ def score_table_lookup(spark, sf):
     return scores.lookup(scores.read_scores(spark, path), "student", "42 ").select("event_id", "student", "risk")
 
 
+@query("lookup_any_bucket_count", """
+SELECT event_id, CAST(user_id AS VARCHAR) AS student, n FROM events, (VALUES (3), (8)) AS folders(n) WHERE user_id = 42""")
+def lookup_any_bucket_count(spark, sf):
+    """One table written with two numbers of folders, read without naming either."""
+    path = fresh_path(spark, "scores")
+    table = read_table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("student"))
+    for n in (3, 8):
+        scores.write_scores(table.withColumn("n", F.lit(n)), path, "student", buckets=n)
+    return scores.lookup(scores.read_scores(spark, path), "student", "42").select("event_id", "student", "n")
+
+
+@query("published_and_checked", "SELECT 'suppliers' AS topic, count(*) AS n_rows, count(*) AS n_messages FROM supplier")
+def published_and_checked(spark, sf):
+    return jobs.publish_and_check(read_table(spark, sf, "supplier"), messages.FileTransport(fresh_path(spark, "topic")), "suppliers", partitions=4)
+
+
 @query("score_lookup_many", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -18,5 +19,18 @@ def read_csv(
     return reader.option("inferSchema", infer).csv(path)
 
 
+BAD_ROW = "_bad_row"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV whose cells all fit the schema, and the quarantine: the text of every
+    other row, in ``malformed_text``."""
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = (spark.read.option("header", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", BAD_ROW)
+            .schema(StructType([*wanted.fields, StructField(BAD_ROW, StringType())])).csv(path))
+    bad = rows.filter(F.col(BAD_ROW).isNotNull()).select(F.col(BAD_ROW).alias("malformed_text"), *wanted.fieldNames())
+    return rows.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW), bad
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

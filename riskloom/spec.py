@@ -31,6 +31,7 @@ class FeatureSpec:
     numeric: tuple[str, ...] = ()
     contradictions: tuple[str, ...] = ()
     bad_numeric: str = "quarantine"
+    foreign_target: str = "unlabelled"
     standardise: str = "numbers"
     max_iter: int = 100
     tolerance: float = 1e-6
@@ -46,6 +47,8 @@ class FeatureSpec:
             raise ValueError("exactly two labels must remain after dropping")
         if self.bad_numeric not in ("quarantine", "impute"):
             raise ValueError("bad_numeric is 'quarantine' or 'impute'")
+        if self.foreign_target not in ("unlabelled", "error"):
+            raise ValueError("foreign_target is 'unlabelled' or 'error'")
         if self.standardise not in ("numbers", "all"):
             raise ValueError("standardise is 'numbers' or 'all'")
 

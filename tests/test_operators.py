@@ -242,3 +242,12 @@ def test_chi_square_tail_of_many_degrees(spark):
     got = [r["p"] for r in spark.createDataFrame(rows, "x double, dof long").select(chi_square_tail(F.col("x"), F.col("dof")).alias("p")).collect()]
     assert got[0] == pytest.approx(0.5, abs=1e-4)
     assert got[1] == pytest.approx(got[3], abs=2e-3) and 0.1 < got[1] < 0.2 and 0.85 < got[2] < 0.9
+
+
+def test_csv_quarantine(spark, tmp_path):
+    from riskloom.sources.tables import read_csv_checked
+
+    (tmp_path / "a.csv").write_text("id,x\n1,2.5\ntwo,3\n4,\n5,x\n")
+    good, bad = read_csv_checked(spark, str(tmp_path / "a.csv"), "id int, x double")
+    assert sorted(map(tuple, good.collect())) == [(1, 2.5), (4, None)]
+    assert sorted(r["malformed_text"] for r in bad.collect()) == ["5,x", "two,3"]
