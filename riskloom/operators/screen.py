@@ -62,26 +62,22 @@ def contingency(df: DataFrame, features: Sequence[str], label: str, labels: Sequ
 def chi_square_stat(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:
     """``(variable, statistic, dof)`` of Pearson's test of independence.
 
-    With cells o, row sums r and column sums c the statistic is N * (sum o^2/(r c) - 1), so
-    one sum per label over the categories is enough.
+    The cells o are compared with what the margins expect, e: the statistic is the sum of
+    (o - e)^2 / e, which loses no digits in large tables as the sum of squares less N would. The
+    cells are written once and read for the margins and for the sum.
     """
     labels = list(labels) if labels is not None else _labels(df, label)
+    cells = materialise(contingency(df, features, label, labels), "contingency")
     counts = [F.col(f"n_{i}") for i in range(len(labels))]
-    row_sum = sum(counts[1:], counts[0])
-    per_variable = contingency(df, features, label, labels).groupBy("variable").agg(
-        F.count("*").alias("_categories"),
-        *[F.sum(c).alias(f"c_{i}") for i, c in enumerate(counts)],
-        *[F.sum(c.cast("double") * c / row_sum).alias(f"s_{i}") for i, c in enumerate(counts)],
-    )
+    margins = cells.groupBy("variable").agg(F.count("*").alias("_categories"), *[F.sum(c).alias(f"c_{i}") for i, c in enumerate(counts)])
     present = [F.col(f"c_{i}") for i in range(len(labels))]
-    total = sum(present[1:], present[0])
-    share = [F.when(c > 0, F.col(f"s_{i}") / c).otherwise(0.0) for i, c in enumerate(present)]
+    total, row_sum = sum(present[1:], present[0]).cast("double"), sum(counts[1:], counts[0]).cast("double")
+    expected = [row_sum * c / total for c in present]
+    terms = [F.when(c > 0, (o - e) * (o - e) / e).otherwise(0.0) for o, e, c in zip(counts, expected, present)]
     used = [F.when(c > 0, 1).otherwise(0) for c in present]
-    return per_variable.select(
-        "variable",
-        F.greatest(F.lit(0.0), total * (sum(share[1:], share[0]) - 1.0)).alias("statistic"),
-        ((F.col("_categories") - 1) * (sum(used[1:], used[0]) - 1)).cast("long").alias("dof"),
-    )
+    return cells.join(margins, "variable").groupBy("variable").agg(
+        F.sum(sum(terms[1:], terms[0])).alias("statistic"),
+        F.first(((F.col("_categories") - 1) * (sum(used[1:], used[0]) - 1)).cast("long")).alias("dof"))
 
 
 def chi_square_screen(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.features import train_test
 from riskloom.operators.metrics import roc_auc
+from riskloom.operators.screen import chi_square_stat
 from riskloom.plans import jobs, pipeline
 from riskloom.plans.catalog import query
 from riskloom.session import fresh_path
@@ -150,6 +151,20 @@ def holdout_auc(spark, sf):
     return area.withColumn("auc", F.round("auc", 8))
 
 
+@query("chi_square_wide", """
+WITH r AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1),
+    c AS (SELECT l_linestatus AS s, count(*) AS n FROM lineitem GROUP BY 1),
+    o AS (SELECT l_orderkey AS k, l_linestatus AS s, count(*) AS n FROM lineitem GROUP BY 1, 2),
+    cells AS (SELECT r.k, c.s, coalesce(o.n, 0) AS n, r.n * c.n / (SELECT count(*) FROM lineitem)::DOUBLE AS e
+              FROM r CROSS JOIN c LEFT JOIN o ON o.k = r.k AND o.s = c.s)
+SELECT 'l_orderkey' AS variable, round(sum((n - e) * (n - e) / e), 3) AS statistic,
+       CAST((count(DISTINCT k) - 1) * (count(DISTINCT s) - 1) AS BIGINT) AS dof FROM cells""")
+def chi_square_of_a_wide_column(spark, sf):
+    """A column with about as many categories as orders."""
+    found = chi_square_stat(read_table(spark, sf, "lineitem"), ["l_orderkey"], "l_linestatus")
+    return found.select("variable", F.round("statistic", 3).alias("statistic"), "dof")
+
+
 @query("foreign_targets", "SELECT o_orderstatus AS target, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 1")
 def unknown_order_targets(spark, sf):
     spec = replace(RATE_SPEC, label_order=("F", "O"), dropped_labels=())

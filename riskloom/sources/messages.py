@@ -132,5 +132,7 @@ def next_offsets(audit: DataFrame) -> str:
     An audit has one row per topic partition."""
     offsets: dict[str, dict[str, int]] = {}
     for row in audit.select("topic", "partition", "last_offset").collect():
+        if row["partition"] is None or row["last_offset"] is None:
+            raise ValueError(f"the messages of {row['topic']} carry no partitions and offsets to read on from")
         offsets.setdefault(row["topic"], {})[str(row["partition"])] = row["last_offset"] + 1
     return json.dumps(offsets, sort_keys=True)
