@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,7 +25,12 @@ LIMIT = 20
 CHECKPOINT = 256
 #: Ids after which a block is closed; a longer document is a block of its own.
 BLOCK_IDS = 1 << 17
-KEPT_WORDS = 400_000
+#: Blocks that a reader decodes at a time.
+TOGETHER = 16
+#: Words kept with their ids by one Python worker, about 200 bytes each; above it the store is begun anew.
+KEPT_WORDS = 900_000
+#: Marks that are tokens of their own after a letter of Latin-1, the only ones taken off.
+MARKS = frozenset(".,;:!?")
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -147,13 +153,28 @@ class Words:
         self.kept: dict[str, bytes] = {}
 
     def learn(self, found: set[str]) -> None:
+        """Keeps the ids of all these words. A word is looked up by its stem, without a last mark,
+        which is a token of its own, and in lower case as the tokenizer has it."""
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()
-        new = [w for w in found if w not in self.kept]
+        kept = self.kept
+        stems = {w: self._stem(w) for w in found if w not in kept}
+        new = list({s for pair in stems.values() for s in pair if s} - ({s for pair in stems.values() for s in pair if s in kept}))
         for a in range(0, len(new), 4096):
             part = new[a:a + 4096]
             for word, one in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.kept[word] = np.array(one.ids, np.uint32).tobytes()
+                kept[word] = array("I", one.ids).tobytes()
+        for word, (stem, mark) in stems.items():
+            kept[word] = kept[stem] + kept[mark] if mark else kept[stem]
+
+    @staticmethod
+    def _stem(word: str) -> tuple[str, str]:
+        if "<|" in word:  # may hold a special token's string, whose case counts
+            return word, ""
+        low = word.lower() if word.isascii() else word
+        if len(low) > 1 and low[-1] in MARKS and low[-2] < "Ā" and low[-2].isalpha():
+            return low[:-1], low[-1]
+        return low, ""
 
     @staticmethod
     def split(text: str | None) -> list[str]:
@@ -295,19 +316,21 @@ def read(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, ahead = shared.value
         for batch in batches:
-            for row in range(batch.num_rows):
-                part, before, n = (batch.column(i)[row].as_py() for i in range(3))
-                counts = batch.column(4).slice(row, 1).flatten().to_numpy()
-                ids = unpack([batch.column(6)[row].as_py()], [np.frombuffer(batch.column(5)[row].as_py(), np.uint64)], [n], code)
-                at = np.concatenate([[0], np.cumsum(counts)])
-                width = 4096  # documents per batch out
-                for a in range(0, len(counts), width):
-                    b = min(a + width, len(counts))
+            for first in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(first, TOGETHER)
+                part, before, n = (some.column(i).to_numpy() for i in range(3))
+                ids = unpack(some.column(6).to_pylist(), [np.frombuffer(c, np.uint64) for c in some.column(5).to_pylist()], n.tolist(), code)
+                docs = np.diff(some.column(3).offsets.to_numpy())
+                keys, counts = some.column(3).flatten(), some.column(4).flatten().to_numpy()
+                at = np.concatenate([[0], np.cumsum(counts)])  # ids of these blocks before each document
+                base = np.array([ahead[p] for p in part.tolist()], np.int64) + before - (np.cumsum(n) - n)
+                starts = at[:-1] + np.repeat(base, docs)
+                for a in range(0, len(counts), 4096):  # documents per batch out
+                    b = min(a + 4096, len(counts))
                     data = pa.Array.from_buffers(pa.binary(), b - a, [
                         None, pa.py_buffer(((at[a:b + 1] - at[a]) * 4).astype(np.int32).tobytes()), pa.py_buffer(ids[at[a]:at[b]].astype("<u4").tobytes())])
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(3).slice(row, 1).flatten().slice(a, b - a), pa.array(at[a:b] + before + ahead[part]), pa.array(counts[a:b]), data],
-                        names=["key", "start", "n_tokens", "ids"])
+                        [keys.slice(a, b - a), pa.array(starts[a:b]), pa.array(counts[a:b]), data], names=["key", "start", "n_tokens", "ids"])
 
     out = stored.select("part", "before", "n", "keys", "counts", "checkpoints", "bits").mapInArrow(
         decode, "key long, start long, n_tokens long, ids binary")
