@@ -27,6 +27,7 @@ from pyspark.sql.window import Window
 
 from riskloom.llm import texts
 from riskloom.llm.components import components
+from riskloom.llm.narrowing import may_have
 from riskloom.session import materialise
 
 FAMILY_ROWS = 4096
@@ -280,30 +281,36 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
 
-    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # of this task: a copy in the same task adds no keys
+    def fresh_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """(ids, sets, offsets, set ids, which of them this task meets for the first time): a copy
+        in the same task adds nothing."""
+        seen: set[int] = set()
         for batch in batches:
             ids = batch.column(0)
             for a, b, raw, offsets in texts.chunks(batch.column(1)):
                 tokens, bounds = shingle_sets(raw, offsets, shingle)
                 sids = set_ids(tokens, bounds)
-                keys, at = region_keys(tokens, bounds, percent)
                 fresh = np.zeros(b - a, bool)
                 for i, sid in enumerate(sids.tolist()):
                     if sid not in seen and ids[a + i].is_valid:
                         seen.add(sid)
                         fresh[i] = True
-                counts = np.where(fresh, np.diff(at), 0)
-                keys = keys[np.repeat(fresh, np.diff(at))]
-                cuts = bounds.tolist()
-                maps = [bitmap(tokens[x:y]) if f else None for x, y, f in zip(cuts[:-1], cuts[1:], (counts > 0).tolist(), strict=True)]
-                at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(np.diff(bounds)), pa.array(sids), pa.ListArray.from_arrays(pa.array(at), pa.array(keys)),
-                     pa.array(maps, pa.binary())],
-                    names=["id", "n", "sid", "keys", "bits"])
-
-    profiles = materialise(source.mapInArrow(profile, "id long, n long, sid long, keys array<long>, bits binary"), "jaccard-profiles")
+                yield ids.slice(a, b - a), tokens, bounds, sids, fresh
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, tokens, bounds, sids, fresh in fresh_sets(batches):
+            cuts = bounds.tolist()
+            maps = [bitmap(tokens[x:y]) if f and y > x else None for x, y, f in zip(cuts[:-1], cuts[1:], fresh.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(bounds)), pa.array(sids), pa.array(maps, pa.binary())], names=["id", "n", "sid", "bits"])
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, tokens, bounds, sids, fresh in fresh_sets(batches):
+            keys, at = region_keys(tokens, bounds, percent)
+            keep, owner = np.repeat(fresh, np.diff(at)), np.repeat(sids, np.diff(at))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(owner[keep])], names=["key", "sid"])
+
+    # Sets are hashed again for their keys: that is cheaper than writing the keys.
+    profiles = materialise(source.mapInArrow(profile, "id long, n long, sid long, bits binary"), "jaccard-profiles")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, {}
@@ -331,11 +338,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in over]), pa.array([b for _, b in over])], names=["a", "b"])
         yield from close()
 
-    # Keys of one set only go at once; what is left is small, and takes sizes and bitmaps along.
+    # Keys of one set only go at once. Near copies share most of their keys: groups with the same
+    # members are one group, named by their members. What is left takes sizes and bitmaps along.
     shared = Window.partitionBy("key")
-    postings = (profiles.select(F.explode("keys").alias("key"), "sid")
-                .select("key", "sid", F.min("sid").over(shared).alias("first"), F.max("sid").over(shared).alias("last"))
-                .where("first < last").select("key", "sid"))
+    postings = (source.mapInArrow(post, "key long, sid long")
+                .select("sid", F.min("sid").over(shared).alias("first"), F.max("sid").over(shared).alias("last"),
+                        F.bit_xor(F.xxhash64("sid")).over(shared).alias("key"))
+                .where("first < last").select("key", "sid").distinct())
     maps = profiles.where("bits is not null").groupBy("sid").agg(F.min("id").alias("id"), F.min("n").alias("n")).join(
         profiles.where("bits is not null").select("id", "sid", "bits").withColumnRenamed("sid", "of"), "id").where("sid = of").select("sid", "n", "bits")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -396,8 +405,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         yield from close()
 
     # Texts, not their larger sets, go to the families; a text goes once through the join by key.
-    needed = tasks.groupBy("id", "sid").agg(F.collect_list(F.struct("task", "side", "alone")).alias("to"))
-    sent = source.join(needed, "id").select("sid", "text", F.explode("to").alias("to")).select("to.task", "sid", "to.side", "to.alone", "text")
+    needed = materialise(tasks.groupBy("id", "sid").agg(F.collect_list(F.struct("task", "side", "alone")).alias("to")), "jaccard-needed")
+    sent = source.where(may_have(needed.select("id"), F.col("id"))).join(needed, "id").select("sid", "text", F.explode("to").alias("to")).select("to.task", "sid", "to.side", "to.alone", "text")
     found = sent.repartition(width, "task").sortWithinPartitions("task", "sid").mapInArrow(links, "a long, b long")
     labels = components(found, "jaccard-links").select(F.col("node").alias("sid"), F.col("component").alias("label"))
 

@@ -120,3 +120,16 @@ def test_cap_filter_recall_at_the_threshold():
         for row, f in zip(*caps.list_decode(unit, 224, 7, threshold), strict=True):
             sets[row].add(int(f))
     assert np.mean([bool(a & b) for a, b in zip(*lists, strict=True)]) >= 0.95
+
+
+def test_narrowing_lets_no_key_go(spark):
+    from riskloom.llm.narrowing import may_have
+
+    from pyspark.sql import functions as F
+
+    keys = spark.range(0, 5000, 7).selectExpr("case when id = 7 then null else id end as k")
+    found = spark.range(20000).selectExpr("case when id = 1 then null else id end as id").withColumn("hit", may_have(keys, F.col("id")))
+    hits = {r["id"] for r in found.where("hit").collect()}
+    assert {i for i in range(0, 5000, 7) if i != 7} <= hits and len(hits) < 800 and None not in hits
+    assert found.where("hit is null").count() == 0
+    assert spark.range(5).where(may_have(keys.limit(0), F.col("id"))).count() == 0
