@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from riskloom.llm import texts
 
@@ -25,7 +27,8 @@ from riskloom.llm import texts
 #: Fixed value: the published pattern of byte-level pre-tokenisation.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words kept with their ids by one Python worker; above it the store is begun anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
+_INPUT = "__input"
 #: Characters of a word above which it is encoded alone and not kept.
 LONG_WORD = 48
 _NO_RANK = 1 << 62
@@ -259,17 +262,21 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     column that already has the name ``ids`` is replaced. A very long text is encoded whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_read(path))
+    rest = [c for c in docs.columns if c != ids]
+    source = docs.select(*(F.col(f"`{c}`") for c in rest), F.col(f"`{text}`").cast("string").alias(_INPUT))
 
-    @F.arrow_udf("array<int>")
-    def compute(column: pa.Array) -> pa.Array:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _loaded(shared)
-        found = []
-        for a, b, _, _ in texts.chunks(column):
-            found += vocabulary.encode_all(column.slice(a, b - a).to_pylist())
-        at = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), np.int32)))
+        for batch in batches:
+            for a, b, _, _ in texts.chunks(batch.column(len(rest))):
+                part = batch.slice(a, b - a)
+                found = vocabulary.encode_all(part.column(len(rest)).to_pylist())
+                at = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
+                new = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], new], names=[*rest, ids])
 
-    return docs.withColumn(ids, compute(F.col(f"`{text}`").cast("string")))
+    # A chunk at a time, not a column at a time: what a task holds stays small.
+    return source.mapInArrow(work, StructType([*(docs.schema[c] for c in rest), StructField(ids, ArrayType(IntegerType()))]))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -277,19 +284,23 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     that are no UTF-8 become the replacement character. Null arrays have the empty text, null and
     unknown ids none."""
     shared = encoded.sparkSession.sparkContext.broadcast(_read(path))
+    rest = [c for c in encoded.columns if c != text]
+    source = encoded.select(*(F.col(f"`{c}`") for c in rest), F.col(f"`{ids}`").alias(_INPUT))
 
-    @F.arrow_udf("string")
-    def compute(column: pa.Array) -> pa.Array:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _loaded(shared)
         n = len(vocabulary.tokens)
-        out = []
-        for row in column:
-            values = row.values
-            if values is None or len(values) == 0:
-                out.append("")
-                continue
-            values = values.drop_null().to_numpy(zero_copy_only=False)
-            out.append(vocabulary.decode(values[(values >= 0) & (values < n)].tolist()))
-        return pa.array(out, pa.string())
-
-    return encoded.withColumn(text, compute(F.col(f"`{ids}`")))
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                out = []
+                for row in part.column(len(rest)):
+                    values = row.values
+                    if values is None or len(values) == 0:
+                        out.append("")
+                        continue
+                    values = values.drop_null().to_numpy(zero_copy_only=False)
+                    out.append(vocabulary.decode(values[(values >= 0) & (values < n)].tolist()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(out, pa.string())], names=[*rest, text])
+
+    return source.mapInArrow(work, StructType([*(encoded.schema[c] for c in rest), StructField(text, StringType())]))

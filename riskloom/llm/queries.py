@@ -87,7 +87,7 @@ def op8_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    both = bpe.decode(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path), path)
+    both = bpe.decode(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path).drop("text"), path)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
