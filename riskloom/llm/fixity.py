@@ -17,7 +17,7 @@ from riskloom.session import materialise
 #: Bits of the smallest offset range, and by how many a range grows per level.
 RANGE_BITS, STEP_BITS, RANGE_LEVELS = 16, 4, 3
 #: Volumes per group, in bits, and levels of groups.
-GROUP_BITS, GROUP_LEVELS = 4, 6
+GROUP_BITS, GROUP_LEVELS = 8, 3
 
 
 def record(key: Column, url: Column, body: Column) -> Column:
@@ -108,7 +108,8 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
         if differing is not None:
             a, b = (_children(x, level, differing) for x in (a, b))
         both = a.join(b.withColumnRenamed("digest", "other"), ["volume", "node"], "full")
-        differing = both.where(~F.col("digest").eqNullSafe(F.col("other"))).select("volume", "node")
+        # Written at each level: both sides of the next one are narrowed by it.
+        differing = materialise(both.where(~F.col("digest").eqNullSafe(F.col("other"))).select("volume", "node"), "fixity-differing")
     places = ["volume", "offset", "length"]
     nth = F.row_number().over(Window.partitionBy("volume", "offset").orderBy("length", "digest"))
     a, b = (_children(t[0], 0, differing).withColumn("nth", nth) for t in (ours, theirs))
