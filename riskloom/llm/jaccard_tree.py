@@ -12,7 +12,8 @@ bitmaps below it and their range of sizes, and a pair of nodes goes when the mos
 share is too few. What is left is compared exactly. Pairs already connected are passed over, so a
 group of near copies costs about its size in comparisons, and links leave a task as a spanning
 forest. A family above ``FAMILY_ROWS`` sets or ``FAMILY_TOKENS`` n-grams is cut into blocks by size;
-every two blocks whose sizes can match are a task of their own.
+every two blocks whose sizes can match are a task of their own. A key shared by more than
+``FAMILY_ROWS`` sets makes all of them one family.
 """
 
 from __future__ import annotations
@@ -313,10 +314,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     profiles = materialise(source.mapInArrow(profile, "id long, n long, sid long, bits binary"), "jaccard-profiles")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, {}
+        key, held, crowded = None, {}, False
 
         def close() -> Iterator[pa.RecordBatch]:
-            if len(held) > 1:
+            if crowded:
+                yield pa.RecordBatch.from_arrays([pa.array([first] * len(held)), pa.array(list(held))], names=["a", "b"])
+            elif len(held) > 1:
                 ids, (sizes, maps) = list(held), zip(*held.values(), strict=True)
                 found = possible_links(list(maps), list(sizes), percent)
                 if found:
@@ -327,12 +330,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
             for k, sid, n, bits in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if k != key:
                     yield from close()
-                    key, held, first = k, {}, sid
+                    key, held, crowded, first = k, {}, False, sid
                 if sid in held or bits is None:
                     continue
                 if len(held) < family_rows:
                     held[sid] = (n, bits)
-                else:  # a key beyond what a task holds: possible as far as known here
+                else:  # a group beyond what a task compares is one family, held sets and all
+                    crowded = True
                     over.append((first, sid))
             if over:
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in over]), pa.array([b for _, b in over])], names=["a", "b"])

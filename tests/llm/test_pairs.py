@@ -55,6 +55,21 @@ def test_jaccard_odd_tables(spark):
     assert got == sorted([(1, 2, 1), (1, 2, 1), (None, 2, None), (4, 2, 1), (4, 1, 4)], key=str)
 
 
+def test_a_link_across_the_end_of_a_crowded_group(spark):
+    """The last two texts link, and every key they share is shared by two of the others, none of which links."""
+    lines = """
+w2280 w1313 w1314 w2839 w1991 w1471 w266 w1660 w1889 w1350 w686 w2587 w25 w2059 w1382 w590
+w744 w2280 w1313 w113 w1991 w1464 w266 w1889 w686 w1370 w2059 w418 w2660 w2001 w2575 w1529
+w744 w1314 w2839 w113 w1464 w1471 w1660 w1350 w1370 w2587 w25 w1785 w1909 w2634 w2370 w1560
+w2025 w744 w2280 w887 w1313 w1201 w1314 w2839 w113 w1991 w1464 w1471 w266 w1660 w1889 w1350 w686 w1370 w2587 w25 w2059 w2821
+w2025 w744 w2280 w887 w1313 w1201 w1314 w2839 w113 w1991 w1464 w1471 w266 w1660 w1889 w1350 w686 w1370 w2587 w25 w2059 w375
+""".strip().splitlines()
+    docs = [(i, t, "", "", 0) for i, t in enumerate(lines)]
+    want = expected(docs, 1, 80)
+    assert sorted(c for _, _, c in want) == [0, 1, 2, 3, 3]
+    assert {tuple(r) for r in jaccard_components(frame(spark, docs), shingle=1, percent=80, family_rows=3).collect()} == want
+
+
 def test_families_keep_every_link():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 200, dtype=np.uint64)
