@@ -269,6 +269,19 @@ def family_links(sets: list[np.ndarray], sides: np.ndarray | None, percent: int)
     return links
 
 
+def named_groups(postings: DataFrame) -> DataFrame:
+    """Distinct (key, sid) of ``postings`` (key, sid) without keys of one set only; keys with the
+    same sets become one, named by its sets. A set may be posted several times under a key, but then as often
+    under each of its keys. Names come from sums, in which repeats do not cancel out; the halves of
+    the hashes are summed apart, so that no sum overflows."""
+    shared = Window.partitionBy("key")
+    h = F.xxhash64("sid")
+    sums = [F.sum(half).over(shared) for half in (F.shiftrightunsigned(h, 32), h.bitwiseAND(0xFFFFFFFF))]
+    return (postings.select("sid", F.min("sid").over(shared).alias("first"), F.max("sid").over(shared).alias("last"),
+                            *(s.alias(f"sum{i}") for i, s in enumerate(sums)))
+            .where("first < last").select(F.xxhash64("first", "last", "sum0", "sum1").alias("key"), "sid").distinct())
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5,
                        percent: int = 80, family_rows: int = FAMILY_ROWS, family_tokens: int = FAMILY_TOKENS) -> DataFrame:
     """(key, n_shingles, component_id) of every row: ``component_id`` is the smallest key reachable
@@ -344,11 +357,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
     # Keys of one set only go at once. Near copies share most of their keys: groups with the same
     # members are one group, named by their members. What is left takes sizes and bitmaps along.
-    shared = Window.partitionBy("key")
-    postings = (source.mapInArrow(post, "key long, sid long")
-                .select("sid", F.min("sid").over(shared).alias("first"), F.max("sid").over(shared).alias("last"),
-                        F.bit_xor(F.xxhash64("sid")).over(shared).alias("key"))
-                .where("first < last").select("key", "sid").distinct())
+    postings = named_groups(source.mapInArrow(post, "key long, sid long"))
     maps = profiles.where("bits is not null").groupBy("sid").agg(F.min("id").alias("id"), F.min("n").alias("n")).join(
         profiles.where("bits is not null").select("id", "sid", "bits").withColumnRenamed("sid", "of"), "id").where("sid = of").select("sid", "n", "bits")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))

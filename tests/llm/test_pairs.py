@@ -5,11 +5,11 @@ import re
 
 import numpy as np
 import pytest
-from cases import documents, frame
+from cases import SCHEMA, documents, frame
 
 from riskloom.llm import caps
 from riskloom.llm.components import components
-from riskloom.llm.jaccard_tree import family_links, jaccard_components, possible_links, bitmap
+from riskloom.llm.jaccard_tree import family_links, jaccard_components, named_groups, possible_links, bitmap
 
 
 def grouped(nodes, links):
@@ -70,6 +70,22 @@ w2025 w744 w2280 w887 w1313 w1201 w1314 w2839 w113 w1991 w1464 w1471 w266 w1660
     assert {tuple(r) for r in jaccard_components(frame(spark, docs), shingle=1, percent=80, family_rows=3).collect()} == want
 
 
+def test_sets_posted_twice_keep_their_groups_apart(spark):
+    """Pairs of near copies, each text in both of two partitions: no group of one pair meets another's."""
+    postings = [(k, sid) for k in range(20) for sid in (2 * (k // 2), 2 * (k // 2) + 1)] * 2 + [(99, 7), (99, 7)]
+    got = named_groups(spark.createDataFrame(postings, "key long, sid long")).collect()
+    assert len(got) == 20 and len({r["key"] for r in got}) == 10
+    rng = random.Random(8)
+    texts = []
+    for i in range(24):
+        one = [f"p{i}w{rng.randrange(10**6)}" for _ in range(30)]
+        texts += [" ".join(one), " ".join([*one[:-1], "other"])]
+    halves = [spark.createDataFrame([(i + start, t, "", "", 0) for i, t in enumerate(texts)], SCHEMA).coalesce(1) for start in (0, 1000)]
+    docs = [(i + start, t, "", "", 0) for start in (0, 1000) for i, t in enumerate(texts)]
+    got = {tuple(r) for r in jaccard_components(halves[0].union(halves[1]), shingle=4, percent=85, family_rows=4).collect()}
+    assert got == expected(docs, 4, 85) and len({c for _, _, c in got}) == 24
+
+
 def test_families_keep_every_link():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 200, dtype=np.uint64)
