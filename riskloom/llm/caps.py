@@ -3,13 +3,17 @@
 A filter is a direction, and takes the unit vectors in the cap around it. The directions are a
 product: one of ``codes`` random unit vectors in the first half of the dimensions with one of
 ``codes`` in the second. So a vector finds all filters whose cap it is in from two short lists of
-inner products, without trying them all. Vectors that share a filter are compared exactly, in
+inner products, without trying them all. Before the dimensions are halved the vectors go through a
+fixed random rotation, so that whatever dimensions a vector's norm lies in, both halves get about as
+much of it. A vector in fewer than ``LIST`` caps takes its ``LIST`` nearest directions instead, so
+every vector is compared. Vectors that share a filter are compared exactly, in
 double precision; a pair is reported by the smallest filter it shares, so once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.components import components
 from riskloom.session import materialise
 
-#: Filters that most vectors are to exceed, at least.
+#: Filters of a vector, at least; most exceed the threshold with as many.
 LIST = 24
 #: Vectors the threshold is fitted on: those with the smallest hashes of their ids.
 FIT_ROWS = 1024
@@ -33,8 +37,16 @@ def codebook(codes: int, width: int, half: int, seed: int) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True) / np.sqrt(2)
 
 
+@lru_cache(maxsize=4)
+def rotation(width: int, seed: int) -> np.ndarray:
+    """A random orthogonal matrix."""
+    q, r = np.linalg.qr(np.random.default_rng((seed, width)).standard_normal((width, width)))
+    return q * np.where(np.diag(r) < 0, -1.0, 1.0)
+
+
 def halves(unit: np.ndarray, codes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Inner products with the codes of either half."""
+    """Inner products of the rotated vectors with the codes of either half."""
+    unit = unit @ rotation(unit.shape[1], seed)
     cut = (unit.shape[1] + 1) // 2
     first, second = unit[:, :cut], unit[:, cut:] if unit.shape[1] > 1 else unit[:, :1]
     return first @ codebook(codes, cut, 0, seed).T, second @ codebook(codes, second.shape[1], 1, seed).T
@@ -50,8 +62,9 @@ def fit_threshold(unit: np.ndarray, codes: int, seed: int, size: int = LIST) ->
     return float(np.quantile(sums[:, -min(size, sums.shape[1])], 0.1))
 
 
-def list_decode(unit: np.ndarray, codes: int, seed: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) of all filters that the vectors exceed, by row, then filter."""
+def list_decode(unit: np.ndarray, codes: int, seed: int, threshold: float, size: int = LIST) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) of all filters that the vectors exceed, by row, then filter; of a vector that
+    exceeds fewer than ``size``, its ``size`` best."""
     a, b = halves(unit, codes, seed)
     row, first = np.nonzero(a + b.max(1, keepdims=True) >= threshold)
     found_row, found = [], []
@@ -60,7 +73,21 @@ def list_decode(unit: np.ndarray, codes: int, seed: int, threshold: float) -> tu
         hit, second = np.nonzero(a[r, f][:, None] + b[r] >= threshold)
         found_row.append(r[hit])
         found.append(f[hit].astype(np.int64) * codes + second)
-    return (np.concatenate(found_row), np.concatenate(found)) if found else (row, first.astype(np.int64))
+    row = np.concatenate(found_row) if found else np.zeros(0, np.int64)
+    found = np.concatenate(found) if found else np.zeros(0, np.int64)
+    few = np.flatnonzero(np.bincount(row, minlength=len(unit)) < size)
+    if len(few):
+        most = min(size, codes)
+        a_best, b_best = np.argsort(-a[few], axis=1)[:, :most], np.argsort(-b[few], axis=1)[:, :most]
+        sums = np.take_along_axis(a[few], a_best, 1)[:, :, None] + np.take_along_axis(b[few], b_best, 1)[:, None, :]
+        best = np.argsort(-sums.reshape(len(few), -1), axis=1)[:, :size]
+        mine = np.take_along_axis(a_best, best // most, 1).astype(np.int64) * codes + np.take_along_axis(b_best, best % most, 1)
+        others = ~np.isin(row, few)
+        row = np.concatenate([row[others], np.repeat(few, mine.shape[1])])
+        found = np.concatenate([found[others], mine.ravel()])
+        order = np.lexsort((found, row))
+        row, found = row[order], found[order]
+    return row, found
 
 
 def close_pairs(unit: np.ndarray, lists: list[np.ndarray], here: int, sides: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,7 +185,7 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", key: str = "v
                 rep, n, data = part.column(0).to_numpy(), part.column(1).to_numpy(), part.column(2)
                 for length, (at, unit) in units(data).items():
                     if length in thresholds:
-                        row, found = list_decode(unit, codes, seed, thresholds[length])
+                        row, found = list_decode(unit, codes, seed, thresholds[length], size)
                     else:
                         row, found = np.arange(len(at)), np.zeros(len(at), np.int64)
                     per = np.bincount(row, minlength=len(at))

@@ -153,6 +153,28 @@ def test_cap_filter_recall_at_the_threshold():
     assert np.mean([bool(a & b) for a, b in zip(*lists, strict=True)]) >= 0.95
 
 
+@pytest.mark.parametrize("codes", [224, 1000, 3000])
+def test_cap_filter_recall_of_lopsided_vectors(codes):
+    """A minority of 5% whose norm lies in one half of the dimensions meets its near copies too."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((800, 64))
+    x[:40, 32:] = 0
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((800, 64))
+    side[:40, 32:] = 0
+    side -= (side * x).sum(1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    y = 0.951 * x + np.sqrt(1 - 0.951**2) * side
+    threshold = caps.fit_threshold(x, codes, 7)
+    lists = [[set() for _ in range(800)] for _ in range(2)]
+    for sets, unit in zip(lists, (x, y), strict=True):
+        for row, f in zip(*caps.list_decode(unit, codes, 7, threshold), strict=True):
+            sets[row].add(int(f))
+    assert min(len(one) for sets in lists for one in sets) >= caps.LIST
+    met = np.array([bool(a & b) for a, b in zip(*lists, strict=True)])
+    assert met.mean() >= 0.95 and met[:40].mean() >= 0.85
+
+
 def test_narrowing_lets_no_key_go(spark):
     from riskloom.llm.narrowing import may_have
 
