@@ -205,6 +205,72 @@ def test_licences(spark):
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in licences.scan(frame(spark, rows)).collect())
 
 
+MIT_TEXT = """The MIT License (MIT)
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+BSD_TEXT = """Copyright (c) 2020, Some One
+All rights reserved.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL_TEXT = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_wrapped_notices(spark):
+    plain = [MIT_TEXT, BSD_TEXT, GPL_TEXT, APACHE_TEXT]
+    marked = [re.sub("(?m)^", mark, t) for mark in (" * ", "// ", "# ", ";; ", "rem ") for t in plain]
+    texts_ = plain + marked + [t.replace("\n", "\r\n") for t in plain]
+    names = ["MIT", "BSD-3-Clause LicenseRef-all-rights-reserved", "GPL-2.0-or-later", "Apache-2.0"]
+    got = {r["doc_id"]: r for r in licences.scan(frame(spark, [(i, t, "", "", 0) for i, t in enumerate(texts_)])).collect()}
+    for i in range(len(texts_)):
+        assert got[i]["licences"] == names[i % 4] and got[i]["unmatched"] == "", (i, got[i])
+    assert got[0]["sentences"] == "MitTitle MitGrant MitKeep MitAsIs" and got[3]["n_sentences"] == 5
+    assert licences.scan(frame(spark, [(1, "Released under\n\nthe MIT License", "", "", 0)])).first()["licences"] == ""
+    own = licences.scan(frame(spark, [(0, "Under the\nISC licence", "", "", 0)]), sentences={"Isc": "under the isc licence"}, rules=[("ISC", ("Isc",))]).collect()
+    assert [(r["licences"], r["sentences"]) for r in own] == [("ISC", "Isc")]
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame([(i, f"http://x/{i}", "<p>é" * (i % 40)) for i in range(3000)] + [(None, None, None)] * 2, "page_id long, url string, html string")
     archive = fixity.volumes(pages.selectExpr("*", "1 as volume", "2 as node"), rows=64).cache()
