@@ -283,7 +283,8 @@ def named_groups(postings: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5,
-                       percent: int = 80, family_rows: int = FAMILY_ROWS, family_tokens: int = FAMILY_TOKENS) -> DataFrame:
+                       percent: int = 80, family_rows: int = FAMILY_ROWS, family_tokens: int = FAMILY_TOKENS,
+                       rows_apart: bool = False) -> DataFrame:
     """(key, n_shingles, component_id) of every row: ``component_id`` is the smallest key reachable
     over links, and two rows link when 100 * common >= percent * union of their word n-gram sets.
 
@@ -291,16 +292,20 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     than ``shingle`` is one n-gram. A null, empty or blank text has no n-grams and stays alone; so
     does a row with a null key, whose component is null. Rows repeated in all columns stay repeated. An empty table gives an empty
     one. Other columns are not read, whatever their names. N-grams, sets and keys are 64-bit hashes.
+
+    With ``rows_apart``, also what tells rows apart that share a key: ``text_hash``, xxhash64 of the text, and
+    ``component``, one number per component (null for rows that stay alone).
     """
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    hashed = source.withColumn("text_hash", F.xxhash64("text")) if rows_apart else source
 
     def fresh_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """(ids, sets, offsets, set ids, which of them this task meets for the first time): a copy
         in the same task adds nothing."""
         seen: set[int] = set()
         for batch in batches:
-            ids = batch.column(0)
+            ids, hashes = batch.column(0), batch.column(batch.num_columns - 1)
             for a, b, raw, offsets in texts.chunks(batch.column(1)):
                 tokens, bounds = shingle_sets(raw, offsets, shingle)
                 sids = set_ids(tokens, bounds)
@@ -309,22 +314,23 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
                     if sid not in seen and ids[a + i].is_valid:
                         seen.add(sid)
                         fresh[i] = True
-                yield ids.slice(a, b - a), tokens, bounds, sids, fresh
+                yield ids.slice(a, b - a), tokens, bounds, sids, fresh, hashes.slice(a, b - a)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, tokens, bounds, sids, fresh in fresh_sets(batches):
+        for ids, tokens, bounds, sids, fresh, hashes in fresh_sets(batches):
             cuts = bounds.tolist()
             maps = [bitmap(tokens[x:y]) if f and y > x else None for x, y, f in zip(cuts[:-1], cuts[1:], fresh.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(bounds)), pa.array(sids), pa.array(maps, pa.binary())], names=["id", "n", "sid", "bits"])
+            columns = {"id": ids, "n": pa.array(np.diff(bounds)), "sid": pa.array(sids), "bits": pa.array(maps, pa.binary())}
+            yield pa.RecordBatch.from_pydict(columns | ({"text_hash": hashes} if rows_apart else {}))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, bounds, sids, fresh in fresh_sets(batches):
+        for _, tokens, bounds, sids, fresh, _ in fresh_sets(batches):
             keys, at = region_keys(tokens, bounds, percent)
             keep, owner = np.repeat(fresh, np.diff(at)), np.repeat(sids, np.diff(at))
             yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(owner[keep])], names=["key", "sid"])
 
     # Sets are hashed again for their keys: that is cheaper than writing the keys.
-    profiles = materialise(source.mapInArrow(profile, "id long, n long, sid long, bits binary"), "jaccard-profiles")
+    profiles = materialise(hashed.mapInArrow(profile, "id long, n long, sid long, bits binary" + ", text_hash long" * rows_apart), "jaccard-profiles")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, crowded = None, {}, False
@@ -425,7 +431,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
     known = first.select("sid", "id").join(labels, "sid", "left").select("sid", "id", F.coalesce("label", "sid").alias("label"))
     least = known.groupBy("label").agg(F.min("id").alias("component_id"))
-    classes = known.join(least, "label").select("sid", "component_id")
-    return profiles.select("id", "n", "sid").join(classes, "sid", "left").select(
+    classes = known.join(least, "label").select("sid", "component_id", "label")
+    linked = (F.col("n") > 0) & F.col("id").isNotNull()
+    apart = ["text_hash", F.when(linked, F.col("label")).alias("component")] if rows_apart else []
+    return profiles.drop("bits").join(classes, "sid", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
-        F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        F.when(linked, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), *apart)

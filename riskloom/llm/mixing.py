@@ -53,20 +53,21 @@ def targets(sources: DataFrame, most: float = 3.0) -> DataFrame:
 
 
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", most: int = 3,
-        seed: int = 0, part_rows: int = PART_ROWS) -> DataFrame:
-    """``key``, size, source_size, target, copies, taken for every row of ``docs``.
+        seed: int = 0, part_rows: int = PART_ROWS, carry: str | None = None) -> DataFrame:
+    """``key``, size, source_size, target, copies, taken for every row of ``docs``, and the column ``carry``.
 
     ``copies`` is how often the mix takes the row (0 to ``most``), ``taken`` = copies * size. The
     order of a queue is a hash of key, text and ``seed``, so reruns agree. A row of size 0 costs
     nothing and is taken once if its source's queue gets to it. Null sources are one source, the
     last; null texts have size 0; rows repeated in all columns are queued one after the other. If
     no row has words, all targets are 0 and nothing is taken. An empty table gives an empty one.
-    Only the three named columns are read. A source is cut by hash into parts of
+    Only the named columns are read. A source is cut by hash into parts of
     about ``part_rows``, whose sums give the others their start, so a source with a third of all rows is spread.
     """
     sized = docs.select(
         F.col(f"`{key}`").alias("id"), F.col(f"`{source}`").cast("string").alias("source"), word_count(F.col(f"`{text}`")).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).alias("order"))
+        F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).alias("order"),
+        *([F.col(f"`{carry}`").alias("__carried")] if carry else []))
     sized = materialise(sized, "mix-sizes")
     bare = F.col("source").isNull().cast("int").alias("bare")
     rows = sized.withColumn("bare", bare).withColumn("source", F.coalesce("source", F.lit("")))
@@ -86,7 +87,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     inside = Window.partitionBy(*queue, "part").orderBy(F.shiftrightunsigned("order", 33), "order", "id").rowsBetween(Window.unboundedPreceding, 0)
     queued = cut.withColumn("upto", F.sum("size").over(inside)).withColumn("nth", F.count("*").over(inside))
     queued = queued.join(sums, [*queue, "part"]).withColumn("upto", F.col("upto") + F.col("before"))
-    queued = materialise(queued.select("id", "size", "source_size", "target", "upto", "nth", "part", *queue), "mix-queues")
+    queued = materialise(queued.select("id", "size", "source_size", "target", "upto", "nth", "part", *queue, *(["__carried"] if carry else [])), "mix-queues")
 
     place = ["finish", *queue, "part", "nth", "round"]
 
@@ -117,4 +118,5 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     hits = [F.col("target") > 0 if end is None else (F.col("target") > 0) & (F.struct(*at(F.lit(r))) < end) for r in range(most)]
     taken = sum((h.cast("int") for h in hits[1:]), hits[0].cast("int"))
     copies = F.when(F.col("size") > 0, taken).otherwise(F.least(taken, F.lit(1)))
-    return queued.select(F.col("id").alias(key), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return queued.select(F.col("id").alias(key), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
+                         *([F.col("__carried").alias(carry)] if carry else []))

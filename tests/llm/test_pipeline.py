@@ -49,3 +49,17 @@ def test_stages_take_odd_rows(spark, tables):
         out = stage(spark, frame(spark, rows), tables).collect()
         assert out, name
         assert stage(spark, frame(spark, []), tables).collect() == [], name
+
+
+def test_repeated_and_null_ids(spark, tables):
+    """Rows that share an id, or have none, are rows of their own in the mix; of repeated rows of a group one stays."""
+    words = [" ".join(f"d{i}w{j}" for j in range(12)) for i in range(4)]
+    rows = [(7, words[0], "en", "a", 1)] * 5 + [(None, words[1], "en", "a", 1)] * 6 + [(8, words[2], "en", "a", 1), (8, words[3], "en", "a", 1)]
+    mixed = corpus_pipeline.mix_sources(spark, frame(spark, rows), tables).collect()
+    assert sorted(r["text"] for r in mixed) == sorted(r[1] for r in rows)
+    near = words[0] + " more"
+    rows += [(9, words[0], "en", "a", 1), (7, near, "en", "a", 1), (7, words[3], "en", "a", 1), (8, words[0], "en", "a", 1), (5, "", "en", "a", 0), (5, "", "en", "a", 0)]
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_one_of_near_copies(spark, frame(spark, rows), tables).collect()]
+    assert sum(i == 7 and t in (words[0], near) for i, t in kept) == 1
+    rest = [(i, t) for i, t in kept if t not in (words[0], near)]
+    assert sorted(rest, key=str) == sorted([(None, words[1])] * 6 + [(8, words[2]), (7, words[3]), (5, ""), (5, "")], key=str)
