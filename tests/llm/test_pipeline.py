@@ -12,14 +12,14 @@ from riskloom.llm.queries import ORACLES, QUERIES
 
 
 def test_registration():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{n}" for n in range(1, 14)), "pipeline"]
     assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_its_sql(spark, tables, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tables}/{table}.parquet'")
     got, want = QUERIES[name](spark, tables).toPandas(), con.sql(ORACLES[name]).df()
     assert set(got.columns) == set(want.columns)
