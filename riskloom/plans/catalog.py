@@ -26,6 +26,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> tuple[dict[str, Query], dict[str, str]]:
-    from riskloom.plans import queries_models, queries_sources, queries_streams, queries_tables  # noqa: F401
+    from riskloom.plans import queries_jobs, queries_models, queries_sources, queries_streams, queries_tables  # noqa: F401
 
     return dict(QUERIES), dict(ORACLES)

@@ -81,6 +81,17 @@ def labelled_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return sound.withColumn(LABEL, label).filter(F.col(LABEL).isNotNull())
 
 
+def training_rows(records: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The raw records, all columns as they are, that training would use."""
+    kept = records.withColumn("_raw", F.struct("*"))
+    return labelled_rows(clean(kept, spec), spec).select("_raw.*")
+
+
+def known_targets(records: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The raw records whose target, without blanks around it, is a label of the spec."""
+    return records.filter(F.coalesce(strip(F.col(f"`{spec.target}`").cast("string")).isin(*spec.label_order), F.lit(False)))
+
+
 def unlabelled_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return df.filter(~is_labelled(F.col(target_name(spec))))
 
@@ -166,10 +177,34 @@ def with_slot_counts(rows: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, int
     return rows.select(*named), found["n_positive"] + found["n_negative"]
 
 
+@dataclass(frozen=True)
+class FitReport:
+    """How a fit went: rows it used, steps of the optimiser, the objective it ended at, and its
+    judgement of the steps: ``converged``, ``iteration limit``, or ``stalled``, where the last step
+    still gained much and yet none followed."""
+
+    rows: int
+    iterations: int
+    objective: float
+    status: str
+
+    @classmethod
+    def of(cls, rows: int, history: Sequence[float], spec: FeatureSpec) -> FitReport:
+        steps = len(history) - 1
+        gain = abs(history[-2] - history[-1]) / max(abs(history[-1]), 1e-300) if steps > 0 else 0.0
+        if gain <= max(10 * spec.tolerance, 1e-7):
+            status = "converged"
+        else:
+            status = "iteration limit" if steps >= spec.max_iter else "stalled"
+        return cls(rows, steps, float(history[-1]), status)
+
+
 @dataclass(frozen=True)
 class RiskModel:
     spec: FeatureSpec
     fitted: PipelineModel
+    #: Of a model that was just fitted; a loaded one has its report in the registry.
+    report: FitReport | None = None
 
     def stage(self, kind: type):
         """The fitted stage of a kind, or None; the plan has at most one of each."""
@@ -204,7 +239,8 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
         rows, n = with_slot_counts(rows, spec)
         rows = rows.repartition(_even_parts(rows, n)).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(rows)
-        return RiskModel(spec, Pipeline(stages=stages(spec)).fit(rows))
+        fitted = Pipeline(stages=stages(spec)).fit(rows)
+        return RiskModel(spec, fitted, FitReport.of(n, fitted.stages[-1].summary.objectiveHistory, spec))
     finally:
         for table in held:
             table.unpersist()
