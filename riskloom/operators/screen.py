@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegralType
 
@@ -15,17 +15,9 @@ from riskloom.functions.chi_square import chi_square_tail
 from riskloom.operators.ranking import running_totals
 from riskloom.session import materialise
 
-MAX_LABELS = 1_000
-BROADCAST_VALUES = 200_000
+#: A value that this share of the rows has, one in so many, gets its rank from a broadcast: there are no more such values per column.
 HOT_SHARES = 1_000
-
-
-def _labels(df: DataFrame, label: str) -> list:
-    """The distinct labels; a target with more than MAX_LABELS of them is not a class."""
-    found = df.select(label).distinct().filter(F.col(label).isNotNull()).limit(MAX_LABELS + 1).collect()
-    if len(found) > MAX_LABELS:
-        raise ValueError(f"{label} has more than {MAX_LABELS} distinct values")
-    return sorted(row[0] for row in found)
+_CATEGORY = ("_feature", "_whole", "_real", "_text")
 
 
 def _cell(df: DataFrame, position: int, feature: str) -> Column:
@@ -40,44 +32,66 @@ def _cell(df: DataFrame, position: int, feature: str) -> Column:
     return F.struct(F.lit(position).alias("_feature"), whole.alias("_whole"), real.alias("_real"), text.alias("_text"))
 
 
+def _category() -> Column:
+    return F.coalesce(F.col("_text"), F.col("_whole").cast("string"), F.col("_real").cast("string"))
+
+
+def _cells(df: DataFrame, features: Sequence[str], label: Column) -> DataFrame:
+    """One row per (feature, category, label) that occurs, with its count: the table is read once, and counts are
+    combined before the shuffle. Rows with a null label or category are left out."""
+    each = F.array(*[_cell(df, i, f) for i, f in enumerate(features)])
+    filled = F.col("_text").isNotNull() | F.col("_whole").isNotNull() | F.col("_real").isNotNull()
+    return (df.select(label.alias("_label"), F.inline(each)).filter(F.col("_label").isNotNull() & filled)
+            .groupBy(*_CATEGORY, "_label").agg(F.count("*").alias("n")))
+
+
+def contingency_cells(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``(variable, category, label, n)``: the cells of the contingency tables that are not empty, whatever the number of labels."""
+    names = F.array(*[F.lit(f) for f in features])
+    return _cells(df, features, F.col(label)).select(
+        F.get(names, F.col("_feature")).alias("variable"), _category().alias("category"), F.col("_label").alias("label"), "n")
+
+
 def contingency(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:
-    """One row per (variable, category) with a count per label in ``n_0``, ``n_1``, ...
+    """The same with a column per label: one row per (variable, category) with a count per label in ``n_0``, ``n_1``, ...
 
-    Rows with a null label or category are left out. The table is read once, and counts are
-    combined before the shuffle.
+    For a target of a few classes; without ``labels`` they are looked up, in ascending order.
     """
-    labels = list(labels) if labels is not None else _labels(df, label)
+    if labels is None:
+        labels = sorted(row[0] for row in df.select(label).distinct().filter(F.col(label).isNotNull()).collect())
     position = F.coalesce(*[F.when(F.col(label) == v, F.lit(i)) for i, v in enumerate(labels)])
-    cells = F.array(*[_cell(df, i, f) for i, f in enumerate(features)])
-    category = F.coalesce(F.col("_text"), F.col("_whole").cast("string"), F.col("_real").cast("string"))
-    filled = F.col("_text").isNotNull() | F.col("_whole").isNotNull() | F.col("_real").isNotNull()
-    counted = (df.select(position.alias("_label"), F.inline(cells)).filter(F.col("_label").isNotNull() & filled)
-               .groupBy("_feature", "_whole", "_real", "_text")
-               .agg(*[F.count_if(F.col("_label") == i).alias(f"n_{i}") for i in range(len(labels))]))
     names = F.array(*[F.lit(f) for f in features])
-    return counted.select(F.get(names, F.col("_feature")).alias("variable"), category.alias("category"),
-                          *[f"n_{i}" for i in range(len(labels))])
+    counts = [F.sum(F.when(F.col("_label") == i, F.col("n")).otherwise(0)).alias(f"n_{i}") for i in range(len(labels))]
+    return _cells(df, features, position).groupBy(*_CATEGORY).agg(*counts).select(
+        F.get(names, F.col("_feature")).alias("variable"), _category().alias("category"), *[f"n_{i}" for i in range(len(labels))])
 
 
 def chi_square_stat(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:
     """``(variable, statistic, dof)`` of Pearson's test of independence.
 
-    The cells o are compared with what the margins expect, e: the statistic is the sum of
-    (o - e)^2 / e, which loses no digits in large tables as the sum of squares less N would. The
-    cells are written once and read for the margins and for the sum.
+    The cells o that occur are compared with what the margins expect, e, by (o - e)^2 / e, which loses no
+    digits in large tables as the sum of squares less N would. A cell that does not occur adds e, and all of these
+    together are N less the e of the cells that do: that difference is taken in whole numbers. So only
+    cells that occur are held, and neither labels nor categories are listed or limited. With ``labels`` only these count.
     """
-    labels = list(labels) if labels is not None else _labels(df, label)
-    cells = materialise(contingency(df, features, label, labels), "contingency")
-    counts = [F.col(f"n_{i}") for i in range(len(labels))]
-    margins = cells.groupBy("variable").agg(F.count("*").alias("_categories"), *[F.sum(c).alias(f"c_{i}") for i, c in enumerate(counts)])
-    present = [F.col(f"c_{i}") for i in range(len(labels))]
-    total, row_sum = sum(present[1:], present[0]).cast("double"), sum(counts[1:], counts[0]).cast("double")
-    expected = [row_sum * c / total for c in present]
-    terms = [F.when(c > 0, (o - e) * (o - e) / e).otherwise(0.0) for o, e, c in zip(counts, expected, present)]
-    used = [F.when(c > 0, 1).otherwise(0) for c in present]
-    return cells.join(margins, "variable").groupBy("variable").agg(
-        F.sum(sum(terms[1:], terms[0])).alias("statistic"),
-        F.first(((F.col("_categories") - 1) * (sum(used[1:], used[0]) - 1)).cast("long")).alias("dof"))
+    value = F.col(label)
+    cells = _cells(df, features, value if labels is None else F.when(value.isin(*labels), value))
+    alike = Window.partitionBy(*_CATEGORY)
+    rows = cells.withColumn("_row", F.sum("n").over(alike)).withColumn(
+        "_first", (F.row_number().over(alike.orderBy("_label")) == 1).cast("long"))
+    columns = cells.groupBy("_feature", "_label").agg(F.sum("n").alias("_column"))
+    totals = columns.groupBy("_feature").agg(F.sum("_column").alias("_all"), F.count("*").alias("_labels"))
+    margins = columns.join(totals, "_feature")
+    whole = "decimal(18,0)"
+    expected = F.col("_row").cast("double") * F.col("_column") / F.col("_all")
+    off = F.col("n") - expected
+    sums = rows.join(margins, ["_feature", "_label"]).groupBy("_feature").agg(
+        F.sum(off * off / expected).alias("_occurring"), F.sum(F.col("_row").cast(whole) * F.col("_column").cast(whole)).alias("_mass"),
+        F.sum("_first").alias("_categories"), F.max("_all").alias("_all"), F.max("_labels").alias("_labels"))
+    absent = (F.col("_all").cast(whole) * F.col("_all").cast(whole) - F.col("_mass")).cast("double") / F.col("_all")
+    names = F.array(*[F.lit(f) for f in features])
+    return sums.select(F.get(names, F.col("_feature")).alias("variable"), (F.col("_occurring") + absent).alias("statistic"),
+                       ((F.col("_categories") - 1) * (F.col("_labels") - 1)).alias("dof"))
 
 
 def chi_square_screen(df: DataFrame, features: Sequence[str], label: str, labels: Sequence | None = None) -> DataFrame:
@@ -94,26 +108,6 @@ def screen_by_chi_square(
     return tested.select("variable", "p_value", (F.col("p_value") < alpha).alias("keep"))
 
 
-def _attach_rank(rows: DataFrame, ranks: DataFrame, column: str, distinct: int, hot: int) -> DataFrame:
-    """Add ``<column>_rank``. A small rank table is broadcast. With a large one the rows are
-    shuffled on the value; the few values with a large share of the rows get their rank from
-    a broadcast instead, and their rows are spread over all partitions by a salt, which differs
-    from row to row, also between rows that are equal in all columns."""
-    rank = f"{column}_rank"
-    if distinct <= BROADCAST_VALUES:
-        side = ranks.select(F.col("value").alias(column), F.col("rank").alias(rank))
-        return rows.join(F.broadcast(side), column)
-    frequent = ranks.filter(F.col("n") >= hot).select(F.col("value").alias(column), F.col("rank").alias("_hot_rank"))
-    seldom = ranks.filter(F.col("n") < hot).select(
-        F.col("value").alias(column), F.lit(0).alias("_salt"), F.col("rank").alias("_rank"))
-    salt = F.when(F.col("_hot_rank").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.lit(65_536)).cast("int") + 1).otherwise(0)
-    return (rows.join(F.broadcast(frequent), column, "left")  # at most HOT_SHARES values
-            .withColumn("_salt", salt)
-            .join(seldom, [column, "_salt"], "left")
-            .withColumn(rank, F.coalesce("_hot_rank", "_rank"))
-            .drop("_hot_rank", "_salt", "_rank"))
-
-
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(variable, value, n, rank)``: the mean rank of every distinct value of each column;
     ``variable`` is the column's position in ``columns``."""
@@ -123,29 +117,46 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked.select("variable", "value", "n", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"))
 
 
+def _with_ranks(rows: DataFrame, ranks: DataFrame, columns: Sequence[str], hot: int) -> DataFrame:
+    """``_0``, ``_1``, ...: the ranks of every row's values, a row per ``_id``.
+
+    Values that ``hot`` rows have get their ranks from a broadcast of those few, without a shuffle, so a value that a third of the
+    rows has fills no task. All other cells of all columns go through one join by (column, value), and what it finds
+    comes back to its row by one aggregate, whatever the number of columns.
+    """
+    frequent, seldom = ranks.filter(F.col("n") >= hot), ranks.filter(F.col("n") < hot)
+    known = rows
+    for i, c in enumerate(columns):  # at most HOT_SHARES values of a column
+        side = frequent.filter(F.col("variable") == i).select(F.col("value").alias(c), F.col("rank").alias(f"_{i}"))
+        known = known.join(F.broadcast(side), c, "left")
+    if seldom.isEmpty():
+        return known.select("_id", *[f"_{i}" for i in range(len(columns))])
+    cells = F.array(*[F.when(F.col(f"_{i}").isNull(), F.struct(F.lit(i).alias("variable"), F.col(c).alias("value"))) for i, c in enumerate(columns)])
+    asked = known.select("_id", F.inline(F.filter(cells, lambda x: x.isNotNull())))
+    found = asked.join(seldom.select("variable", "value", "rank"), ["variable", "value"]).select(
+        "_id", *[F.when(F.col("variable") == i, F.col("rank")).alias(f"_{i}") for i in range(len(columns))])
+    both = known.select("_id", *[f"_{i}" for i in range(len(columns))]).unionByName(found)
+    return both.groupBy("_id").agg(*[F.max(f"_{i}").alias(f"_{i}") for i in range(len(columns))])
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature_x, feature_y, rho)`` for every ordered pair of columns, ties given their
     mean rank, over the rows where all columns hold a usable number.
 
-    Ranks come from the counts of the distinct values; the rows then need only a lookup and
-    one pass that sums the products of ranks.
+    The usable rows are written once, numbered. Ranks come from the counts of the distinct values of all columns
+    together; the rows then need a lookup and one pass that sums the products of ranks.
     """
     columns = list(columns)
-    numbers = df.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in columns])  # -0.0 becomes 0.0
-    numbers = numbers.filter(usable_numbers([F.col(c) for c in columns]))
-    ranks = materialise(average_ranks(numbers, columns), "ranks")
-    sizes = {r["variable"]: r for r in ranks.groupBy("variable").agg(
-        F.count("*").alias("distinct"), F.sum("n").alias("rows")).collect()}
-    total = sizes[0]["rows"] if sizes else 0
-    centre = (total + 1) / 2
+    numbers = df.select(*[(F.col(c).cast("double") + 0.0).alias(f"_c{i}") for i, c in enumerate(columns)])  # -0.0 becomes 0.0
+    named = [f"_c{i}" for i in range(len(columns))]
+    numbers = numbers.filter(usable_numbers([F.col(c) for c in named])).withColumn("_id", F.monotonically_increasing_id())
+    numbers = materialise(numbers, "ranked-rows")
+    ranks = materialise(average_ranks(numbers, named), "ranks")
+    total = ranks.filter(F.col("variable") == 0).agg(F.sum("n")).head()[0] or 0
     hot = max(2, math.ceil(total / HOT_SHARES))
-
-    rows = numbers
-    for i, c in enumerate(columns):
-        rows = _attach_rank(rows, ranks.filter(F.col("variable") == i), c, sizes[i]["distinct"] if sizes else 0, hot)
-    off = [F.col(f"{c}_rank") - F.lit(centre) for c in columns]
+    off = [F.col(f"_{i}") - F.lit((total + 1) / 2) for i in range(len(columns))]
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    sums = rows.agg(*[F.sum(off[i] * off[j]).alias(f"{i}_{j}") for i, j in pairs])
+    sums = _with_ranks(numbers, ranks, named, hot).agg(*[F.sum(off[i] * off[j]).alias(f"{i}_{j}") for i, j in pairs])
 
     def rho(i: int, j: int) -> Column:
         i, j = sorted((i, j))

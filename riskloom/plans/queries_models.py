@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.features import train_test
 from riskloom.operators.metrics import roc_auc
-from riskloom.operators.screen import chi_square_stat
+from riskloom.operators.screen import chi_square_stat, contingency_cells
 from riskloom.plans import jobs, pipeline
 from riskloom.plans.catalog import query
 from riskloom.session import fresh_path
@@ -165,6 +165,25 @@ def chi_square_of_a_wide_column(spark, sf):
     return found.select("variable", F.round("statistic", 3).alias("statistic"), "dof")
 
 
+@query("chi_square_many_labels", """
+WITH l AS (SELECT l_linenumber AS k, l_partkey AS s FROM lineitem),
+    r AS (SELECT k, count(*) AS n FROM l GROUP BY 1), c AS (SELECT s, count(*) AS n FROM l GROUP BY 1), o AS (SELECT k, s, count(*) AS n FROM l GROUP BY 1, 2),
+    cells AS (SELECT r.k, c.s, coalesce(o.n, 0) AS n, r.n * c.n / (SELECT count(*) FROM l)::DOUBLE AS e
+              FROM r CROSS JOIN c LEFT JOIN o ON o.k = r.k AND o.s = c.s)
+SELECT 'l_linenumber' AS variable, round(sum((n - e) * (n - e) / e), 4) AS statistic,
+       CAST((count(DISTINCT k) - 1) * (count(DISTINCT s) - 1) AS BIGINT) AS dof FROM cells""")
+def chi_square_many_labels(spark, sf):
+    """A target of as many labels as there are parts sold."""
+    found = chi_square_stat(read_table(spark, sf, "lineitem"), ["l_linenumber"], "l_partkey")
+    return found.withColumn("statistic", F.round("statistic", 4))
+
+
+@query("contingency_cells", """
+SELECT 'l_tax' AS variable, CAST(l_tax AS VARCHAR) AS category, l_suppkey AS label, count(*) AS n FROM lineitem GROUP BY 2, 3""")
+def contingency_of_suppliers(spark, sf):
+    return contingency_cells(read_table(spark, sf, "lineitem"), ["l_tax"], "l_suppkey")
+
+
 @query("foreign_targets", "SELECT o_orderstatus AS target, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 1")
 def unknown_order_targets(spark, sf):
     spec = replace(RATE_SPEC, label_order=("F", "O"), dropped_labels=())

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -105,10 +106,9 @@ def test_running_totals_equal_brute_force(spark):
         assert r["n_before"] == sum(n for g, v, n in rows if g == r["g"] and v < r["v"])
 
 
-@pytest.mark.parametrize("broadcast_values", [200_000, 0])
-def test_spearman_equals_the_ml_matrix(spark, monkeypatch, broadcast_values):
-    monkeypatch.setattr(screen, "BROADCAST_VALUES", broadcast_values)
-    monkeypatch.setattr(screen, "HOT_SHARES", 20)
+@pytest.mark.parametrize("hot_shares", [20, 1, 10 ** 9])
+def test_spearman_equals_the_ml_matrix(spark, monkeypatch, hot_shares):
+    monkeypatch.setattr(screen, "HOT_SHARES", hot_shares)
     df, columns = skewed(spark), ["x", "y", "z", "u"]
     found = {(r[0], r[1]): r[2] for r in screen.spearman_matrix(df, columns).collect()}
     vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(df)
@@ -143,6 +143,25 @@ def test_chi_square_equals_the_ml_test(spark):
     assert "a" in kept.columns and "y" in kept.columns
 
 
+def test_chi_square_of_many_labels(spark):
+    """Far more labels than a class has, most cells empty, against all cells in full."""
+    rng = random.Random(9)
+    rows = [(rng.randint(0, 40), rng.choice(["a", "b", None]), rng.randint(0, 1499) if rng.random() < 0.9 else 7, None) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "f int, g string, y int, none int")
+    found = {r["variable"]: (r["statistic"], r["dof"]) for r in screen.chi_square_stat(df, ["f", "g", "none"], "y").collect()}
+    assert set(found) == {"f", "g"}
+    for k, name in enumerate("fg"):
+        used = [(r[k], r[2]) for r in rows if r[k] is not None]
+        n, cells, left, right = len(used), Counter(used), Counter(a for a, _ in used), Counter(b for _, b in used)
+        want = math.fsum((cells[a, b] - left[a] * right[b] / n) ** 2 / (left[a] * right[b] / n) for a in left for b in right)
+        assert found[name][0] == pytest.approx(want, rel=1e-11) and found[name][1] == (len(left) - 1) * (len(right) - 1)
+    only = screen.chi_square_stat(df, ["f"], "y", [7, 8]).head()
+    assert only["dof"] == 40 or only["dof"] < 40 and only["statistic"] > 0
+    assert screen.chi_square_stat(df.limit(0), ["f"], "y").isEmpty()
+    cells = {(r["category"], r["label"]): r["n"] for r in screen.contingency_cells(df, ["f"], "y").collect()}
+    assert cells == {(str(a), b): m for (a, b), m in Counter((r[0], r[2]) for r in rows).items()}
+
+
 def test_contingency_keeps_types_apart(spark):
     rows = [(1, 2**60, 0.5, "x"), (1, 2**60 + 1, 0.5, "x"), (0, 2**60, -0.0, None), (0, None, 0.0, "y"), (None, 1, 9.0, "z")]
     df = spark.createDataFrame(rows, "y int, big long, real double, word string")
