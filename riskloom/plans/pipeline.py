@@ -8,7 +8,7 @@ to score.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -22,16 +22,14 @@ from pyspark.ml.feature import (
     OneHotEncoderModel,
     StandardScaler,
     StandardScalerModel,
-    StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.casts import missing_to_null, strip, usable_number, usable_numbers
+from riskloom.functions.casts import strip, usable_number, usable_numbers
 from riskloom.functions.labels import binary_label, is_labelled
-from riskloom.functions.values import category_slot, vector_element
+from riskloom.functions.values import vector_element
 from riskloom.operators.metrics import classification_metrics, roc_auc
 from riskloom.operators.quality import quarantined
 from riskloom.operators.shape import (
@@ -42,13 +40,13 @@ from riskloom.operators.shape import (
     rename_columns,
     without_contradictions,
 )
+from riskloom.plans import categories
+from riskloom.plans.categories import UNKNOWN_TEXT
+from riskloom.plans.categories import slot_name as _slot
 from riskloom.spec import FeatureSpec
 
-UNKNOWN_TEXT = "(unknown)"
 FEATURES = "features"
 LABEL = "label"
-LITERAL_SLOTS = 5_000
-MAX_SLOTS = 1_000_000
 
 
 def clean(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -96,26 +94,21 @@ def unlabelled_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return df.filter(~is_labelled(F.col(target_name(spec))))
 
 
-def _slot(c: str) -> str:
-    return f"{c}_slot"
-
-
 def _vector(c: str) -> str:
     return f"{c}_vec"
 
 
 def model_columns(df: DataFrame, spec: FeatureSpec, keep: Sequence[str]) -> DataFrame:
-    """The columns the stages read: category slots, filled text categories, numbers. Rows
+    """The columns that a model reads: values of the categories, and numbers. Rows
     with a number the model cannot take are left out, or get a null there to be imputed."""
     numbers = [F.col(f"`{c}`").cast("double") for c in spec.numeric]
     if spec.bad_numeric == "impute":
         numbers = [F.when(usable_number(n), n) for n in numbers]
     else:
         df = df.filter(usable_numbers(numbers))
-    texts = [F.coalesce(missing_to_null(F.col(f"`{c}`")), F.lit(UNKNOWN_TEXT)).alias(f"{c}_text") for c in spec.text_categorical]
-    slots = [category_slot(F.col(f"`{c}`")).alias(_slot(c)) for c in spec.categorical]
+    values = [*map(categories.code_value, spec.categorical), *map(categories.word_value, spec.text_categorical)]
     named = [n.alias(name) for n, name in zip(numbers, _num(spec))]
-    return df.select(*[F.col(f"`{c}`") for c in keep], *slots, *texts, *named)
+    return df.select(*[F.col(f"`{c}`") for c in keep], *values, *named)
 
 
 def _num(spec: FeatureSpec) -> list[str]:
@@ -123,7 +116,7 @@ def _num(spec: FeatureSpec) -> list[str]:
 
 
 def stages(spec: FeatureSpec) -> list:
-    """Unfitted stages: index, encode, assemble, standardise, regress.
+    """Unfitted stages, over slots and numbers: encode, assemble, standardise, regress.
 
     ``standardise='numbers'`` centres and scales the numbers and leaves the one-hot block as
     sparse zeros and ones. ``'all'`` centres and scales both, which makes every vector dense.
@@ -131,14 +124,10 @@ def stages(spec: FeatureSpec) -> list:
     the intercept takes up any shift.
     """
     plan: list = []
-    if spec.text_categorical:
-        plan.append(StringIndexer(
-            inputCols=[f"{c}_text" for c in spec.text_categorical], outputCols=[_slot(c) for c in spec.text_categorical],
-            stringOrderType="alphabetAsc", handleInvalid="keep"))
-    categories = [*spec.categorical, *spec.text_categorical]
-    blocks = [_vector(c) for c in categories]
-    if categories:
-        plan.append(OneHotEncoder(inputCols=[_slot(c) for c in categories], outputCols=blocks, handleInvalid="keep"))
+    slotted = [*spec.categorical, *spec.text_categorical]
+    blocks = [_vector(c) for c in slotted]
+    if slotted:
+        plan.append(OneHotEncoder(inputCols=[_slot(c) for c in slotted], outputCols=blocks, handleInvalid="keep"))
     if spec.numeric and spec.bad_numeric == "impute":
         plan.append(Imputer(inputCols=_num(spec), outputCols=_num(spec), strategy="mean"))
     if spec.standardise == "all":
@@ -155,26 +144,21 @@ def stages(spec: FeatureSpec) -> list:
     return plan
 
 
-def with_slot_counts(rows: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, int]:
-    """Note on each slot column how many slots it has, so that the encoder need not look;
-    also the number of rows.
-
-    One aggregate over the bare columns finds both, and checks on the way that both classes
-    occur and that no category is so wide that its slots would swamp the driver.
-    """
-    found = rows.agg(
-        *[F.max(f"`{_slot(c)}`").alias(_slot(c)) for c in spec.categorical],
-        *[F.approx_count_distinct(f"`{c}_text`").alias(_slot(c)) for c in spec.text_categorical],
-        F.count_if(F.col(LABEL) == 1.0).alias("n_positive"), F.count_if(F.col(LABEL) == 0.0).alias("n_negative")).head()
+def counted(rows: DataFrame, spec: FeatureSpec) -> int:
+    """The number of training rows, after a look that both classes occur."""
+    found = rows.agg(F.count_if(F.col(LABEL) == 1.0).alias("n_positive"), F.count_if(F.col(LABEL) == 0.0).alias("n_negative")).head()
     for label, n in ((spec.positive_label, found["n_positive"]), (spec.negative_label, found["n_negative"])):
         if n == 0:
             raise ValueError(f"no usable training row has label {label!r}")
-    for c in [*spec.categorical, *spec.text_categorical]:
-        if found[_slot(c)] > MAX_SLOTS:
-            raise ValueError(f"category {c!r} needs about {int(found[_slot(c)])} slots, more than {MAX_SLOTS}")
-    noted = {_slot(c): {"ml_attr": {"type": "nominal", "num_vals": int(found[_slot(c)]) + 1}} for c in spec.categorical}
-    named = [F.col(f"`{c}`").alias(c, metadata=noted[c]) if c in noted else F.col(f"`{c}`") for c in rows.columns]
-    return rows.select(*named), found["n_positive"] + found["n_negative"]
+    return found["n_positive"] + found["n_negative"]
+
+
+def slotted_rows(rows: DataFrame, spec: FeatureSpec, table: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """``model_columns`` with the categories' slots in place of their values. How many slots there are is noted on
+    each slot column, so that the encoder need not look."""
+    encoded = categories.encode(rows, table, spec.categorical, spec.text_categorical, sizes)
+    noted = {_slot(c): {"ml_attr": {"type": "nominal", "num_vals": n}} for c, n in zip([*spec.categorical, *spec.text_categorical], sizes)}
+    return encoded.select(*[F.col(f"`{c}`").alias(c, metadata=noted[c]) if c in noted else F.col(f"`{c}`") for c in encoded.columns])
 
 
 @dataclass(frozen=True)
@@ -203,6 +187,8 @@ class FitReport:
 class RiskModel:
     spec: FeatureSpec
     fitted: PipelineModel
+    #: The categories' values with their slots and weights (``categories.SCHEMA``).
+    table: DataFrame
     #: Of a model that was just fitted; a loaded one has its report in the registry.
     report: FitReport | None = None
 
@@ -216,34 +202,42 @@ class RiskModel:
 
     def save(self, path: str) -> None:
         self.fitted.write().overwrite().save(f"{path}/stages")
+        self.table.write.mode("overwrite").parquet(f"{path}/categories")
         spark = SparkSession.active()
         spark.createDataFrame([(self.spec.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/spec")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> RiskModel:
         spec = FeatureSpec.from_json(spark.read.text(f"{path}/spec", wholetext=True).head()["value"].strip())
-        return cls(spec, PipelineModel.load(f"{path}/stages"))
+        return cls(spec, PipelineModel.load(f"{path}/stages"), spark.read.schema(categories.SCHEMA).parquet(f"{path}/categories"))
 
 
 def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -> RiskModel:
     """Fit on the labelled rows of a cleaned table.
 
-    The fit reads its input a few times: slot counts, text categories, moments, and the
+    The fit reads its input a few times: row counts, category values, moments, and the
     regression's own read. The pruned columns are held for that, in memory and on disk,
     whatever their number, and dealt out anew, so that few file splits do not leave cores idle.
     ``keep_in_memory`` holds them before that as well, for messages that must be parsed.
+
+    What the driver holds is a weight per category value and number: as much as the regression itself keeps there.
     """
     rows = model_columns(labelled_rows(cleaned, spec), spec, [LABEL])
     held = [rows.persist(StorageLevel.MEMORY_AND_DISK)] if keep_in_memory else []
     try:
-        rows, n = with_slot_counts(rows, spec)
-        rows = rows.repartition(_even_parts(rows, n)).persist(StorageLevel.MEMORY_AND_DISK)
+        n = counted(rows, spec)
+        table = categories.dictionary(rows, spec.categorical, spec.text_categorical) if spec.categorical or spec.text_categorical else None
+        sizes = categories.slot_counts(table, spec.categorical, spec.text_categorical) if table else []
+        rows = slotted_rows(rows, spec, table, sizes).repartition(_even_parts(rows, n)).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(rows)
         fitted = Pipeline(stages=stages(spec)).fit(rows)
-        return RiskModel(spec, fitted, FitReport.of(n, fitted.stages[-1].summary.objectiveHistory, spec))
     finally:
-        for table in held:
-            table.unpersist()
+        for one in held:
+            one.unpersist()
+    report = FitReport.of(n, fitted.stages[-1].summary.objectiveHistory, spec)
+    spark = cleaned.sparkSession
+    model = RiskModel(spec, fitted, spark.createDataFrame([], categories.SCHEMA), report)
+    return replace(model, table=categories.with_weights(table, linear_form(model).blocks)) if table else model
 
 
 #: Rows of a part of the training set, where there are enough for every core.
@@ -261,25 +255,46 @@ def score(cleaned: DataFrame, model: RiskModel, keep: Sequence[str] | None = Non
     """``keep`` columns, ``p_positive``, ``p_negative`` and ``prediction`` (the likelier
     label). Rows the model cannot take are left to ``unscorable``.
 
-    A fitted model with up to LITERAL_SLOTS slots is applied as one column expression, which
-    stays inside generated code and builds no vectors; a wider one goes through its stages.
+    A category's value looks up its weight in the model's table, by a join per category; numbers are weighed by one
+    expression. No vectors are built, and the number of slots does not matter.
     """
+    spec, form = model.spec, linear_form(model)
+    keep = list(keep if keep is not None else key_names(spec))
+    rows, terms = categories.weigh(model_columns(cleaned, spec, keep), model.table, spec.categorical, spec.text_categorical, form.blocks)
+    for name, weight, mean in zip(_num(spec), form.numbers, form.means):
+        number = F.col(f"`{name}`")
+        terms.append(F.lit(weight) * (number if mean is None else F.coalesce(number, F.lit(mean))))
+    margin = reduce(lambda a, b: a + b, terms, F.lit(form.intercept))
+    return _as_scores(rows.withColumn("p_positive", 1.0 / (1.0 + F.exp(-margin))), spec, keep)
+
+
+def score_by_stages(cleaned: DataFrame, model: RiskModel, keep: Sequence[str] | None = None) -> DataFrame:
+    """The same through the fitted stages, vectors and all."""
     spec = model.spec
     keep = list(keep if keep is not None else key_names(spec))
-    rows = model_columns(cleaned, spec, keep)
-    if model.regression.numFeatures <= LITERAL_SLOTS:
-        scored = rows.withColumn("p_positive", 1.0 / (1.0 + F.exp(-margin(model))))
-    else:
-        scored = model.fitted.transform(rows).withColumn("p_positive", vector_element(F.col("probability"), 1))
+    encoder = model.stage(OneHotEncoderModel)
+    rows = slotted_rows(model_columns(cleaned, spec, keep), spec, model.table, list(encoder.categorySizes) if encoder else [])
+    return _as_scores(model.fitted.transform(rows).withColumn("p_positive", vector_element(F.col("probability"), 1)), spec, keep)
+
+
+def _as_scores(scored: DataFrame, spec: FeatureSpec, keep: Sequence[str]) -> DataFrame:
     likelier = F.when(F.col("p_positive") > 0.5, spec.positive_label).otherwise(spec.negative_label)
     return scored.select(
         *[F.col(f"`{c}`") for c in keep], "p_positive", (1.0 - F.col("p_positive")).alias("p_negative"), likelier.alias("prediction"))
 
 
-def margin(model: RiskModel) -> Column:
-    """Intercept plus weight times feature, over the columns of ``model_columns``: a category
-    looks its slot's weight up in a literal array, and the standard scores are folded into
-    the weights."""
+@dataclass(frozen=True)
+class LinearForm:
+    """A fitted model as sums: the intercept, each category's weights by slot, each number's weight and what
+    stands in for it where it is missing (None: nothing does). Standard scores are folded in."""
+
+    intercept: float
+    blocks: list[list[float]]
+    numbers: list[float]
+    means: list[float | None]
+
+
+def linear_form(model: RiskModel) -> LinearForm:
     spec, fit = model.spec, model.regression
     weights, intercept = np.array(fit.coefficients.toArray()), float(fit.intercept)
     scaler = model.stage(StandardScalerModel)
@@ -288,25 +303,12 @@ def margin(model: RiskModel) -> Column:
         spread = scaler.std.toArray()
         scaled /= np.where(spread == 0.0, np.inf, spread)  # a constant feature scales to 0
         intercept -= float(scaled @ scaler.mean.toArray())
-
-    terms, first = [F.lit(intercept)], 0
-    categories = [*spec.categorical, *spec.text_categorical]
-    encoder, indexer, imputer = model.stage(OneHotEncoderModel), model.stage(StringIndexerModel), model.stage(ImputerModel)
-    labels = dict(zip(spec.text_categorical, indexer.labelsArray if indexer else []))
-    for c, size in zip(categories, encoder.categorySizes if encoder else []):
-        block = [float(w) for w in weights[first:first + size]]
-        if c in labels:
-            pairs = [F.lit(v) for label, w in zip(labels[c], block) for v in (label, w)]
-            terms.append(F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(f"`{c}_text`")), F.lit(block[-1])))
-        else:
-            weight = F.get(F.array(*[F.lit(w) for w in block]), F.col(f"`{_slot(c)}`").cast("int"))
-            terms.append(F.coalesce(weight, F.lit(0.0)))
-        first += size
+    encoder, imputer = model.stage(OneHotEncoderModel), model.stage(ImputerModel)
+    sizes = list(encoder.categorySizes) if encoder else []
+    ends = np.cumsum(sizes, dtype=int).tolist()
+    blocks = [weights[end - size:end].tolist() for end, size in zip(ends, sizes)]
     means = imputer.surrogateDF.head().asDict() if imputer else {}
-    for name, w in zip(_num(spec), weights[first:]):
-        number = F.col(f"`{name}`")
-        terms.append(F.lit(float(w)) * (F.coalesce(number, F.lit(means[name])) if imputer else number))
-    return reduce(lambda a, b: a + b, terms)
+    return LinearForm(intercept, blocks, weights[sum(sizes):].tolist(), [means.get(name) for name in _num(spec)])
 
 
 def unscorable(cleaned: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -357,9 +359,24 @@ def coefficients(model: RiskModel, spark: SparkSession) -> DataFrame:
 
 def feature_names(model: RiskModel) -> list[str]:
     """Names of the vector positions, in the order the stages assemble them."""
-    spec, encoder, indexer = model.spec, model.stage(OneHotEncoderModel), model.stage(StringIndexerModel)
-    sizes = list(encoder.categorySizes) if encoder else []
-    names = [f"{c}={slot - 1 if slot else UNKNOWN_TEXT}" for c, size in zip(spec.categorical, sizes) for slot in range(size)]
-    for c, labels in zip(spec.text_categorical, indexer.labelsArray if indexer else []):
-        names += [f"{c}={label}" for label in labels] + [f"{c}=(unseen)"]
+    spec, encoder = model.spec, model.stage(OneHotEncoderModel)
+    names = []
+    # As many values as the model has weights.
+    known = {(r["feature"], r["slot"]): r["code"] if r["word"] is None else r["word"] for r in model.table.collect()}
+    for i, (c, size) in enumerate(zip([*spec.categorical, *spec.text_categorical], encoder.categorySizes if encoder else [])):
+        other = UNKNOWN_TEXT if i < len(spec.categorical) else "(unseen)"
+        names += [f"{c}={known.get((i, slot), other)}" for slot in range(size)]
     return names + list(spec.numeric)
+
+
+def contrasts(model: RiskModel) -> DataFrame:
+    """``(category, value, contrast)``: the weight of every category value less that of the category's first value.
+
+    The weights of a category are settled only up to a shift that the intercept takes up; their differences are what the
+    data determine.
+    """
+    names = F.array(*[F.lit(c) for c in [*model.spec.categorical, *model.spec.text_categorical]])
+    first = model.table.groupBy("feature").agg(F.min_by("weight", "slot").alias("first"))
+    return model.table.join(first, "feature").select(
+        F.get(names, F.col("feature")).alias("category"), F.coalesce(F.col("word"), F.col("code").cast("string")).alias("value"),
+        (F.col("weight") - F.col("first")).alias("contrast"))

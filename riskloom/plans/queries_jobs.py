@@ -7,13 +7,14 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from riskloom.operators.decode import decode_records
-from riskloom.plans import jobs, pipeline
+from riskloom.plans import categories, jobs, pipeline
 from riskloom.plans.catalog import query
 from riskloom.plans.queries_models import _RATE_SCORES, _RATES, MARK, RATE_SPEC, rounded
 from riskloom.session import fresh_path
 from riskloom.sources import messages
 from riskloom.sources.scores import read_scores
 from riskloom.sources.tables import read_table
+from riskloom.spec import FeatureSpec
 from riskloom.streaming import flows
 
 # --- offsets
@@ -122,6 +123,45 @@ def registry_metrics(spark, sf):
         "version", "n_trained", "fit", F.round("objective", 8).alias("objective"), F.round("accuracy", 8).alias("accuracy"), F.round("auc", 8).alias("auc"))
 
 
+# --- categories and weights
+
+@query("category_dictionary", """
+WITH c AS (SELECT DISTINCT o_custkey AS code FROM orders), w AS (SELECT DISTINCT o_orderpriority AS word FROM orders)
+SELECT 'o_custkey' AS category, CAST(code AS VARCHAR) AS value, row_number() OVER (ORDER BY code) AS slot FROM c
+UNION ALL SELECT 'o_orderpriority', word, row_number() OVER (ORDER BY word) - 1 FROM w""")
+def category_dictionary(spark, sf):
+    orders = read_table(spark, sf, "orders")
+    rows = orders.select(categories.code_value("o_custkey"), categories.word_value("o_orderpriority"))
+    names = F.array(F.lit("o_custkey"), F.lit("o_orderpriority"))
+    return categories.dictionary(rows, ["o_custkey"], ["o_orderpriority"]).select(
+        F.get(names, F.col("feature")).alias("category"), F.coalesce("word", F.col("code").cast("string")).alias("value"), "slot")
+
+
+@query("sparse_code_rates", """
+SELECT l_partkey, count(*) AS n, true AS close, (SELECT count(DISTINCT l_partkey) + 1 FROM lineitem) AS slots FROM lineitem GROUP BY 1""")
+def sparse_code_rates(spark, sf):
+    """A category of as many values as parts, its codes spread over all 31 bits: it takes a slot per value, and the fitted
+    probability of each is its rate of the positive label."""
+    spec = FeatureSpec(keys=("l_orderkey", "l_linenumber"), target="half", label_order=("low", "high"), positive_label="high",
+                       categorical=("code",), tolerance=1e-10)
+    half = F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 2 == 0, "low").otherwise("high")
+    lines = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.pmod(F.col("l_partkey") * 1_000_003, F.lit(2 ** 31 - 1)).cast("int").alias("code"), half.alias("half"))
+    model = pipeline.train(lines, spec)
+    scored = pipeline.score(lines, model, ["l_partkey", "half"])
+    rates = scored.groupBy("l_partkey").agg(F.count("*").alias("n"), F.avg((F.col("half") == "high").cast("int")).alias("rate"),
+                                            F.min("p_positive").alias("low"), F.max("p_positive").alias("high"))
+    return rates.select("l_partkey", "n", ((F.abs(F.col("low") - F.col("rate")) < 0.02) & (F.abs(F.col("high") - F.col("rate")) < 0.02)).alias("close"),
+                        F.lit(model.regression.numFeatures).cast("long").alias("slots"))
+
+
+@query("train_contrasts", _RATES + """, odds AS (SELECT o_orderpriority, ln(p / (1 - p)) AS o FROM rates)
+SELECT 'o_orderpriority' AS category, o_orderpriority AS value, round(o - (SELECT arg_min(o, o_orderpriority) FROM odds), 4) + 0.0 AS contrast FROM odds""")
+def train_contrasts(spark, sf):
+    model = pipeline.train(pipeline.clean(read_table(spark, sf, "orders"), RATE_SPEC), RATE_SPEC)
+    return pipeline.contrasts(model).withColumn("contrast", F.round("contrast", 4) + 0.0)
+
+
 # --- jobs
 
 #: Records as they come in files and messages: the priority's digit is an integer field.
@@ -154,6 +194,18 @@ def csv_upload(spark, sf):
     return done[0].unionByName(done[1])
 
 
+@query("decode_with_identity", f"""
+SELECT kind, CASE WHEN kind = 'identity' THEN CAST(o_orderkey AS VARCHAR) END AS o_orderkey, CAST(left(o_orderpriority, 1) AS INTEGER) AS priority,
+    CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus FROM orders, (VALUES ('base'), ('identity')) AS kinds(kind)""")
+def decode_with_identity(spark, sf):
+    """The same messages by the schema with identity and by that of base records, which lacks it."""
+    sent = messages.encode_rows(_records(spark, sf).drop("day"), "records")
+    whole, _ = decode_records(sent, UPLOAD_SPEC)
+    base, _ = decode_records(sent, UPLOAD_SPEC, with_keys=False)
+    return whole.select(F.lit("identity").alias("kind"), F.col("o_orderkey").cast("string").alias("o_orderkey"), "priority", "o_orderstatus").unionByName(
+        base.withColumn("kind", F.lit("base")), allowMissingColumns=True)
+
+
 @query("scored_and_published", _RATES + f"""
 SELECT o_orderkey, round(1 - p, 5) AS risk, 1 AS model_version, 1 AS n_messages, 1 AS n_stored
 FROM orders JOIN rates USING (o_orderpriority) WHERE o_orderstatus = 'P'""")

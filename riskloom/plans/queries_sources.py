@@ -119,8 +119,8 @@ def first_rows(spark, sf):
     return preview(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"], 20)
 
 
-_MESSAGE_TEXT_SQL = """CASE event_id % 10 WHEN 0 THEN left(props, length(props) - 1) WHEN 1 THEN '  ' WHEN 2 THEN '[1]'
-    WHEN 3 THEN NULL WHEN 4 THEN '{"other": 1}' WHEN 5 THEN '{"K": 1}' ELSE props END"""
+_MESSAGE_TEXT_SQL = """CASE event_id % 100 WHEN 0 THEN left(props, length(props) - 1) WHEN 10 THEN '  ' WHEN 20 THEN '[1]'
+    WHEN 30 THEN NULL WHEN 40 THEN '{"other": 1}' WHEN 50 THEN '{"K": 1}' ELSE props END"""
 
 
 @query("json_decode", f"""
@@ -132,9 +132,9 @@ SELECT event_id, CAST(CASE WHEN good THEN TRY_CAST(json_extract_string(text, '$.
        NOT good AS malformed, CASE WHEN NOT good THEN text END AS malformed_text
 FROM j""")
 def json_decode(spark, sf):
-    props, turn = F.col("props"), F.col("event_id") % 10
-    text = (F.when(turn == 0, F.expr("left(props, length(props) - 1)")).when(turn == 1, "  ").when(turn == 2, "[1]")
-            .when(turn == 3, F.lit(None)).when(turn == 4, '{"other": 1}').when(turn == 5, '{"K": 1}').otherwise(props))
+    props, turn = F.col("props"), F.col("event_id") % 100
+    text = (F.when(turn == 0, F.expr("left(props, length(props) - 1)")).when(turn == 10, "  ").when(turn == 20, "[1]")
+            .when(turn == 30, F.lit(None)).when(turn == 40, '{"other": 1}').when(turn == 50, '{"K": 1}').otherwise(props))
     envelope = read_table(spark, sf, "events").select("event_id", text.cast("binary").alias("value"))
     decoded = decode_messages(envelope, ["k", "other"], integers=["k"], keep=["event_id"])
     return decoded.withColumn("k", F.col("k").cast("string"))

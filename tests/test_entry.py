@@ -11,7 +11,8 @@ NAMES = ("region nation customer supplier part orders lineitem events documents
 # Queries that train or stream take long; the operators behind them have tests of their own.
 SLOW = ("model_registry", "retrained_scores", "stream_retrain_gate", "stream_retrained_scores", "holdout_auc",
         "model_save_load", "feature_screen_corr", "scored_with_keys", "model_balance", "holdout_metrics",
-        "scored_new_rows", "train_log_odds", "stream_score")
+        "scored_new_rows", "train_log_odds", "stream_score", "ledger_versions", "stream_retrain_rebuilt", "stream_score_current",
+        "registry_metrics", "sparse_code_rates", "train_contrasts")
 
 
 @pytest.fixture(scope="module")

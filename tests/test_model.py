@@ -1,3 +1,4 @@
+import math
 from dataclasses import replace
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.quality import null_audit
 from riskloom.plans import jobs, pipeline
 from riskloom.plans.students import (
-    FORM_LISTS, IDENTITY_FIELDS, SCORE_FIELDS, STUDENT_SPEC, TOPIC_BASE, TOPIC_LABELLED, TOPIC_SCORES, TOPIC_UNLABELLED, form_to_records, risk_scores,
+    FORM_LISTS, IDENTITY_FIELDS, SCORE_FIELDS, STUDENT_SPEC, TOPIC_BASE, TOPIC_LABELLED, TOPIC_SCORES, TOPIC_UNLABELLED, dataset_records, form_to_records, risk_scores,
 )
 from riskloom.operators.decode import decode_messages, decode_records, well_formed
 from riskloom.sources import scores
@@ -128,7 +129,8 @@ def test_both_standardisations_agree(spark):
     names = pipeline.feature_names(sparse)
     assert names == ["c=(unknown)", "c=0", "c=1", "c=2", "c=3", "t=(unknown)", "t=a", "t=b", "t=(unseen)", "x", "flat"]
     assert pipeline.coefficients(sparse, spark).count() == len(names) + 1
-    rows = dense.fitted.transform(pipeline.model_columns(df, SMALL, ["id"])).select(vector_to_array("features").alias("f"))
+    slotted = pipeline.slotted_rows(pipeline.model_columns(df, SMALL, ["id"]), SMALL, dense.table, [5, 4])
+    rows = dense.fitted.transform(slotted).select(vector_to_array("features").alias("f"))
     moments = rows.select(F.posexplode("f")).groupBy("pos").agg(F.avg("col").alias("m"), F.stddev_samp("col").alias("d")).collect()
     assert all(abs(r["m"]) < 1e-9 for r in moments)
     assert all(r["d"] == pytest.approx(1.0) or r["d"] == 0.0 for r in moments) and len(moments) == len(names)
@@ -136,18 +138,17 @@ def test_both_standardisations_agree(spark):
 
 @pytest.mark.parametrize("spec", [SMALL, replace(SMALL, standardise="all"), replace(SMALL, bad_numeric="impute"),
                                   replace(SMALL, numeric=()), replace(SMALL, categorical=(), text_categorical=())])
-def test_expression_and_stages_score_alike(spark, monkeypatch, spec):
+def test_sums_and_stages_score_alike(spark, spec):
     df = small(spark)
     model = pipeline.train(df, spec)
     odd = [(900, 3, "zz", 2.0, 3.0), (901, 99, "a", 5.0, 3.0), (902, None, None, 1.0, 3.5), (903, -2, "b", None, 3.0)]
     rows = df.drop("y").unionByName(spark.createDataFrame(odd, "id long, c int, t string, x double, flat double"))
-    by_expression = {r["id"]: r for r in pipeline.score(rows, model).collect()}
-    monkeypatch.setattr(pipeline, "LITERAL_SLOTS", -1)
-    by_stages = {r["id"]: r for r in pipeline.score(rows, model).collect()}
-    assert by_expression.keys() == by_stages.keys() and len(by_stages) >= 403
+    by_sums = {r["id"]: r for r in pipeline.score(rows, model).collect()}
+    by_stages = {r["id"]: r for r in pipeline.score_by_stages(rows, model).collect()}
+    assert by_sums.keys() == by_stages.keys() and len(by_stages) >= 403
     for k, r in by_stages.items():
-        assert by_expression[k]["p_positive"] == pytest.approx(r["p_positive"], abs=1e-12)
-        assert by_expression[k]["prediction"] == r["prediction"]
+        assert by_sums[k]["p_positive"] == pytest.approx(r["p_positive"], abs=1e-12)
+        assert by_sums[k]["prediction"] == r["prediction"]
 
 
 def test_imputation_scores_every_row(spark):
@@ -165,12 +166,35 @@ def test_training_needs_both_classes(spark):
         pipeline.train(small(spark).limit(0), SMALL)
 
 
-def test_too_wide_a_category_is_refused(spark, monkeypatch):
-    with pytest.raises(ValueError, match="'c' needs about 70000004 slots"):
-        pipeline.train(small(spark).withColumn("c", F.col("c") + 70_000_000), SMALL)
-    monkeypatch.setattr(pipeline, "MAX_SLOTS", 8)
-    with pytest.raises(ValueError, match="'t' needs about"):
-        pipeline.train(small(spark).withColumn("t", F.col("id").cast("string")), SMALL)
+def test_codes_far_apart_take_a_slot_each(spark):
+    df = small(spark)
+    far = F.when(F.col("c") > 0, 2 ** 31 - 5 + F.col("c")).otherwise(F.col("c")).cast("int")
+    model, p = probabilities(spark, df.withColumn("c", far), SMALL)
+    _, q = probabilities(spark, df, SMALL)
+    assert p == pytest.approx(q, abs=1e-6)
+    assert pipeline.feature_names(model)[:5] == ["c=(unknown)", "c=0", "c=2147483644", "c=2147483645", "c=2147483646"]
+
+
+def test_more_categories_than_an_expression_takes(spark, tmp_path):
+    """A text category with 7,000 values: the rate of each is what the model says of it."""
+    df = spark.range(42_000).select("id", F.concat(F.lit("v"), (F.col("id") % 7000).cast("string")).alias("t"),
+                                    F.when((F.col("id") / 7000).cast("int") < F.col("id") % 5 + 1, "yes").otherwise("no").alias("y"))
+    spec = FeatureSpec(keys=("id",), target="y", label_order=("no", "yes"), positive_label="yes", text_categorical=("t",), tolerance=1e-9)
+    model = pipeline.train(df, spec)
+    model.save(str(tmp_path / "wide"))
+    again = pipeline.RiskModel.load(spark, str(tmp_path / "wide"))
+    off = pipeline.score(df, again).select(F.max(F.abs(F.col("p_positive") - (F.col("id") % 5 + 1) / 6))).head()[0]
+    assert off < 1e-3 and model.regression.numFeatures == 7001
+    unseen = spark.createDataFrame([(1, "never")], "id long, t string")
+    assert pipeline.score(unseen, again).head()["p_positive"] == pytest.approx(pipeline.score_by_stages(unseen, again).head()["p_positive"])
+
+
+def test_contrasts(spark):
+    model = pipeline.train(small(spark), replace(SMALL, numeric=(), categorical=()))
+    rates = {r["t"]: r["p"] for r in small(spark).groupBy(F.coalesce("t", F.lit("(unknown)")).alias("t")).agg(F.avg((F.col("y") == "yes").cast("int")).alias("p")).collect()}
+    odds = {t: math.log(p / (1 - p)) for t, p in rates.items()}
+    got = {(r["category"], r["value"]): r["contrast"] for r in pipeline.contrasts(model).collect()}
+    assert got == {("t", t): pytest.approx(o - odds["(unknown)"], abs=1e-4) for t, o in odds.items()}
 
 
 def test_evaluate(spark):
@@ -255,6 +279,18 @@ def test_form_answers_become_records(spark):
     assert len(FORM_LISTS) == 13 and IDENTITY_FIELDS[0] in row.asDict()
 
 
+def test_form_answers_take_the_codes_of_the_dataset(spark):
+    one = students(1)[0] | {c: labels[-1] for c, labels in FORM_LISTS.items()} | {"Displaced": "Yes", "Student ID": " 5 "}
+    rows = [one, one | {"Debtor": "Yes", "Gender": " Female", "Course": None, "Displaced": "No", "Student ID": "6"},
+            one | {"Gender": "?", "Debtor": "2", "Student ID": "7"}]
+    sound, unknown = dataset_records(frame(spark, rows))
+    got = {r["Student ID"]: r for r in sound.collect()}
+    assert set(got) == {"5", "6"} and sound.columns == FIELDS
+    assert [got["5"][c] for c in ("Debtor", "Gender", "Course", "Displaced", "Daytime/evening attendance")] == ["0", "1", "17", "1", "1"]
+    assert [got["6"][c] for c in ("Debtor", "Gender", "Course", "Displaced")] == ["1", "0", None, "0"]
+    assert sorted(map(tuple, unknown.collect())) == [("7", "Debtor", "2"), ("7", "Gender", "?")]
+
+
 def test_whole_lifecycle(spark, tmp_path):
     """Publish, train, upload, retrain, score what is new, publish scores, look one up."""
     transport, root = FileTransport(str(tmp_path / "topics")), str(tmp_path / "models")
