@@ -8,10 +8,6 @@ offset of every ``CHECKPOINT``-th id, from which decoding can begin.
 
 from __future__ import annotations
 
-import os
-import re
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +16,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm import texts, wordids
+from riskloom.session import materialise
+
 #: Longest code in bits: the decoding table has two to this power entries.
 LIMIT = 20
 CHECKPOINT = 256
@@ -27,10 +26,6 @@ CHECKPOINT = 256
 BLOCK_IDS = 1 << 17
 #: Blocks that a reader decodes at a time.
 TOGETHER = 16
-#: Words kept with their ids by one Python worker, about 200 bytes each; above it the store is begun anew.
-KEPT_WORDS = 900_000
-#: Marks that are tokens of their own after a letter of Latin-1, the only ones taken off.
-MARKS = frozenset(".,;:!?")
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -140,133 +135,82 @@ def unpack(data: list[bytes], checkpoints: list[np.ndarray], counts: list[int],
     return out
 
 
-class Words:
-    """Ids of texts by a tokenizers file whose pre-tokeniser cuts at blanks: the words between
-    blanks are encoded by the library once, in batches, and kept."""
-
-    def __init__(self, content: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.kept: dict[str, bytes] = {}
-
-    def learn(self, found: set[str]) -> None:
-        """Keeps the ids of all these words. A word is looked up by its stem, without a last mark,
-        which is a token of its own, and in lower case as the tokenizer has it."""
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        kept = self.kept
-        stems = {w: self._stem(w) for w in found if w not in kept}
-        new = list({s for pair in stems.values() for s in pair if s} - ({s for pair in stems.values() for s in pair if s in kept}))
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
-            for word, one in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                kept[word] = array("I", one.ids).tobytes()
-        for word, (stem, mark) in stems.items():
-            kept[word] = kept[stem] + kept[mark] if mark else kept[stem]
-
-    @staticmethod
-    def _stem(word: str) -> tuple[str, str]:
-        if "<|" in word:  # may hold a special token's string, whose case counts
-            return word, ""
-        low = word.lower() if word.isascii() else word
-        if len(low) > 1 and low[-1] in MARKS and low[-2] < "Ā" and low[-2].isalpha():
-            return low[:-1], low[-1]
-        return low, ""
-
-    @staticmethod
-    def split(text: str | None) -> list[str]:
-        # str.split also cuts at four control characters that are no blanks to the tokenizer.
-        if not text:
-            return []
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return [w for w in _blanks.split(text) if w]
-        return text.split()
-
-
-_blanks = re.compile("[\t\n\x0b\x0c\r ]+")
-_WORDS: dict[int, Words] = {}
-
-
-def _loaded(shared) -> Words:
-    content = shared.value
-    key = hash(content)
-    if key not in _WORDS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _WORDS.clear()
-        _WORDS[key] = Words(content)
-    return _WORDS[key]
-
-
-def _slices(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of about ``size`` bytes, with the row they begin at."""
-    lengths = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]) if len(column) else np.zeros(0)
-    run = np.cumsum(lengths) // size
-    edges = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1], [True]])) if len(run) else np.zeros(1, np.int64)
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        yield a, column.slice(a, b - a).to_pylist()
-
-
-def id_counts(docs: DataFrame, path: str, text: str = "text") -> np.ndarray:
-    """How often each id occurs in all texts. A task sends a row per id it met."""
+def tokenised(docs: DataFrame, path: str, text: str, key: str) -> DataFrame:
+    """``(key, ids, tie, row)`` of every document, written: its ids as packed integers, 16 bits wide if the
+    vocabulary allows it, and what settles the order of documents that share a key."""
     with open(path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        content = file.read()
+    kind = id_type(wordids.check(content))
+    shared = docs.sparkSession.sparkContext.broadcast(content)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = wordids.loaded(shared)
+        for batch in batches:
+            for a, b, raw, offsets in texts.chunks(batch.column(1)):
+                ids, bounds = words.encode(raw, offsets)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), texts.packed(ids.astype(kind), bounds)], names=["key", "ids"])
+
+    source = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    encoded = source.mapInArrow(encode, "key long, ids binary")
+    return materialise(encoded.select("key", "ids", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("row")), "huffman-ids")
+
 
+def id_type(size: int) -> str:
+    """The integers that a vocabulary of ``size`` ids is packed in."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def id_counts(encoded: DataFrame, kind: str, ids: str = "ids") -> tuple[np.ndarray, int]:
+    """How often each id occurs in all documents, and the number of documents. A task sends a row per id it met."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = _loaded(shared), np.zeros(0, np.int64)
+        total, n = np.zeros(0, np.int64), 0
         for batch in batches:
-            for _, part in _slices(batch.column(0)):
-                found = Counter()
-                for one in part:
-                    found.update(words.split(one))
-                words.learn(set(found))
-                ids = [words.kept[w] for w in found]
-                times = np.repeat(np.fromiter(found.values(), np.int64, len(found)), [len(i) // 4 for i in ids])
-                flat = np.frombuffer(b"".join(ids), np.uint32)
-                add = np.bincount(flat, weights=times, minlength=len(total)).astype(np.int64)
-                add[:len(total)] += total
-                total = add
+            n += batch.num_rows
+            flat, _ = texts.flat(batch.column(0))
+            add = np.bincount(flat.view(kind), minlength=len(total))
+            add[:len(total)] += total
+            total = add
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(total[used], n))], names=["id", "n"])
 
-    rows = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(1 + max((r["id"] for r in rows), default=0), np.int64)
-    for r in rows:  # one per id of the vocabulary at most
-        out[r["id"]] = r["n"]
-    return out
+    rows = encoded.select(ids).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    known = {r["id"]: r["n"] for r in rows}  # one per id of the vocabulary at most
+    n = known.pop(-1, 0)
+    out = np.zeros(1 + max(known, default=0), np.int64)
+    out[[*known]] = [*known.values()]
+    return out, n
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int, text: str = "text", key: str = "doc_id",
           block_ids: int = BLOCK_IDS) -> None:
     """Writes the ids of all texts, ``end_id`` after each, as a store at ``folder``.
 
-    Two passes: the first counts ids, the second encodes. Documents are range-sorted by ``key``,
-    null first; equal keys by text. Null and empty texts have the end id alone; repeated rows
-    are written as often as they occur. An empty table gives a store without blocks. Only the two
+    Texts are encoded once, by the tokenizer file at ``path`` (see ``wordids.check`` for the files it takes), and their ids written; these are
+    counted, then range-sorted by ``key`` and packed. Null keys come first; documents that share a key, null too, are
+    ordered by a hash of their ids, so that even a key with most documents is cut into ranges. Null and empty texts have
+    the end id alone; repeated rows are written as often as they occur. An empty table gives a store without blocks. Only the two
     named columns are read.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    counts = id_counts(source, path)
+    encoded = tokenised(docs, path, text, key)
+    with open(path, encoding="utf-8") as file:
+        kind = id_type(wordids.check(file.read()))
+    counts, n_docs = id_counts(encoded, kind)
     counts = np.pad(counts, (0, max(0, end_id + 1 - len(counts))))
-    counts[end_id] += source.count()
+    counts[end_id] += n_docs
     lengths = code_lengths(counts)
     used = np.flatnonzero(lengths)
     spark.createDataFrame(pa.table({"id": pa.array(used), "bits": pa.array(lengths[used])})).coalesce(1).write.parquet(f"{folder}/code")
-    with open(path, encoding="utf-8") as file:
-        shared, code = spark.sparkContext.broadcast(file.read()), spark.sparkContext.broadcast((canonical(lengths), lengths))
-    tail = np.uint32(end_id).tobytes()
+    code = spark.sparkContext.broadcast((canonical(lengths), lengths))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (codes, sizes) = _loaded(shared), code.value
+        codes, sizes = code.value
         part, number, before = TaskContext.get().partitionId(), 0, 0
         keys, held, ns, n = [], [], [], 0
 
         def close() -> pa.RecordBatch:
             nonlocal number, before, n
-            bits, checkpoints = pack(np.frombuffer(b"".join(held), np.uint32).astype(np.int64), codes, sizes)
+            bits, checkpoints = pack(np.concatenate(held).astype(np.int64), codes, sizes)
             row = [[part], [number], [before], [n], [list(keys)], [list(ns)], [checkpoints.tobytes()], [bits]]
             number, before, n = number + 1, before + n, 0
             for x in (keys, held, ns):
@@ -275,25 +219,23 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int, text: str = "tex
                 [pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()), strict=True)],
                 names=["part", "block", "before", "n", "keys", "counts", "checkpoints", "bits"])
 
+        tail = np.array([end_id], kind if end_id <= np.iinfo(kind).max else "<u4")
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for first, some in _slices(batch.column(1)):
-                cut = [words.split(t) for t in some]
-                words.learn({w for c in cut for w in c})
-                kept = words.kept
-                for i, c in enumerate(cut, first):
-                    data = b"".join([kept[w] for w in c]) + tail
-                    keys.append(ids[i])
-                    held.append(data)
-                    ns.append(len(data) // 4)
-                    n += len(data) // 4
-                    if n >= block_ids:
-                        yield close()
+            raw, offsets = texts.flat(batch.column(1))
+            flat, at = raw.view(kind), (offsets // np.dtype(kind).itemsize).tolist()
+            for key_, a, b in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
+                keys.append(key_)
+                held += [flat[a:b], tail]
+                ns.append(b - a + 1)
+                n += b - a + 1
+                if n >= block_ids:
+                    yield close()
         if keys:
             yield close()
 
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source.repartitionByRange(width, "key").sortWithinPartitions("key", "text").mapInArrow(
+    order = ["key", "tie", "row"]
+    encoded.repartitionByRange(width, *order).sortWithinPartitions(*order).select("key", "ids").mapInArrow(
         blocks, "part int, block long, before long, n long, keys array<long>, counts array<long>, checkpoints binary, bits binary"
     ).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 

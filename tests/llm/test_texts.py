@@ -8,12 +8,13 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import documents, frame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm import bpe, fingerprints, fixity, huffman, licences, mixing, quality, texts
+from riskloom.llm import bpe, fingerprints, fixity, huffman, licences, mixing, quality, queries, texts, wordids
 from riskloom.llm.repeats import common_prefix_intervals, repeated_spans
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -178,6 +179,36 @@ def test_huffman_store(spark, tmp_path):
     assert [(r["doc_id"], r["start"], r["n_tokens"]) for r in huffman.read(spark, str(tmp_path / "c")).orderBy("start").collect()] == [(None, 0, 1), (None, 1, 2), (3, 3, 2), (3, 5, 2)]
 
 
+def test_word_ids_equal_the_library(monkeypatch):
+    """Odd blanks, marks, special tokens, scripts and a very long word, with a store that is begun anew in between."""
+    rng = np.random.default_rng(4)
+    library = Tokenizer.from_file(WORD)
+    with open(WORD, encoding="utf-8") as file:
+        content = file.read()
+    monkeypatch.setattr(wordids, "KEPT_WORDS", 400)
+    words = wordids.WordIds(content)
+    letters = list("aAbÉé 's'T'll12٣ß日本語ΣσİI\u0301\u0345.,!?;:-_\t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u2003\u200b\U0001f600") + ["<|endoftext|>", "<|startoftext|>", "<|", "The "]
+    for _ in range(40):
+        rows = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(50)] + ["", "x" * 5000 + ".", None]
+        raw, offsets = texts.flat(pa.array(rows, pa.string()))
+        ids, bounds = words.encode(raw, offsets)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [library.encode(r or "", add_special_tokens=False).ids for r in rows]
+
+
+def test_word_ids_refuse_other_files():
+    with open(BYTE, encoding="utf-8") as file, pytest.raises(ValueError, match="cut at blanks"):
+        wordids.check(file.read())
+
+
+def test_op10_query_columns(spark, tables):
+    library, start = Tokenizer.from_file(WORD), 0
+    got = {r["doc_id"]: r for r in queries.op10_huffman_ids(spark, tables).collect()}
+    for r in spark.read.parquet(f"{tables}/documents.parquet").orderBy("doc_id").collect():
+        ids = np.array([*library.encode(r["text"] or "", add_special_tokens=False).ids, 1], "<u4")
+        assert (got[r["doc_id"]]["start"], got[r["doc_id"]]["n_tokens"], got[r["doc_id"]]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_huffman_codes():
     rng = np.random.default_rng(0)
     for n in (1, 2, 3, 40, 3000):
