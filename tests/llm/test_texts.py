@@ -89,6 +89,33 @@ def test_fingerprints(spark):
     assert fingerprints.edited_fingerprints(frame(spark, [])).collect() == []
 
 
+def test_fingerprints_of_repeated_and_null_ids(spark):
+    texts_ = {(1, "one two three four"): 2, (1, "five six seven"): 1, (2 ** 62, "eight nine"): 1, (-2 ** 62, "one two three four"): 1,
+              (None, "ten eleven twelve"): 3, (None, None): 2, (None, "thirteen"): 1, (-2 ** 62, ""): 1}
+    rows = [(*k, "", "", 0) for k, n in texts_.items() for _ in range(n)]
+    got = fingerprints.edited_fingerprints(frame(spark, rows)).collect()
+    plain = {(i, t or ""): n for (i, t), n in texts_.items()}
+    ids = sorted({i for i, _ in plain if i is not None}, reverse=True) + [None]
+
+    def edited(text, after):
+        third = len(text) // 3
+        return hashlib.sha256((text[:len(text) - third] + after[:third]).encode()).hexdigest()
+
+    left = Counter({(i, len(t)): n for (i, t), n in plain.items()})
+    prints = {}
+    for r in got:
+        left[r["doc_id"], r["n_chars"]] -= 1
+        text, = [t for i, t in plain if i == r["doc_id"] and len(t) == r["n_chars"]]
+        # The next text has the same id, or the next one.
+        following = {r["doc_id"], ids[(ids.index(r["doc_id"]) + 1) % len(ids)]}
+        assert r["edited_sha256"] in {edited(text, t) for i, t in plain if i in following and (i, t) != (r["doc_id"], text)}
+        assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"] and 0 <= r["near_next"] <= 1
+    assert not any(left.values()) and len(got) == len(rows)
+    # Of one document alone the next is itself.
+    alone = fingerprints.edited_fingerprints(frame(spark, rows[:2])).collect()
+    assert [(r["doc_id"], r["near_next"], r["edited_sha256"]) for r in alone] == [(1, 1.0, edited(rows[0][1], rows[0][1]))] * 2
+
+
 def test_mixing(spark):
     rows = [(i, "w " * (i % 23), None, [None, "a", "b", "é", "z"][i % 5] if i % 3 else "a", 0) for i in range(3000)] + [(1, "w", None, "a", 0)] * 2
     one, two = ({tuple(r) for r in mixing.mix(frame(spark, rows), part_rows=p).collect()} for p in (100, 100))
