@@ -7,6 +7,7 @@ cuts them, are split there, and the fragments are encoded alone and concatenated
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from array import array
@@ -22,8 +23,6 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from riskloom.llm import texts
 
-from riskloom.llm import texts
-
 #: Fixed value: the published pattern of byte-level pre-tokenisation.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words kept with their ids by one Python worker; above it the store is begun anew.
@@ -112,22 +111,36 @@ class Vocabulary:
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
     def merge(self, fragment: bytes) -> list[int]:
-        """Ids of a fragment: the leftmost pair of lowest rank is merged until none is left."""
+        """Ids of a fragment: the leftmost pair of lowest rank is merged until none is left. The pairs wait in a
+        heap by rank and place, and the parts are linked to their neighbours, so the cost of a long fragment is little more than its length."""
         get = self.merges.get
         parts = [self.single[b] for b in fragment]
-        ranks = [get(pair, _NEVER) for pair in zip(parts, parts[1:])]
-        while ranks:
-            best = min(ranks)
-            if best is _NEVER:
-                break
-            i, new = ranks.index(best), best[1]
-            parts[i:i + 2] = [new]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = get((parts[i - 1], new), _NEVER)
-            if i < len(ranks):
-                ranks[i] = get((new, parts[i + 1]), _NEVER)
-        return parts
+        n = len(parts)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        waiting = []
+        for i, pair in enumerate(zip(parts, parts[1:])):
+            found = get(pair)
+            if found is not None:
+                waiting.append((found[0], i, found[1], *pair))
+        heapq.heapify(waiting)
+        while waiting:
+            _, i, new, left, right = heapq.heappop(waiting)
+            j = after[i]
+            if parts[i] != left or j < 0 or parts[j] != right:
+                continue  # one of the two has been merged since
+            parts[i], parts[j] = new, -1
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                found = get((new, parts[k]))
+                if found is not None:
+                    heapq.heappush(waiting, (found[0], i, found[1], new, parts[k]))
+            h = before[i]
+            if h >= 0:
+                found = get((parts[h], new))
+                if found is not None:
+                    heapq.heappush(waiting, (found[0], h, found[1], parts[h], new))
+        return [p for p in parts if p >= 0]
 
     def word(self, word: str) -> bytes:
         """The ids of one word, as little-endian 32-bit integers: for words too long to be learnt."""

@@ -11,14 +11,14 @@ Inside a family the join is a dual traversal of a signature tree: a node holds t
 bitmaps below it and their range of sizes, and a pair of nodes goes when the most tokens it can
 share is too few. What is left is compared exactly. Pairs already connected are passed over, so a
 group of near copies costs about its size in comparisons, and links leave a task as a spanning
-forest. A family above ``FAMILY_ROWS`` sets or ``FAMILY_TOKENS`` n-grams is cut into blocks by size;
-every two blocks whose sizes can match are a task of their own. A key shared by more than
+forest. A family above ``FAMILY_ROWS`` sets or ``FAMILY_TOKENS`` n-grams is cut into blocks by size, which are
+joined alone; what then is not connected to the rest of the family goes to all its blocks whose sizes can match. A key shared by more than
 ``FAMILY_ROWS`` sets makes all of them one family.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -282,6 +282,47 @@ def named_groups(postings: DataFrame) -> DataFrame:
             .where("first < last").select(F.xxhash64("first", "last", "sum0", "sum1").alias("key"), "sid").distinct())
 
 
+def _across_blocks(placed: DataFrame, found: DataFrame, compare: Callable[[DataFrame], DataFrame], percent: int,
+                   family_rows: int, family_tokens: int) -> DataFrame:
+    """The links across the blocks of large families, as far as they matter for what is connected, given the links ``found`` within the blocks.
+
+    One member of each component of each block stands for it in a comparison of its own, which connects most of a group of near copies. What a
+    family then has beside its largest component goes to all blocks whose sizes can match; two members of the largest
+    component need no comparison. So a text goes to a few tasks, not to every pair of blocks.
+    """
+    def labelled(links: DataFrame) -> DataFrame:
+        known = components(links, "jaccard-blocks").select(F.col("node").alias("sid"), F.col("component").alias("label"))
+        return placed.join(known, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+
+    def cut(rows: DataFrame, *by: str) -> DataFrame:
+        """``rows`` with ``parts``: how many tasks those that agree in ``by`` are cut into."""
+        size = rows.groupBy(*by).agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
+        return rows.join(size.select(*by, F.greatest(F.lit(1), F.ceil(2 * F.col("rows") / family_rows), F.ceil(2 * F.col("tokens") / family_tokens)).alias("parts")), list(by))
+
+    first = labelled(found).groupBy("family", "band", "part", "label").agg(F.min(F.struct("sid", "id", "n")).alias("one")).select("family", "one.*")
+    stand = cut(first, "family").select("sid", "id", F.xxhash64(F.col("family"), F.lit("stand"), F.pmod("sid", "parts")).alias("task"),
+                                        F.lit(0).alias("side"), F.lit(True).alias("alone"))
+    more = compare(stand)
+    now = materialise(labelled(found.unionByName(more)), "jaccard-labelled")
+    sizes = now.groupBy("family", "label").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("family").agg(F.max_by("label", F.struct("rows", "label")).alias("main"))
+    rest = now.join(main, "family").where("label != main")
+    rest = materialise(cut(rest.drop("parts"), "family", "band").withColumn("piece", F.pmod("sid", "parts")), "jaccard-rest")
+    if rest.isEmpty():
+        return more
+    reach = int(np.ceil(np.log(100 / percent) / np.log(1.1))) + 1
+    pieces = rest.select("family", "band", "piece").distinct()
+    every = placed.select("family", F.col("band").alias("band2"), F.col("part").alias("part2")).distinct()
+    pairs = pieces.join(every, "family").where(f"abs(band2 - band) <= {reach}").withColumn("task", F.xxhash64("family", "band", "piece", "band2", "part2"))
+    pairs = materialise(pairs, "jaccard-pairs")
+    left = rest.join(pairs, ["family", "band", "piece"]).select("sid", "id", "task", F.lit(0).alias("side"), F.lit(False).alias("alone"))
+    right = now.select("family", F.col("band").alias("band2"), F.col("part").alias("part2"), "sid", "id").join(pairs, ["family", "band2", "part2"])
+    right = right.select("sid", "id", "task", F.lit(1).alias("side"), F.lit(False).alias("alone"))
+    # A member of both the piece and the block counts as the block's: the block's own members have met already.
+    both = left.unionByName(right).groupBy("sid", "id", "task", "alone").agg(F.max("side").alias("side"))
+    return more.unionByName(compare(both))
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5,
                        percent: int = 80, family_rows: int = FAMILY_ROWS, family_tokens: int = FAMILY_TOKENS,
                        rows_apart: bool = False) -> DataFrame:
@@ -376,26 +417,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     # Blocks: one for a family that fits a task; otherwise by size, and by hash where many are of a size.
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.1)))
     total = members.groupBy("family").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
-    large = total.where((F.col("rows") > family_rows) | (F.col("tokens") > family_tokens)).select("family")
+    large = materialise(total.where((F.col("rows") > family_rows) | (F.col("tokens") > family_tokens)).select("family"), "jaccard-large")
     placed = members.join(large.withColumn("large", F.lit(True)), "family", "left").withColumn(
         "band", F.when(F.col("large"), band).otherwise(F.lit(0)))
     split = (placed.where("large").groupBy("family", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
              .select("family", "band", F.greatest(F.lit(1), F.ceil(2 * F.col("rows") / family_rows),
                                                   F.ceil(2 * F.col("tokens") / family_tokens)).alias("parts")))
-    placed = placed.join(split, ["family", "band"], "left").withColumn("part", F.coalesce(F.pmod("sid", "parts"), F.lit(0)))
-    reach = int(np.ceil(np.log(100 / percent) / np.log(1.1))) + 1
-    block = split.select("family", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    other = block.select("family", F.col("band").alias("band2"), F.col("part").alias("part2"))
-    pairs = block.join(other, "family").where(
-        f"band2 between band and band + {reach} and (band2 > band or part2 >= part)")
-    # A member of a large family goes to every pair of blocks that has its block.
-    sides = pairs.select("family", "band", "part", F.xxhash64("family", "band", "part", "band2", "part2").alias("task"), F.lit(0).alias("side"),
-                         ((F.col("band") == F.col("band2")) & (F.col("part") == F.col("part2"))).alias("alone"))
-    sides = sides.unionByName(pairs.where("band2 > band or part2 > part").select(
-        "family", F.col("band2").alias("band"), F.col("part2").alias("part"),
-        F.xxhash64("family", "band", "part", "band2", "part2").alias("task"), F.lit(1).alias("side"), F.lit(False).alias("alone")))
-    tasks = placed.where("large is null").select("sid", "id", F.col("family").alias("task"), F.lit(0).alias("side"), F.lit(True).alias("alone"))
-    tasks = tasks.unionByName(placed.where("large").join(sides, ["family", "band", "part"]).select("sid", "id", "task", "side", "alone"))
+    placed = materialise(placed.join(split, ["family", "band"], "left").withColumn("part", F.coalesce(F.pmod("sid", "parts"), F.lit(0))), "jaccard-placed")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, ids, held, side, alone = None, [], [], [], True
@@ -423,10 +451,20 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
                     side.append(s)
         yield from close()
 
-    # Texts, not their larger sets, go to the families; a text goes once through the join by key.
-    needed = materialise(tasks.groupBy("id", "sid").agg(F.collect_list(F.struct("task", "side", "alone")).alias("to")), "jaccard-needed")
-    sent = source.where(may_have(needed.select("id"), F.col("id"))).join(needed, "id").select("sid", "text", F.explode("to").alias("to")).select("to.task", "sid", "to.side", "to.alone", "text")
-    found = sent.repartition(width, "task").sortWithinPartitions("task", "sid").mapInArrow(links, "a long, b long")
+    def compare(tasks: DataFrame) -> DataFrame:
+        """The links found in ``tasks`` (sid, id, task, side, alone), written. Texts, not their larger sets, go there; a text goes once
+        through the join by key."""
+        needed = materialise(tasks.groupBy("id", "sid").agg(F.collect_list(F.struct("task", "side", "alone")).alias("to")), "jaccard-needed")
+        sent = source.where(may_have(needed.select("id"), F.col("id"))).join(needed, "id").select("sid", "text", F.explode("to").alias("to"))
+        sent = sent.select("to.task", "sid", "to.side", "to.alone", "text")
+        return materialise(sent.repartition(width, "task").sortWithinPartitions("task", "sid").mapInArrow(links, "a long, b long"), "jaccard-found")
+
+    # A small family is one task. Of a large one, first its blocks are joined, each alone.
+    whole = placed.where("large is null").select("sid", "id", F.col("family").alias("task"), F.lit(0).alias("side"), F.lit(True).alias("alone"))
+    blocks = placed.where("large").select("sid", "id", F.xxhash64("family", "band", "part").alias("task"), F.lit(0).alias("side"), F.lit(True).alias("alone"))
+    found = compare(whole.unionByName(blocks))
+    if not large.isEmpty():
+        found = found.unionByName(_across_blocks(placed.where("large"), found, compare, percent, family_rows, family_tokens))
     labels = components(found, "jaccard-links").select(F.col("node").alias("sid"), F.col("component").alias("label"))
 
     known = first.select("sid", "id").join(labels, "sid", "left").select("sid", "id", F.coalesce("label", "sid").alias("label"))

@@ -120,3 +120,52 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     copies = F.when(F.col("size") > 0, taken).otherwise(F.least(taken, F.lit(1)))
     return queued.select(F.col("id").alias(key), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
                          *([F.col("__carried").alias(carry)] if carry else []))
+
+
+def with_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", most: int = 3,
+                seed: int = 0, part_rows: int = PART_ROWS) -> DataFrame:
+    """``docs``, all columns, with ``copies``: how often ``mix`` takes the row.
+
+    A round of the mix takes the documents at the head of each queue, up to some place. That place, per source and
+    round, is all that goes back to the documents, so texts are neither shuffled nor written: a row's own hash tells
+    on which side it stands. Rows equal in key and text stand at one place; where a round ends among them, that many of them, as they come, are taken.
+    """
+    order = F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`").cast("string"))
+    origin = F.struct(F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("of"), F.col(f"`{source}`").isNull().alias("bare"))
+
+    def place(hashed: Column, one: Column) -> Column:
+        return F.struct(F.shiftrightunsigned(hashed, 33).alias("high"), hashed.alias("hash"), one.alias("id"))
+
+    queued = mix(docs.withColumn("__at", F.struct(order.alias("order"), origin.alias("origin"))), text, key, source, most, seed, part_rows, carry="__at")
+    at = queued.select(F.col("__at.origin").alias("__origin"), place(F.col("__at.order"), F.col(f"`{key}`")).alias("spot"), "copies")
+    last = at.groupBy("__origin").agg(*[F.max(F.when(F.col("copies") > r, F.col("spot"))).alias(f"__last{r}") for r in range(most)])
+    last = materialise(last, "mix-ends")
+    # Rows at the very end of a round: how many there are, and how many of them it takes.
+    edge = at.join(last, "__origin")
+    ends = edge.groupBy("__origin").agg(*[F.count_if((F.col("spot") == F.col(f"__last{r}")) & (F.col("copies") > r)).alias(f"__hits{r}") for r in range(most)],
+                                        *[F.count_if(F.col("spot") == F.col(f"__last{r}")).alias(f"__all{r}") for r in range(most)])
+    ends = materialise(last.join(ends, "__origin"), "mix-places")
+
+    spot, filled = place(order, F.col(f"`{key}`")), F.length(F.btrim(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) > 0
+    marked = docs.withColumns({"__origin": origin, "__spot": spot, "__filled": filled}).join(ends, "__origin")
+    rounds = range(most)
+    split = [F.col(f"__hits{r}") < F.col(f"__all{r}") for r in rounds]
+    here = [F.coalesce(F.col("__spot") == F.col(f"__last{r}"), F.lit(False)) for r in rounds]
+    torn = F.lit(False)
+    for r in rounds:
+        torn = torn | (here[r] & split[r])
+    marked = marked.withColumn("__torn", torn)
+
+    def copies(nth: Column) -> Column:
+        hits = [F.coalesce(F.col("__spot") < F.col(f"__last{r}"), F.lit(False)) | (here[r] & (nth <= F.col(f"__hits{r}"))) for r in rounds]
+        if most == 1:
+            return hits[0].cast("int")
+        more = sum((h.cast("int") for h in hits[2:]), hits[1].cast("int"))
+        return hits[0].cast("int") + F.when(F.col("__filled"), more).otherwise(0)
+
+    # Where a round ends, rows of the last place are taken by their number among them; of a place that is taken whole any number does.
+    nth = F.row_number().over(Window.partitionBy("__origin", "__spot").orderBy("__spot"))
+    whole = marked.where(~F.col("__torn")).withColumn("copies", copies(F.lit(1)))
+    some = marked.where("__torn").withColumn("__nth", nth).withColumn("copies", copies(F.col("__nth")))
+    wanted = [*[F.col(f"`{c}`") for c in docs.columns], F.col("copies")]
+    return whole.select(*wanted).unionByName(some.select(*wanted))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -236,6 +237,37 @@ def test_op10_query_columns(spark, tables):
         start += len(ids)
 
 
+def test_copies_by_place_equal_the_mix(spark):
+    """Also where a round ends among rows that are equal, and for null sources, ids and texts."""
+    rows = [(i % 40, "w " * (i % 5), None, [None, "a", "b"][i % 3], 0) for i in range(400)] + [(None, "one two", None, "a", 0)] * 30 + [(None, None, None, None, 0)] * 9
+    rows += [(900 + i, "word " * 40, None, "c", 0) for i in range(40)]
+    df = frame(spark, rows)
+    for seed in range(3):
+        mixed = Counter()
+        for r in mixing.mix(df.withColumn("all", F.struct("doc_id", "text", "source")), seed=seed, part_rows=50, carry="all").collect():
+            mixed[tuple(r["all"])] += r["copies"]
+        placed = mixing.with_copies(df, seed=seed, part_rows=50)
+        assert placed.columns == [*df.columns, "copies"]
+        got = Counter()
+        for r in placed.collect():
+            got[r["doc_id"], r["text"], r["source"]] += r["copies"]
+        assert placed.count() == len(rows) and +got == +mixed and len(set(mixed.values())) > 3
+    assert mixing.with_copies(frame(spark, [])).collect() == []
+    assert [r["copies"] for r in mixing.with_copies(frame(spark, [(1, None, None, "a", 0)] * 2)).collect()] == [0, 0]
+
+
+def test_bpe_of_long_unbroken_runs():
+    library = Tokenizer.from_file(BYTE)
+    with open(BYTE, encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary.parse(file.read())
+    rng = np.random.default_rng(6)
+    for letters, n in (("etaoinshrdlu", 200_000), ("x", 100_000), ("ab", 50_001), ("é日ß", 20_000)):
+        text = "".join(rng.choice(list(letters), n))
+        start = time.perf_counter()
+        ids = np.frombuffer(vocabulary.encode(text), np.uint32).tolist()
+        assert time.perf_counter() - start < 20 and ids == library.encode(text, add_special_tokens=False).ids
+
+
 def test_huffman_codes():
     rng = np.random.default_rng(0)
     for n in (1, 2, 3, 40, 3000):
