@@ -266,8 +266,8 @@ def _read(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with ``ids``, the token ids of ``text`` as array<int>.
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``ids``, the token ids of ``text`` as array<int>, and with ``decoded``, if that is a name, the text that the ids stand for.
 
     Ids are those of the tokenizers library for the file at ``path`` (read once, on the driver)
     without special tokens added; a special token's own string in a text is that token. Null
@@ -275,8 +275,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     column that already has the name ``ids`` is replaced. A very long text is encoded whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_read(path))
-    rest = [c for c in docs.columns if c != ids]
+    rest = [c for c in docs.columns if c not in (ids, decoded)]
     source = docs.select(*(F.col(f"`{c}`") for c in rest), F.col(f"`{text}`").cast("string").alias(_INPUT))
+    added = [StructField(ids, ArrayType(IntegerType()))] + ([StructField(decoded, StringType())] if decoded else [])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _loaded(shared)
@@ -286,10 +287,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 found = vocabulary.encode_all(part.column(len(rest)).to_pylist())
                 at = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
                 new = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], new], names=[*rest, ids])
+                # In the same pass: a pass of its own would take one more worker per core.
+                back = [pa.array([vocabulary.decode(np.frombuffer(f, np.uint32).tolist()) for f in found], pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], new, *back], names=[*rest, *(c.name for c in added)])
 
     # A chunk at a time, not a column at a time: what a task holds stays small.
-    return source.mapInArrow(work, StructType([*(docs.schema[c] for c in rest), StructField(ids, ArrayType(IntegerType()))]))
+    return source.mapInArrow(work, StructType([*(docs.schema[c] for c in rest), *added]))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

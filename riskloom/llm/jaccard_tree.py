@@ -35,6 +35,8 @@ FAMILY_ROWS = 4096
 FAMILY_TOKENS = 1 << 21
 LEAF = 8
 MOST_BITS = 1 << 14
+#: Bits of a key that travel: two keys that fall together only make a group larger, which costs a comparison and loses nothing.
+KEY_MASK = (1 << 48) - 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -368,7 +370,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         for _, tokens, bounds, sids, fresh, _ in fresh_sets(batches):
             keys, at = region_keys(tokens, bounds, percent)
             keep, owner = np.repeat(fresh, np.diff(at)), np.repeat(sids, np.diff(at))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(owner[keep])], names=["key", "sid"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[keep] & KEY_MASK), pa.array(owner[keep])], names=["key", "sid"])
 
     # Sets are hashed again for their keys: that is cheaper than writing the keys.
     profiles = materialise(hashed.mapInArrow(profile, "id long, n long, sid long, bits binary" + ", text_hash long" * rows_apart), "jaccard-profiles")
