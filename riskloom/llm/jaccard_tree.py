@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskloom.llm import texts
 from riskloom.llm.components import components
@@ -37,6 +36,10 @@ LEAF = 8
 MOST_BITS = 1 << 14
 #: Bits of a key that travel: two keys that fall together only make a group larger, which costs a comparison and loses nothing.
 KEY_MASK = (1 << 48) - 1
+#: Postings that a task packs, and later opens, at a time.
+HELD_POSTINGS = 1 << 22
+_BLOCK = pa.schema([("bucket", pa.int32()), ("first", pa.int64()), ("n", pa.int32()), *((c, pa.binary()) for c in ("steps", "sids", "place"))])
+BLOCKS = "bucket int, first long, n int, steps binary, sids binary, place binary"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -271,17 +274,113 @@ def family_links(sets: list[np.ndarray], sides: np.ndarray | None, percent: int)
     return links
 
 
-def named_groups(postings: DataFrame) -> DataFrame:
-    """Distinct (key, sid) of ``postings`` (key, sid) without keys of one set only; keys with the
-    same sets become one, named by its sets. A set may be posted several times under a key, but then as often
-    under each of its keys. Names come from sums, in which repeats do not cancel out; the halves of
-    the hashes are summed apart, so that no sum overflows."""
-    shared = Window.partitionBy("key")
-    h = F.xxhash64("sid")
-    sums = [F.sum(half).over(shared) for half in (F.shiftrightunsigned(h, 32), h.bitwiseAND(0xFFFFFFFF))]
-    return (postings.select("sid", F.min("sid").over(shared).alias("first"), F.max("sid").over(shared).alias("last"),
-                            *(s.alias(f"sum{i}") for i, s in enumerate(sums)))
-            .where("first < last").select(F.xxhash64("first", "last", "sum0", "sum1").alias("key"), "sid").distinct())
+def pack_postings(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], buckets: int, held: int = HELD_POSTINGS) -> Iterator[pa.RecordBatch]:
+    """Blocks of the postings ``found``: (keys, place of each key's set, set ids). A block has the postings of one of ``buckets``
+    equal parts of the key range: the sorted keys as steps, the distinct sets, and which of them each key is of. That is some 7
+    bytes for a posting, where a row of two longs has 24. Up to ``held`` postings are packed at a time."""
+    edges = np.array([-(-(b * (KEY_MASK + 1)) // buckets) for b in range(buckets + 1)], np.int64)
+
+    def close() -> Iterator[pa.RecordBatch]:
+        base = np.cumsum([0] + [len(s) for _, _, s in waiting])
+        keys, sids = np.concatenate([k for k, _, _ in waiting]), np.concatenate([s for _, _, s in waiting])
+        owner = np.concatenate([o + start for (_, o, _), start in zip(waiting, base.tolist(), strict=False)])
+        order = np.argsort(keys)
+        keys, owner = keys[order], owner[order]
+        cuts = np.searchsorted(keys, edges)
+        rows, size = [], 0
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            one, of = keys[cuts[b]:cuts[b + 1]], owner[cuts[b]:cuts[b + 1]]
+            used = np.zeros(len(sids), bool)
+            used[of] = True
+            steps = np.diff(one, prepend=one[:1])
+            steps = steps.astype(np.uint32) if steps.max() < 1 << 32 else steps
+            place = (np.cumsum(used) - 1)[of].astype(np.uint16 if used.sum() <= 1 << 16 else np.uint32)
+            rows.append((b, int(one[0]), len(one), steps.tobytes(), sids[used].tobytes(), place.tobytes()))
+            size += len(one)
+            if size >= 1 << 19 or b == buckets - 1:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _BLOCK, strict=True)], schema=_BLOCK)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _BLOCK, strict=True)], schema=_BLOCK)
+
+    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for one in found:
+        if len(one[0]):
+            waiting.append(one)
+        if sum(len(k) for k, _, _ in waiting) >= held:
+            yield from close()
+            waiting = []
+    if waiting:
+        yield from close()
+
+
+def groups_between(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], low: int, high: int, held: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(name, sid) of the groups of sets whose key is in [low, high), from ``blocks`` (sorted keys, set ids, places in these): keys of
+    one set only are left out, keys with the same sets are one group. A range of more than ``held`` postings is halved; a
+    single key with more is passed on block by block, named by itself."""
+    spans = [np.searchsorted(keys, (low, high)).tolist() for keys, _, _ in blocks]
+    total = sum(z - a for a, z in spans)
+    if total < 2:
+        return
+    if total > held and high - low > 1:
+        yield from groups_between(blocks, low, (low + high) // 2, held)
+        yield from groups_between(blocks, (low + high) // 2, high, held)
+        return
+    if total > held:
+        name = texts.mix(np.array([low], np.uint64) ^ _ODD).view(np.int64)
+        for (_, known, place), (a, z) in zip(blocks, spans, strict=True):
+            sids = np.unique(known[place[a:z]])
+            yield np.repeat(name, len(sids)), sids
+        return
+    keys = np.concatenate([k[a:z] for (k, _, _), (a, z) in zip(blocks, spans, strict=True)])
+    sids = np.concatenate([known[place[a:z]] for (_, known, place), (a, z) in zip(blocks, spans, strict=True)])
+    order = np.argsort(keys)
+    keys, sids = keys[order], sids[order]
+    same = keys[1:] == keys[:-1]
+    again = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    keys, sids = keys[again], sids[again]
+    order = np.lexsort((sids, keys))
+    keys, sids = keys[order], sids[order]
+    fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (sids[1:] != sids[:-1])])[:len(keys)]
+    keys, sids = keys[fresh], sids[fresh]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    if not len(first):
+        return
+    count = np.diff(np.append(first, len(keys)))
+    names = texts.mix(np.add.reduceat(texts.mix(sids.view(np.uint64) + _ODD), first) + count.astype(np.uint64) * _ODD)
+    one = np.zeros(len(first), bool)
+    one[np.unique(names, return_index=True)[1]] = True
+    one &= count > 1
+    yield np.repeat(names[one].view(np.int64), count[one]), sids[np.repeat(one, count)]
+
+
+def shared_groups(blocks: DataFrame, buckets: int, held: int = HELD_POSTINGS) -> DataFrame:
+    """Distinct (key, sid) of the packed postings ``blocks`` without keys of one set only; keys with the same sets become one,
+    named by a sum over its sets, each counted once however often it was posted. A task has one part of the key range; it
+    holds that part's blocks, about twice what the shuffle brings it, and opens ``held`` postings of it at a time."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for batch in batches:
+            for _, start, n, steps, sids, place in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                keys = np.cumsum(np.frombuffer(steps, np.uint32 if len(steps) == 4 * n else np.int64), dtype=np.int64) + start
+                found.append((keys, np.frombuffer(sids, np.int64), np.frombuffer(place, np.uint16 if len(place) == 2 * n else np.uint32)))
+        for names, sids in groups_between(found, 0, KEY_MASK + 1, held):
+            for a in range(0, len(names), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(names[a:a + (1 << 17)]), pa.array(sids[a:a + (1 << 17)])], names=["key", "sid"])
+
+    return blocks.repartitionById(buckets, F.col("bucket")).mapInArrow(merge, "key long, sid long").distinct()
+
+
+def named_groups(postings: DataFrame, buckets: int = 8, held: int = HELD_POSTINGS) -> DataFrame:
+    """``shared_groups`` of postings that are rows (key, sid)."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for batch in batches:
+                sids, place = np.unique(batch.column(1).to_numpy(), return_inverse=True)
+                yield batch.column(0).to_numpy(), place, sids
+        return pack_postings(found(), buckets, held)
+
+    return shared_groups(postings.mapInArrow(pack, BLOCKS), buckets, held)
 
 
 def _across_blocks(placed: DataFrame, found: DataFrame, compare: Callable[[DataFrame], DataFrame], percent: int,
@@ -342,6 +441,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     hashed = source.withColumn("text_hash", F.xxhash64("text")) if rows_apart else source
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def fresh_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """(ids, sets, offsets, set ids, which of them this task meets for the first time): a copy
@@ -367,10 +467,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
             yield pa.RecordBatch.from_pydict(columns | ({"text_hash": hashes} if rows_apart else {}))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, bounds, sids, fresh, _ in fresh_sets(batches):
-            keys, at = region_keys(tokens, bounds, percent)
-            keep, owner = np.repeat(fresh, np.diff(at)), np.repeat(sids, np.diff(at))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[keep] & KEY_MASK), pa.array(owner[keep])], names=["key", "sid"])
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for _, tokens, bounds, sids, fresh, _ in fresh_sets(batches):
+                keys, at = region_keys(tokens, bounds, percent)
+                keep, owner = np.repeat(fresh, np.diff(at)), np.repeat(np.arange(len(sids)), np.diff(at))
+                yield keys[keep] & KEY_MASK, owner[keep], sids
+        return pack_postings(found(), width)
 
     # Sets are hashed again for their keys: that is cheaper than writing the keys.
     profiles = materialise(hashed.mapInArrow(profile, "id long, n long, sid long, bits binary" + ", text_hash long" * rows_apart), "jaccard-profiles")
@@ -406,10 +508,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
     # Keys of one set only go at once. Near copies share most of their keys: groups with the same
     # members are one group, named by their members. What is left takes sizes and bitmaps along.
-    postings = named_groups(source.mapInArrow(post, "key long, sid long"))
+    postings = shared_groups(source.mapInArrow(post, BLOCKS), width)
     maps = profiles.where("bits is not null").groupBy("sid").agg(F.min("id").alias("id"), F.min("n").alias("n")).join(
         profiles.where("bits is not null").select("id", "sid", "bits").withColumnRenamed("sid", "of"), "id").where("sid = of").select("sid", "n", "bits")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     meets = postings.join(maps, "sid").select("key", "sid", "n", "bits").repartition(width, "key").sortWithinPartitions("key", "sid").mapInArrow(
         meet, "a long, b long")
     families = components(meets, "jaccard-families").select(F.col("node").alias("sid"), F.col("component").alias("family"))

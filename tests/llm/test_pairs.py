@@ -86,6 +86,24 @@ def test_sets_posted_twice_keep_their_groups_apart(spark):
     assert got == expected(docs, 4, 85) and len({c for _, _, c in got}) == 24
 
 
+def test_packed_postings_equal_plain_groups(spark):
+    """Groups of random postings, one key with most of them, whatever the buckets and however few are held at a time."""
+    rng = np.random.default_rng(6)
+    keys = np.where(rng.random(6000) < 0.4, 5, rng.integers(0, 1 << 48, 2500)[rng.integers(0, 2500, 6000)])
+    postings = sorted({(int(k), int(s)) for k, s in zip(keys, rng.integers(-2**62, 2**62, 400)[rng.integers(0, 400, 6000)])})
+    sets = {}
+    for k, s in postings:
+        sets.setdefault(k, set()).add(s)
+    want = sorted(sorted(s) for s in {frozenset(s) for s in sets.values() if len(s) > 1})
+    frame_ = spark.createDataFrame(postings + postings[::3], "key long, sid long").repartition(5)
+    for buckets, held in ((1, 1 << 22), (7, 1 << 22), (3, 100)):
+        got = {}
+        for r in named_groups(frame_, buckets, held).collect():
+            got.setdefault(r["key"], []).append(r["sid"])
+        assert sorted(map(sorted, got.values())) == want
+    assert named_groups(spark.createDataFrame([], "key long, sid long")).collect() == []
+
+
 def test_families_keep_every_link():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 200, dtype=np.uint64)
