@@ -37,7 +37,9 @@ MOST_BITS = 1 << 14
 #: Bits of a key that travel: two keys that fall together only make a group larger, which costs a comparison and loses nothing.
 KEY_MASK = (1 << 48) - 1
 #: Postings that a task packs, and later opens, at a time.
-HELD_POSTINGS = 1 << 22
+HELD_POSTINGS = 1 << 20
+#: Bytes of text whose n-grams a task works on at a time.
+TEXT_BYTES = 1 << 18
 _BLOCK = pa.schema([("bucket", pa.int32()), ("first", pa.int64()), ("n", pa.int32()), *((c, pa.binary()) for c in ("steps", "sids", "place"))])
 BLOCKS = "bucket int, first long, n int, steps binary, sids binary, place binary"
 
@@ -297,7 +299,7 @@ def pack_postings(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bu
             place = (np.cumsum(used) - 1)[of].astype(np.uint16 if used.sum() <= 1 << 16 else np.uint32)
             rows.append((b, int(one[0]), len(one), steps.tobytes(), sids[used].tobytes(), place.tobytes()))
             size += len(one)
-            if size >= 1 << 19 or b == buckets - 1:
+            if size >= 1 << 18 or b == buckets - 1:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _BLOCK, strict=True)], schema=_BLOCK)
                 rows, size = [], 0
         if rows:
@@ -449,7 +451,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         seen: set[int] = set()
         for batch in batches:
             ids, hashes = batch.column(0), batch.column(batch.num_columns - 1)
-            for a, b, raw, offsets in texts.chunks(batch.column(1)):
+            for a, b, raw, offsets in texts.chunks(batch.column(1), TEXT_BYTES):
                 tokens, bounds = shingle_sets(raw, offsets, shingle)
                 sids = set_ids(tokens, bounds)
                 fresh = np.zeros(b - a, bool)
@@ -538,7 +540,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(4)]
-            for a, b, raw, offsets in texts.chunks(batch.column(4)):
+            for a, b, raw, offsets in texts.chunks(batch.column(4), TEXT_BYTES):
                 tokens, bounds = shingle_sets(raw, offsets, shingle)
                 own = set_ids(tokens, bounds).tolist()
                 for i, (t, sid, s, whole) in enumerate(zip(*(c[a:b] for c in columns), strict=True)):
