@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -131,25 +130,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     # Statistics before the join: what is shuffled is a few numbers per text.
     known = docs.select(F.col(f"`{key}`").alias("id"), _statistics(F.col(f"`{text}`").cast("string")).alias("x")).join(wanted, "id")
 
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {y: [0, np.zeros(width), np.zeros((width, width))] for y in (0, 1)}
-        for batch in batches:
-            if batch.num_rows:
-                y = batch.column(0).to_numpy()
-                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                for c, m in held.items():
-                    one = x[y == c]
-                    m[0] += len(one)
-                    m[1] += one.sum(0)
-                    m[2] += one.T @ one
-        for c, (count, first, second) in held.items():
-            values = np.concatenate([[count], first, second.ravel()])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), c, np.int32)), pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["y", "i", "value"])
-
-    sums = known.select("y", "x").mapInArrow(moments, "y int, i int, value double").groupBy("y", "i").agg(F.sum("value").alias("value"))
+    x = [F.col("x")[i] for i in range(width)]
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    sums = known.groupBy("y").agg(F.count(F.lit(1)).alias("count"), F.array(*(F.sum(c) for c in x)).alias("first"),
+                                  F.array(*(F.sum(x[i] * x[j]) for i, j in pairs)).alias("second"))
     values = np.zeros((2, 1 + width + width * width))
     for row in sums.collect():
-        values[row["y"], row["i"]] = row["value"]
+        square = np.zeros((width, width))
+        for (i, j), value in zip(pairs, row["second"], strict=True):
+            square[i, j] = square[j, i] = value
+        values[row["y"]] = np.concatenate([[row["count"]], row["first"], square.ravel()])
     counts = values[:, 0]
     if (counts == 0).any():
         constant = 0.5 if not counts.any() else float(counts[1] > 0)
