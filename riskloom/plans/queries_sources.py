@@ -201,6 +201,17 @@ def lookup_any_bucket_count(spark, sf):
     return scores.lookup(scores.read_scores(spark, path), "student", "42").select("event_id", "student", "n")
 
 
+@query("indexed_key_lookup", """
+SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS part FROM lineitem WHERE l_partkey IN (7, 19, 40)""")
+def indexed_key_lookup(spark, sf):
+    """A few keys, absent ones among them, of a table whose row groups are indexed by key."""
+    path = fresh_path(spark, "scores")
+    table = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    scores.write_scores(table, path, "part", buckets=4)
+    found = scores.lookup_list(scores.read_scores(spark, path), "part", ["7", " 19", "40", "-1", "7x"])
+    return found.select("l_orderkey", "l_linenumber", "part")
+
+
 @query("published_and_checked", "SELECT 'suppliers' AS topic, count(*) AS n_rows, count(*) AS n_messages FROM supplier")
 def published_and_checked(spark, sf):
     return jobs.publish_and_check(read_table(spark, sf, "supplier"), messages.FileTransport(fresh_path(spark, "topic")), "suppliers", partitions=4)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from riskloom.session import materialise
 #: Folders of a table of ``write_scores``, if the writer names no other number; each row's folder
 #: names the number it was placed by, so that readers need not know it.
 KEY_BUCKETS = 64
+#: Bytes of a row group: small enough that a lookup which must read one reads little.
+ROW_GROUP_BYTES = 32 << 20
 
 
 def score_messages(scores: DataFrame, fields: dict[str, str], topic: str, key: str | None = None) -> DataFrame:
@@ -27,12 +31,26 @@ def _bucket(key: Column, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), buckets).cast("int")
 
 
-def write_scores(scores: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS) -> None:
-    """Append to the scores table, laid out so that one key lives in one folder. The
-    rebalance hint lets Spark split a folder that a hot key makes too large for one task."""
+def key_index(key: str, row_group_bytes: int = ROW_GROUP_BYTES) -> dict[str, str]:
+    """Parquet options that make row groups refuse keys they do not hold. A group with few
+    distinct keys refuses by its dictionary, any other by a Bloom filter that Parquet sizes
+    to the keys it meets; neither needs their number beforehand."""
+    return {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.block.size": str(row_group_bytes),
+    }
+
+
+def write_scores(scores: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS,
+                 row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """Append to the scores table, laid out so that one key lives in one folder, sorted and
+    indexed by key. The rebalance hint lets Spark split a folder that a hot key makes too large
+    for one task."""
     placed = scores.withColumn("key_buckets", F.lit(buckets)).withColumn("key_bucket", _bucket(F.col(key), F.lit(buckets)))
     (placed.hint("rebalance", "key_bucket").sortWithinPartitions("key_bucket", key)
-     .write.mode("append").partitionBy("key_buckets", "key_bucket").parquet(path))
+     .write.mode("append").options(**key_index(key, row_group_bytes))
+     .partitionBy("key_buckets", "key_bucket").parquet(path))
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -51,10 +69,20 @@ def key_equals(df: DataFrame, key: str, wanted: str) -> Column:
 
 def lookup(scores: DataFrame, key: str, wanted: str) -> DataFrame:
     """Every score of one key; on a table of ``write_scores`` only one folder is read, or one for
-    each number of folders that it was written with."""
-    found = scores.filter(key_equals(scores, key, wanted))
+    each number of folders that it was written with, and of it only row groups that may hold
+    the key."""
+    return lookup_list(scores, key, [wanted])
+
+
+def lookup_list(scores: DataFrame, key: str, wanted: Sequence[str]) -> DataFrame:
+    """Every score of a few keys named one by one, read like ``lookup``. Keys that are many, or
+    rows of a table, belong in ``lookup_many``."""
+    if not wanted:
+        return scores.filter(F.lit(False))
+    found = scores.filter(reduce(or_, [key_equals(scores, key, one) for one in wanted]))
     if "key_bucket" in scores.columns:
-        found = found.filter(F.col("key_bucket") == _bucket(strip(F.lit(wanted)), F.col("key_buckets")))
+        places = [F.col("key_bucket") == _bucket(strip(F.lit(one)), F.col("key_buckets")) for one in wanted]
+        found = found.filter(reduce(or_, places))
     return found
 
 
