@@ -22,9 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskloom.llm import texts
+from riskloom.llm.narrowing import may_have
 from riskloom.session import materialise
 
 GRAM = 48
@@ -149,6 +149,16 @@ def extents(rows: np.ndarray, keys: np.ndarray, left: int, length: int) -> tuple
     return reach_left, reach_right
 
 
+def recurring(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows whose ``key`` (a long) other rows have too.
+
+    Keys are counted by an aggregate, which combines equal ones before the shuffle, and the rows
+    are made again: few of them pass the hash filter, and Spark joins these by broadcast or with
+    its skew handling. So a key that a third of the rows share is never one task's."""
+    again = materialise(rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), name)
+    return rows.where(may_have(again, F.col(key))).join(again, key, "left_semi")
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = 200,
                    group_rows: int = GROUP_ROWS, gram: int = GRAM, whole_characters: bool = False,
                    carry: tuple[str, ...] = ()) -> DataFrame:
@@ -187,8 +197,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                         [pa.array(h.view(np.int64)), pa.array(rows[owner[who]]), pa.array(at + start - cut[who])], names=["gram", "row", "at"])
 
     found = source.select("row", "text").mapInArrow(find, "gram long, row long, at long")
-    again = found.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1")
-    places = again.groupBy("row").agg(F.collect_set("at").alias("ats"))
+    places = recurring(found, "gram", "repeat-anchors").groupBy("row").agg(F.collect_set("at").alias("ats"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # contexts that this task has sent
@@ -274,7 +283,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
         hot = sent.join(counted, "gram", "left_semi").dropDuplicates(["hash"]).select("hash", "gram", "context").mapInArrow(
             windows, "window long, hash long, gram long, before long")
         # Of one gram at one place of the string: a string seen from two anchors is one occurrence.
-        hot = hot.withColumn("n", F.count("*").over(Window.partitionBy("window", "gram", "before"))).where("n > 1").groupBy("hash").agg(
+        hot = hot.select(F.xxhash64("window", "gram", "before").alias("place"), "hash", "before")
+        hot = recurring(hot, "place", "repeat-windows").groupBy("hash").agg(
             F.max("before").alias("before"), (F.lit(length) - F.min("before")).alias("after"))
         reach = reach.unionByName(hot)
     copies = occurrences.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(
