@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,11 +85,11 @@ def encode(rows: DataFrame, table: DataFrame, codes: Sequence[str], words: Seque
 
 def with_weights(table: DataFrame, blocks: Sequence[Sequence[float]]) -> DataFrame:
     """The dictionary with each value's weight: ``blocks`` has a category's weights by slot."""
-    features = [i for i, block in enumerate(blocks) for _ in block]
-    slots = [s for block in blocks for s in range(len(block))]
-    weights = [float(w) for block in blocks for w in block]
+    sizes = [len(block) for block in blocks]
     given = table.sparkSession.createDataFrame(pa.table({
-        "feature": pa.array(features, pa.int32()), "slot": pa.array(slots, pa.int64()), "weight": pa.array(weights, pa.float64())}))
+        "feature": pa.array(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)),
+        "slot": pa.array(np.concatenate([np.arange(n, dtype=np.int64) for n in sizes])),
+        "weight": pa.array(np.concatenate([np.asarray(block, np.float64) for block in blocks]))}))
     return materialise(table.join(given, ["feature", "slot"]).select("feature", "code", "word", "slot", "weight"), "category-weights")
 
 

@@ -43,10 +43,13 @@ from riskloom.operators.shape import (
 from riskloom.plans import categories
 from riskloom.plans.categories import UNKNOWN_TEXT
 from riskloom.plans.categories import slot_name as _slot
+from riskloom.session import materialise
 from riskloom.spec import FeatureSpec
 
 FEATURES = "features"
 LABEL = "label"
+#: How many training rows a row stands for, where equal rows are fitted as one.
+WEIGHT = "weight"
 
 
 def clean(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -140,13 +143,21 @@ def stages(spec: FeatureSpec) -> list:
         plan.append(VectorAssembler(inputCols=[*blocks, *(["numbers"] if spec.numeric else [])], outputCol=FEATURES))
     plan.append(LogisticRegression(
         featuresCol=FEATURES, labelCol=LABEL, maxIter=spec.max_iter, tol=spec.tolerance,
-        aggregationDepth=spec.aggregation_depth))
+        aggregationDepth=spec.aggregation_depth, **({"weightCol": WEIGHT} if weighted(spec) else {})))
     return plan
 
 
+def weighted(spec: FeatureSpec) -> bool:
+    """Whether equal training rows are fitted as one that has their number as its weight: where there are only categories, of
+    which rows agree often. The imputer and the scaler know no weights."""
+    return not spec.numeric and spec.standardise != "all"
+
+
 def counted(rows: DataFrame, spec: FeatureSpec) -> int:
     """The number of training rows, after a look that both classes occur."""
-    found = rows.agg(F.count_if(F.col(LABEL) == 1.0).alias("n_positive"), F.count_if(F.col(LABEL) == 0.0).alias("n_negative")).head()
+    weight = F.col(WEIGHT).cast("long") if weighted(spec) else F.lit(1).cast("long")
+    found = rows.agg(*[F.coalesce(F.sum(F.when(F.col(LABEL) == label, weight)), F.lit(0)).alias(name)
+                       for name, label in (("n_positive", 1.0), ("n_negative", 0.0))]).head()
     for label, n in ((spec.positive_label, found["n_positive"]), (spec.negative_label, found["n_negative"])):
         if n == 0:
             raise ValueError(f"no usable training row has label {label!r}")
@@ -218,19 +229,24 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
     The fit reads its input a few times: row counts, category values, moments, and the
     regression's own read. The pruned columns are held for that, in memory and on disk,
     whatever their number, and dealt out anew, so that few file splits do not leave cores idle.
-    ``keep_in_memory`` holds them before that as well, for messages that must be parsed.
+    ``keep_in_memory`` holds them before that as well, for messages that must be parsed. Where a
+    model has only categories, equal rows are counted first, and the fit reads one of each with
+    its number as its weight: it has the same optimum, and its steps do not grow with the rows.
 
     What the driver holds is a weight per category value and number: as much as the regression itself keeps there.
     """
     rows = model_columns(labelled_rows(cleaned, spec), spec, [LABEL])
-    held = [rows.persist(StorageLevel.MEMORY_AND_DISK)] if keep_in_memory else []
+    if weighted(spec):
+        rows = rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias(WEIGHT))
+    held = [rows.persist(StorageLevel.MEMORY_AND_DISK)] if keep_in_memory or weighted(spec) else []
     try:
         n = counted(rows, spec)
+        fitted_rows = rows.count() if weighted(spec) else n
         table = categories.dictionary(rows, spec.categorical, spec.text_categorical) if spec.categorical or spec.text_categorical else None
         sizes = categories.slot_counts(table, spec.categorical, spec.text_categorical) if table else []
-        rows = slotted_rows(rows, spec, table, sizes).repartition(_even_parts(rows, n)).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = slotted_rows(rows, spec, table, sizes).repartition(_even_parts(rows, fitted_rows)).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(rows)
-        fitted = Pipeline(stages=stages(spec)).fit(rows)
+        fitted = _fit_weighted(rows, spec) if weighted(spec) else Pipeline(stages=stages(spec)).fit(rows)
     finally:
         for one in held:
             one.unpersist()
@@ -240,6 +256,17 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
     return replace(model, table=categories.with_weights(table, linear_form(model).blocks)) if table else model
 
 
+def _fit_weighted(rows: DataFrame, spec: FeatureSpec) -> PipelineModel:
+    """The stages fitted one after the other, the regression on vectors in the shared folder. The assembler notes an
+    attribute per slot on them, and all later stages' tasks would carry these; only their number stays."""
+    *prepare, regression = stages(spec)
+    prepared = Pipeline(stages=prepare).fit(rows)
+    sizes = [n for s in prepared.stages if isinstance(s, OneHotEncoderModel) for n in s.categorySizes]
+    vectors = F.col(FEATURES).alias(FEATURES, metadata={"ml_attr": {"num_attrs": int(sum(sizes))}})
+    ready = materialise(prepared.transform(rows).select(LABEL, WEIGHT, vectors), "training-rows")
+    return PipelineModel([*prepared.stages, regression.fit(ready)])
+
+
 #: Rows of a part of the training set, where there are enough for every core.
 PART_ROWS = 250_000
 

@@ -335,3 +335,22 @@ def test_padded_target_is_a_contradiction_all_the_same(spark):
     spec = FeatureSpec(keys=(), target="Target", label_order=("Dropout", "Graduate"), positive_label="Graduate",
                        contradictions=("avg_approved = 0 AND Target = 'Graduate'",))
     assert [r["avg_approved"] for r in labelled_rows(clean(rows, spec), spec).collect()] == [2]
+
+
+def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
+    """Of rows that have only categories, the regression sees each once with its number, and no list of slots."""
+    from pyspark.ml.classification import LogisticRegression
+    seen, fit = [], LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, rows, *a: (seen.append(rows), fit(self, rows, *a))[1])
+    df = spark.sql("select id, cast(if(id % 7 = 0, null, id % 5) as int) as code, if(id % 3 = 0 or id % 4 = 0, 'yes', 'no') as y from range(2100)")
+    spec = FeatureSpec(keys=("id",), target="y", label_order=("no", "yes"), positive_label="yes", categorical=("code",), tolerance=1e-10)
+    model = pipeline.train(df, spec)
+    assert model.report.rows == 2100 and seen[0].count() == 12
+    assert seen[0].schema["features"].metadata == {"ml_attr": {"num_attrs": 6}}
+    rates = pipeline.score(df, model, ["code", "y"]).groupBy("code").agg(
+        F.avg((F.col("y") == "yes").cast("int")).alias("rate"), F.min("p_positive").alias("low"), F.max("p_positive").alias("high")).collect()
+    assert len(rates) == 6
+    for r in rates:
+        assert r["low"] == r["high"] == pytest.approx(r["rate"], abs=1e-6)
+    by_stages = {r["id"]: r["p_positive"] for r in pipeline.score_by_stages(df, model).collect()}
+    assert all(r["p_positive"] == pytest.approx(by_stages[r["id"]]) for r in pipeline.score(df, model).collect())
