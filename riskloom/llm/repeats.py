@@ -179,7 +179,18 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     source = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), carried)
     source = source.withColumn("row", F.xxhash64("id", "text"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = source.repartition(width, "row")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            small, sizes = texts.compressed(batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), small, sizes], names=["row", "carried", "packed", "size"])
+
+    kind = source.schema["carried"].dataType.simpleString()
+    # Texts are dealt twice, each time compressed.
+    dealt = source.select("row", "carried", "text").mapInArrow(pack, f"row long, carried {kind}, packed binary, size long").repartition(width, "row")
+    alone = source.select("row", "text").mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([b.column(0), *texts.compressed(b.column(1))], names=["row", "packed", "size"]) for b in batches),
+        "row long, packed binary, size long").repartition(width, "row")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,16 +214,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
         seen: set[int] = set()  # contexts that this task has sent
         for batch in batches:
             rows = batch.column(0).to_numpy(zero_copy_only=False)
-            ats = batch.column(2)
-            for a, b, raw, offsets in texts.chunks(batch.column(1)):
+            ats = batch.column(3)
+            for a, b, raw, offsets in texts.restored(batch.column(1), batch.column(2)):
                 one = ats.slice(a, b - a)
                 counts = np.diff(one.offsets.to_numpy())
                 at = np.asarray(one.flatten().to_numpy(zero_copy_only=False), np.int64)
                 who = np.repeat(np.arange(b - a), counts)
                 order = np.lexsort((at, who))
                 at, who = at[order], who[order]
-                for s in range(0, len(at), 8192):
-                    p, w = at[s:s + 8192], who[s:s + 8192]
+                for s in range(0, len(at), 2048):
+                    p, w = at[s:s + 2048], who[s:s + 2048]
                     cuts = contexts(raw, offsets[w], offsets[w + 1], p + offsets[w], left, length)
                     h = row_hash(cuts).view(np.int64)
                     grams = row_hash(cuts[:, left:left + gram]).view(np.int64)
@@ -226,13 +237,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                         [pa.array(rows[a:b][w]), pa.array(p), pa.array(grams), pa.array(h), data], names=["row", "at", "gram", "hash", "context"])
 
     occurrences = materialise(
-        dealt.select("row", "text").join(places, "row").select("row", "text", "ats").mapInArrow(
+        alone.join(places, "row").select("row", "packed", "size", "ats").mapInArrow(
             cut_out, "row long, at long, gram long, hash long, context binary"), "repeat-contexts")
 
-    sent = occurrences.where("context is not null").select("gram", "hash", "context")
-    counted = materialise(
-        occurrences.where("context is not null").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > group_rows).select("gram"),
-        "repeat-grams")
+    # A context that occurs again is in a repeat as far as it goes. So only grams with one that does not, and
+    # another to compare it with, send their contexts; what the filter lets pass beside them finds nothing new.
+    known = materialise(occurrences.groupBy("hash", "gram").agg(F.count("*").alias("n")), "repeat-hashes")
+    grams = known.groupBy("gram").agg(F.count("*").alias("different"), F.min("n").alias("least")).where("different > 1 and least = 1")
+    grams = materialise(grams.select("gram", "different"), "repeat-grams")
+    sent = occurrences.where("context is not null").select("gram", "hash", "context").where(may_have(grams.select("gram"), F.col("gram")))
+    counted = grams.where(F.col("different") > group_rows).select("gram")
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -287,18 +301,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
         hot = recurring(hot, "place", "repeat-windows").groupBy("hash").agg(
             F.max("before").alias("before"), (F.lit(length) - F.min("before")).alias("after"))
         reach = reach.unionByName(hot)
-    copies = occurrences.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(
+    copies = known.where("n > 1").select(
         "hash", F.lit(left).cast("long").alias("before"), F.lit(length).cast("long").alias("after"))
     reach = reach.unionByName(copies).groupBy("hash").agg(F.max("before").alias("before"), F.max("after").alias("after"))
     covered = occurrences.select("row", "at", "hash").join(reach, "hash").groupBy("row").agg(
         F.collect_set(F.struct((F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))).alias("covered"))
 
-    kind = source.schema["carried"].dataType.simpleString()
-
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, covers = batch.column(0), batch.column(2)
-            for a, b, raw, offsets in texts.chunks(batch.column(1)):
+            ids, covers = batch.column(0), batch.column(3)
+            for a, b, raw, offsets in texts.restored(batch.column(1), batch.column(2)):
                 mask = np.zeros(len(raw), bool)
                 for i in range(a, b):
                     if covers[i].is_valid:
@@ -324,6 +336,6 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                     [ids.slice(a, b - a), pa.array(np.diff(offsets)), texts.packed(raw[~mask], left_over), pa.ListArray.from_arrays(pa.array(per), spans)],
                     names=["carried", "n_bytes", "kept", "spans"])
 
-    out = dealt.join(covered, "row", "left").select("carried", "text", "covered").mapInArrow(
+    out = dealt.join(covered, "row", "left").select("carried", "packed", "size", "covered").mapInArrow(
         remove, f"carried {kind}, n_bytes long, kept binary, spans array<struct<start long, end long>>")
     return out.select("carried.*", "n_bytes", "kept", "spans")

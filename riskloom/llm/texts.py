@@ -41,6 +41,27 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         at = end
 
 
+def compressed(column: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Each text's UTF-8 bytes by Zstandard, and how many bytes it has; null is empty."""
+    raw, offsets = flat(column)
+    codec, whole = pa.Codec("zstd", compression_level=1), pa.py_buffer(np.ascontiguousarray(raw))
+    small = [codec.compress(whole.slice(a, b - a), asbytes=True) if b > a else b"" for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    return pa.array(small, pa.binary()), pa.array(np.diff(offsets), pa.int64())
+
+
+def restored(column: pa.Array, sizes: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """What ``chunks`` gives of the texts that ``compressed`` made so small; a chunk at a time is restored."""
+    codec = pa.Codec("zstd")
+    ends = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)])
+    n, at = len(column), 0
+    while at < n:
+        end = min(max(int(np.searchsorted(ends, ends[at] + size, side="right")) - 1, at + 1), n)
+        offsets = ends[at:end + 1] - ends[at]
+        parts = [codec.decompress(column[i].as_buffer(), int(ends[i + 1] - ends[i])) for i in range(at, end) if ends[i + 1] > ends[i]]
+        yield at, end, np.frombuffer(b"".join(parts), np.uint8), offsets
+        at = end
+
+
 def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """One binary per row: the bytes of ``values[offsets[i]:offsets[i + 1]]``."""
     width = values.dtype.itemsize

@@ -6,6 +6,7 @@ import time
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
@@ -56,6 +57,34 @@ def test_repeats_odd_tables(spark):
     assert sorted(bytes(r["kept"]).decode() for r in got) == sorted(["", "x", "ab" + "é" * 99 + "z"])
 
 
+def test_texts_travel_compressed(spark, monkeypatch):
+    """Texts come back in the same chunks as before, null as empty, and no exchange has a plain one."""
+    column = pa.array(["", None, "é" * 700, "plain " * 100, "x", None, "yz"])
+    small, sizes = texts.compressed(column)
+    assert sizes.to_pylist() == [0, 0, 1400, 600, 1, 0, 2] and sum(len(s) for s in small.to_pylist()) < 200
+    for size in (1, 3, 1000, 5000):
+        plain, back = list(texts.chunks(column, size)), list(texts.restored(small, sizes, size))
+        assert [(a, b, bytes(raw), offsets.tolist()) for a, b, raw, offsets in plain] == [(a, b, bytes(raw), offsets.tolist()) for a, b, raw, offsets in back]
+    carried = []
+    monkeypatch.setattr(corpus_pipeline, "repeated_spans", lambda *a, **b: (carried.extend(b["carry"]), repeated_spans(*a, **b))[1])
+    rows = [(1, "ab" * 150, "en", "s", 0), (2, "ab" * 150, "en", "s", 0), (3, None, "en", "s", 0), (4, "", "en", "s", 0), (5, "c" * 30, "en", "s", 0)]
+    out = corpus_pipeline.cut_repeats(spark, frame(spark, rows), "")
+    assert "text" not in carried
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in out.where("text is not null").collect()) == [(1, "", 0), (2, "", 0), (4, "", 0), (5, "c" * 30, 30)]
+    assert [tuple(r) for r in out.where("text is null").select("doc_id", "lang", "source").collect()] == [(3, "en", "s")]
+
+
+def test_grams_whose_contexts_all_recur(spark):
+    """Contexts that occur again are not compared; one that does not still finds its repeat among them."""
+    rng = np.random.default_rng(5)
+    one, other, side = ("".join(chr(c) for c in rng.integers(97, 123, n)) for n in (700, 700, 300))
+    rows = [(1, one, None, None, 0), (2, one, None, None, 0), (3, other, None, None, 0), (4, other, None, None, 0),
+            (5, side + other[200:450], None, None, 0), (6, side[:100] + one[600:], None, None, 0)]
+    for group in (1, 20_000):
+        got = repeated_spans(frame(spark, rows), group_rows=group).collect()
+        assert sorted(((r["doc_id"], r["n_bytes"], bytes(r["kept"]), tuple((s["start"], s["end"]) for s in r["spans"])) for r in got), key=str) == cut(rows, 200)
+
+
 def test_interval_tree():
     text = "mississippi$banana"
     sa = sorted(range(len(text)), key=lambda i: text[i:])
