@@ -16,7 +16,7 @@ occurrences of every maximal repeat are found, not just neighbours.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import texts
-from riskloom.llm.narrowing import may_have
+from riskloom.llm.narrowing import may_have, may_have_hashes
 from riskloom.session import materialise
 
 GRAM = 48
@@ -192,7 +192,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
         lambda batches: (pa.RecordBatch.from_arrays([b.column(0), *texts.compressed(b.column(1))], names=["row", "packed", "size"]) for b in batches),
         "row long, packed binary, size long").repartition(width, "row")
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch], live: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(0).to_numpy(zero_copy_only=False)
             for a, b, raw, offsets in texts.chunks(batch.column(1)):
@@ -203,12 +203,18 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                         break
                     cut = offsets if len(raw) == len(part) else np.array([0, len(part)])
                     at, h = anchors(part, cut, length, gram)
+                    if live:
+                        keep = live(h)
+                        at, h = at[keep], h[keep]
                     who = np.searchsorted(cut, at, side="right") - 1
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h.view(np.int64)), pa.array(rows[owner[who]]), pa.array(at + start - cut[who])], names=["gram", "row", "at"])
 
     found = source.select("row", "text").mapInArrow(find, "gram long, row long, at long")
-    places = recurring(found, "gram", "repeat-anchors").groupBy("row").agg(F.collect_set("at").alias("ats"))
+    again = materialise(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeat-anchors")
+    live = may_have_hashes(again)
+    found = source.select("row", "text").mapInArrow(lambda batches: find(batches, live), "gram long, row long, at long")
+    places = found.join(again, "gram", "left_semi").groupBy("row").agg(F.collect_set("at").alias("ats"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # contexts that this task has sent

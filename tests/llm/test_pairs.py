@@ -204,3 +204,13 @@ def test_narrowing_lets_no_key_go(spark):
     assert {i for i in range(0, 5000, 7) if i != 7} <= hits and len(hits) < 800 and None not in hits
     assert found.where("hit is null").count() == 0
     assert spark.range(5).where(may_have(keys.limit(0), F.col("id"))).count() == 0
+
+
+def test_narrowing_of_hashes_lets_no_key_go(spark):
+    from riskloom.llm.narrowing import may_have_hashes
+
+    keys = spark.sql("select xxhash64(id) as gram from range(0, 4000, 4)")
+    every = spark.sql("select id, xxhash64(id) as h from range(4000)").toPandas()
+    hit = may_have_hashes(keys)(every["h"].to_numpy().view(np.uint64))
+    assert hit[every["id"].to_numpy() % 4 == 0].all() and hit.sum() < 1020
+    assert not may_have_hashes(keys.limit(0))(np.arange(5, dtype=np.uint64)).any()
