@@ -149,16 +149,6 @@ def extents(rows: np.ndarray, keys: np.ndarray, left: int, length: int) -> tuple
     return reach_left, reach_right
 
 
-def recurring(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """The rows whose ``key`` (a long) other rows have too.
-
-    Keys are counted by an aggregate, which combines equal ones before the shuffle, and the rows
-    are made again: few of them pass the hash filter, and Spark joins these by broadcast or with
-    its skew handling. So a key that a third of the rows share is never one task's."""
-    again = materialise(rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), name)
-    return rows.where(may_have(again, F.col(key))).join(again, key, "left_semi")
-
-
 def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = 200,
                    group_rows: int = GROUP_ROWS, gram: int = GRAM, whole_characters: bool = False,
                    carry: tuple[str, ...] = ()) -> DataFrame:
@@ -251,8 +241,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     known = materialise(occurrences.groupBy("hash", "gram").agg(F.count("*").alias("n")), "repeat-hashes")
     grams = known.groupBy("gram").agg(F.count("*").alias("different"), F.min("n").alias("least")).where("different > 1 and least = 1")
     grams = materialise(grams.select("gram", "different"), "repeat-grams")
-    sent = occurrences.where("context is not null").select("gram", "hash", "context").where(may_have(grams.select("gram"), F.col("gram")))
     counted = grams.where(F.col("different") > group_rows).select("gram")
+    many = bool(counted.take(1))
+    # Which way a gram goes is said by a filter, not by a join, so contexts are dealt out once. A gram that the filter takes for a
+    # crowded one goes that way with all its contexts, and both ways give the same.
+    needed, crowded = may_have(grams.select("gram"), F.col("gram")), may_have(counted, F.col("gram")) if many else F.lit(False)
+    sent = occurrences.where("context is not null").select("gram", "hash", "context")
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -281,12 +275,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
         if held and (out := close(True)):
             yield out
 
-    many = bool(counted.take(1))
-    normal = sent.join(counted, "gram", "left_anti") if many else sent
-    reach = normal.repartition(width, "gram").sortWithinPartitions("gram", "hash").mapInArrow(
+    reach = sent.where(needed & ~crowded).repartition(width, "gram").sortWithinPartitions("gram", "hash").mapInArrow(
         grouped, "hash long, before long, after long")
     if many:
-        def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def windows(batches: Iterator[pa.RecordBatch], live: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for s in range(0, batch.num_rows, 1024):
                     part = batch.slice(s, 1024)
@@ -296,17 +288,23 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
                     for offset in range(left + 1):
                         window = np.ascontiguousarray(rows[:, left - offset:left - offset + length])
                         ok = (window > 0).all(1)
+                        # Of one gram at one place of the string: a string seen from two anchors is one occurrence.
+                        place = texts.mix(texts.mix(row_hash(window[ok]) ^ grams[ok].view(np.uint64)) + np.uint64(offset))
+                        own = h[ok]
+                        if live:
+                            keep = live(place)
+                            place, own = place[keep], own[keep]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(row_hash(window[ok]).view(np.int64)), pa.array(h[ok]), pa.array(grams[ok]), pa.array(np.full(int(ok.sum()), offset))],
-                            names=["window", "hash", "gram", "before"])
-
-        hot = sent.join(counted, "gram", "left_semi").dropDuplicates(["hash"]).select("hash", "gram", "context").mapInArrow(
-            windows, "window long, hash long, gram long, before long")
-        # Of one gram at one place of the string: a string seen from two anchors is one occurrence.
-        hot = hot.select(F.xxhash64("window", "gram", "before").alias("place"), "hash", "before")
-        hot = recurring(hot, "place", "repeat-windows").groupBy("hash").agg(
-            F.max("before").alias("before"), (F.lit(length) - F.min("before")).alias("after"))
-        reach = reach.unionByName(hot)
+                            [pa.array(place.view(np.int64)), pa.array(own), pa.array(np.full(len(own), offset))], names=["place", "hash", "before"])
+
+        hot = materialise(sent.where(crowded).repartition(width, "hash").dropDuplicates(["hash"]).select("hash", "gram", "context"), "repeat-crowded")
+        # Places are counted by an aggregate, which combines equal ones before the shuffle, and made again: one that a third
+        # of the rows share is never one task's.
+        shape = "place long, hash long, before long"
+        twice = materialise(hot.mapInArrow(windows, shape).groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place"), "repeat-windows")
+        recurs = may_have_hashes(twice)
+        seen_twice = hot.mapInArrow(lambda batches: windows(batches, recurs), shape).join(twice, "place", "left_semi")
+        reach = reach.unionByName(seen_twice.groupBy("hash").agg(F.max("before").alias("before"), (F.lit(length) - F.min("before")).alias("after")))
     copies = known.where("n > 1").select(
         "hash", F.lit(left).cast("long").alias("before"), F.lit(length).cast("long").alias("after"))
     reach = reach.unionByName(copies).groupBy("hash").agg(F.max("before").alias("before"), F.max("after").alias("after"))

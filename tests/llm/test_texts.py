@@ -85,6 +85,31 @@ def test_grams_whose_contexts_all_recur(spark):
         assert sorted(((r["doc_id"], r["n_bytes"], bytes(r["kept"]), tuple((s["start"], s["end"]) for s in r["spans"])) for r in got), key=str) == cut(rows, 200)
 
 
+def test_contexts_of_a_gram_stay_together(spark):
+    """With crowded grams in the table, all contexts of any other gram still meet in one task, also where Spark turns joins
+    into broadcasts while it runs."""
+    rng = np.random.default_rng(6)
+    def some(n):
+        return "".join(chr(c) for c in rng.integers(97, 123, n))
+
+    passage = some(260)
+    rows = [(i, some(90) + passage + some(90), None, None, 0) for i in range(9)]
+    for i in range(40):
+        both = some(230)
+        rows += [(1000 + i, some(120) + both + some(80), None, None, 0), (2000 + i, some(60) + both + some(150), None, None, 0)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "4k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = repeated_spans(frame(spark, rows).repartition(8), group_rows=4).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(((r["doc_id"], r["n_bytes"], bytes(r["kept"]), tuple((s["start"], s["end"]) for s in r["spans"])) for r in got), key=str) == cut(rows, 200)
+
+
 def test_interval_tree():
     text = "mississippi$banana"
     sa = sorted(range(len(text)), key=lambda i: text[i:])
