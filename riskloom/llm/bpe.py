@@ -26,7 +26,7 @@ from riskloom.llm import texts
 #: Fixed value: the published pattern of byte-level pre-tokenisation.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words kept with their ids by one Python worker; above it the store is begun anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 _INPUT = "__input"
 #: Characters of a word above which it is encoded alone and not kept.
 LONG_WORD = 48
@@ -282,7 +282,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _loaded(shared)
         for batch in batches:
-            for a, b, _, _ in texts.chunks(batch.column(len(rest))):
+            for a, b, _, _ in texts.chunks(batch.column(len(rest)), texts.SMALL_CHUNK):
                 part = batch.slice(a, b - a)
                 found = vocabulary.encode_all(part.column(len(rest)).to_pylist())
                 at = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)

@@ -185,7 +185,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     def find(batches: Iterator[pa.RecordBatch], live: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b, raw, offsets in texts.chunks(batch.column(1)):
+            for a, b, raw, offsets in texts.chunks(batch.column(1), texts.SMALL_CHUNK):
                 owner = np.arange(a, b)
                 for start in range(0, max(len(raw), 1), _PIECE):  # more than one for a very long text only
                     part = raw[start:start + _PIECE + length - 1]
@@ -211,7 +211,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
         for batch in batches:
             rows = batch.column(0).to_numpy(zero_copy_only=False)
             ats = batch.column(3)
-            for a, b, raw, offsets in texts.restored(batch.column(1), batch.column(2)):
+            for a, b, raw, offsets in texts.restored(batch.column(1), batch.column(2), texts.SMALL_CHUNK):
                 one = ats.slice(a, b - a)
                 counts = np.diff(one.offsets.to_numpy())
                 at = np.asarray(one.flatten().to_numpy(zero_copy_only=False), np.int64)
@@ -314,7 +314,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, covers = batch.column(0), batch.column(3)
-            for a, b, raw, offsets in texts.restored(batch.column(1), batch.column(2)):
+            for a, b, raw, offsets in texts.restored(batch.column(1), batch.column(2), texts.SMALL_CHUNK):
                 mask = np.zeros(len(raw), bool)
                 for i in range(a, b):
                     if covers[i].is_valid:

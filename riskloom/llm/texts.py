@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+#: For work that holds dozens of bytes per byte of a chunk.
+SMALL_CHUNK = 1 << 18
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +117,7 @@ def powers(n: int, back: bool = False) -> np.ndarray:
     key = "back" if back else "step"
     have = _POWERS.get(key)
     if have is None or len(have) < n:
-        grown = np.full(max(n, 2 * CHUNK_BYTES), _BACK if back else _STEP)
+        grown = np.full(max(n + n // 4, 2 * SMALL_CHUNK), _BACK if back else _STEP)
         grown[0] = 1
         np.multiply.accumulate(grown, out=grown)
         if len(grown) > 4 * CHUNK_BYTES:  # for one very long text: not kept

@@ -110,6 +110,22 @@ def test_contexts_of_a_gram_stay_together(spark):
     assert sorted(((r["doc_id"], r["n_bytes"], bytes(r["kept"]), tuple((s["start"], s["end"]) for s in r["spans"])) for r in got), key=str) == cut(rows, 200)
 
 
+def test_what_a_worker_holds(spark, monkeypatch):
+    """Tables for short chunks are short, and the pipeline's stages send Python small batches, but do not raise a smaller setting."""
+    monkeypatch.setattr(texts, "_POWERS", {})
+    texts.prefix_hash(np.zeros(texts.SMALL_CHUNK, np.uint8))
+    assert sum(p.nbytes for p in texts._POWERS.values()) <= 4 << 20
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for was, then in (("10000", 2000), ("0", 2000), ("500", 500)):
+            spark.conf.set(key, was)
+            out = corpus_pipeline.tokenise(spark, frame(spark, documents()), "")
+            assert int(spark.conf.get(key)) == then and out.count() == len(documents())
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_interval_tree():
     text = "mississippi$banana"
     sa = sorted(range(len(text)), key=lambda i: text[i:])
