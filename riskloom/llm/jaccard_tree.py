@@ -12,8 +12,13 @@ bitmaps below it and their range of sizes, and a pair of nodes goes when the mos
 share is too few. What is left is compared exactly. Pairs already connected are passed over, so a
 group of near copies costs about its size in comparisons, and links leave a task as a spanning
 forest. A family above ``FAMILY_ROWS`` sets or ``FAMILY_TOKENS`` n-grams is cut into blocks by size, which are
-joined alone; what then is not connected to the rest of the family goes to all its blocks whose sizes can match. A key shared by more than
-``FAMILY_ROWS`` sets makes all of them one family.
+joined alone; what then is not connected to the rest of the family goes to all its blocks whose sizes can match.
+
+A key shared by more than ``FAMILY_ROWS`` sets, such as one from a passage that many documents have, says too little to
+make a family of them. Its sets get keys anew, from ``FINER`` times as many regions. Of these, two linked sets share all but D,
+so a set of which fewer regions are empty or crowded than any link must share has a key that is neither in common with
+all it links to, and needs no crowded one. Only sets that have more, as members of a large group of near copies do, become one family by
+a crowded key.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import texts
 from riskloom.llm.components import components
-from riskloom.llm.narrowing import may_have
+from riskloom.llm.narrowing import may_have, may_have_hashes
 from riskloom.session import materialise
 
 FAMILY_ROWS = 4096
@@ -36,6 +41,9 @@ LEAF = 8
 MOST_BITS = 1 << 14
 #: Bits of a key that travel: two keys that fall together only make a group larger, which costs a comparison and loses nothing.
 KEY_MASK = (1 << 48) - 1
+#: Regions per n-gram of difference, where sets have crowded keys; and the low bits of such a key, which say its size class.
+FINER = 3
+CLASS_BITS = 7
 #: Postings that a task packs, and later opens, at a time.
 HELD_POSTINGS = 1 << 20
 #: Bytes of text whose n-grams a task works on at a time.
@@ -99,6 +107,32 @@ def size_classes() -> np.ndarray:
 _CLASSES = size_classes()
 
 
+def _levels(sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The sets that have keys in their own size class, then those that have some in the next, if a set half a class larger can
+    still match them, and so on: (sets, size classes, how many n-grams two linked sets of that class can differ in)."""
+    own = np.searchsorted(_CLASSES, sizes, side="right") - 1
+    reach = np.searchsorted(_CLASSES, sizes * 100 // percent, side="right") - 1
+    for step in range(int((reach - own).max(initial=0)) + 1):
+        rows = np.flatnonzero((sizes > 0) & (own + step <= reach))
+        level = own[rows] + step
+        differ = 2 * (_CLASSES[level + 1] - 1) * (100 - percent) // (100 + percent)
+        rows, level, differ = rows[differ > 0], level[differ > 0], differ[differ > 0]
+        if len(rows):
+            yield rows, level, differ
+
+
+def _regions(tokens: np.ndarray, bounds: np.ndarray, rows: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The regions that are not empty of the sets ``rows``, each set's hash range cut into its number of ``regions``:
+    (which of ``rows``, region, sum of its n-grams)."""
+    n = np.diff(bounds)[rows]
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bounds[rows], n)
+    t = tokens[place]
+    region = ((t >> np.uint64(32)) * np.repeat(regions, n).astype(np.uint64)) >> np.uint64(32)
+    owner = np.repeat(np.arange(len(rows)), n)
+    first = np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]) | (owner[1:] != owner[:-1])]))
+    return owner[first], region[first], np.add.reduceat(texts.mix(t + _ODD), first)
+
+
 def region_keys(tokens: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all sets, end to end in the order of the sets, and their n + 1 offsets.
 
@@ -107,26 +141,12 @@ def region_keys(tokens: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[n
     its smallest n-grams as keys, enough to share one with any match.
     """
     sizes = np.diff(bounds)
-    own = np.searchsorted(_CLASSES, sizes, side="right") - 1
-    reach = np.searchsorted(_CLASSES, sizes * 100 // percent, side="right") - 1
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    for step in range(int((reach - own).max(initial=0)) + 1):
-        rows = np.flatnonzero((sizes > 0) & (own + step <= reach))
-        level = own[rows] + step
-        differ = 2 * (_CLASSES[level + 1] - 1) * (100 - percent) // (100 + percent)
-        rows, level, differ = rows[differ > 0], level[differ > 0], differ[differ > 0]
-        if not len(rows):
-            continue
+    for rows, level, differ in _levels(sizes, percent):
         regions = differ + 2 + differ // 32
         n = sizes[rows]
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bounds[rows], n)
-        t = tokens[place]
-        region = ((t >> np.uint64(32)) * np.repeat(regions, n).astype(np.uint64)) >> np.uint64(32)
-        owner = np.repeat(np.arange(len(rows)), n)
-        first = np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]) | (owner[1:] != owner[:-1])]))
-        sums = np.add.reduceat(texts.mix(t + _ODD), first)
-        who = owner[first]
-        salt = region[first] * np.uint64(0xC2B2AE3D27D4EB4F) + level[who].astype(np.uint64) * _ODD
+        who, region, sums = _regions(tokens, bounds, rows, regions)
+        salt = region * np.uint64(0xC2B2AE3D27D4EB4F) + level[who].astype(np.uint64) * _ODD
         found.append((rows[who], texts.mix(sums + salt)))
         empty = regions - np.bincount(who, minlength=len(rows))
         for r in np.flatnonzero(empty >= regions - differ).tolist():
@@ -141,6 +161,24 @@ def region_keys(tokens: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[n
     return keys, np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(sizes)))])
 
 
+def finer_keys(tokens: np.ndarray, bounds: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(set of each key, keys, sets, their size classes, how many keys each can spare) per step of the size classes, from ``FINER`` times as many
+    regions as ``region_keys`` has.
+
+    Of a set's regions, all but those that it and the largest set that can match it differ in are equal in both. So if fewer
+    than that are empty or have a crowded key, one that is neither is equal, whatever the match: a set can spare as many keys.
+    """
+    sizes = np.diff(bounds)
+    for rows, level, differ in _levels(sizes, percent):
+        regions, n = FINER * differ + 2, sizes[rows]
+        who, region, sums = _regions(tokens, bounds, rows, regions)
+        salt = region * np.uint64(0xC2B2AE3D27D4EB4F) + (level[who] + len(_CLASSES)).astype(np.uint64) * _ODD
+        keys = (texts.mix(sums + salt) & np.uint64(KEY_MASK)).view(np.int64) >> CLASS_BITS << CLASS_BITS | level[who]
+        most = (n + np.minimum(_CLASSES[level + 1] - 1, n * 100 // percent)) * (100 - percent) // (100 + percent)
+        empty = regions - np.bincount(who, minlength=len(rows))
+        yield rows[who], keys, rows, level, regions - most - 1 - empty
+
+
 def bitmap(tokens: np.ndarray) -> bytes:
     """The set's token bitmap: two bits or more per token, up to ``MOST_BITS`` in all."""
     size = 64
@@ -316,23 +354,28 @@ def pack_postings(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bu
         yield from close()
 
 
-def groups_between(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], low: int, high: int, held: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def groups_between(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], low: int, high: int, held: int,
+                   crowd: int | None = None, crowded: Callable[[np.ndarray, np.ndarray], None] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(name, sid) of the groups of sets whose key is in [low, high), from ``blocks`` (sorted keys, set ids, places in these): keys of
     one set only are left out, keys with the same sets are one group. A range of more than ``held`` postings is halved; a
-    single key with more is passed on block by block, named by itself."""
+    single key with more is passed on block by block, named by itself. The keys of more than ``crowd`` sets, and of more than ``held`` postings, are
+    not passed on but given to ``crowded`` with their sets, if there is one."""
     spans = [np.searchsorted(keys, (low, high)).tolist() for keys, _, _ in blocks]
     total = sum(z - a for a, z in spans)
     if total < 2:
         return
     if total > held and high - low > 1:
-        yield from groups_between(blocks, low, (low + high) // 2, held)
-        yield from groups_between(blocks, (low + high) // 2, high, held)
+        yield from groups_between(blocks, low, (low + high) // 2, held, crowd, crowded)
+        yield from groups_between(blocks, (low + high) // 2, high, held, crowd, crowded)
         return
     if total > held:
         name = texts.mix(np.array([low], np.uint64) ^ _ODD).view(np.int64)
         for (_, known, place), (a, z) in zip(blocks, spans, strict=True):
             sids = np.unique(known[place[a:z]])
-            yield np.repeat(name, len(sids)), sids
+            if crowded:
+                crowded(np.full(len(sids), low), sids)
+            else:
+                yield np.repeat(name, len(sids)), sids
         return
     keys = np.concatenate([k[a:z] for (k, _, _), (a, z) in zip(blocks, spans, strict=True)])
     sids = np.concatenate([known[place[a:z]] for (_, known, place), (a, z) in zip(blocks, spans, strict=True)])
@@ -353,6 +396,10 @@ def groups_between(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], low:
     one = np.zeros(len(first), bool)
     one[np.unique(names, return_index=True)[1]] = True
     one &= count > 1
+    if crowded:
+        full = np.repeat(count > crowd, count)
+        crowded(keys[full], sids[full])
+        one &= count <= crowd
     yield np.repeat(names[one].view(np.int64), count[one]), sids[np.repeat(one, count)]
 
 
@@ -361,18 +408,54 @@ def shared_groups(blocks: DataFrame, buckets: int, held: int = HELD_POSTINGS) ->
     named by a sum over its sets, each counted once however often it was posted. A task has one part of the key range; it
     holds that part's blocks, about twice what the shuffle brings it, and opens ``held`` postings of it at a time."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        for batch in batches:
-            for _, start, n, steps, sids, place in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                keys = np.cumsum(np.frombuffer(steps, np.uint32 if len(steps) == 4 * n else np.int64), dtype=np.int64) + start
-                found.append((keys, np.frombuffer(sids, np.int64), np.frombuffer(place, np.uint16 if len(place) == 2 * n else np.uint32)))
-        for names, sids in groups_between(found, 0, KEY_MASK + 1, held):
+        for names, sids in groups_between(opened(batches), 0, KEY_MASK + 1, held):
             for a in range(0, len(names), 1 << 17):
                 yield pa.RecordBatch.from_arrays([pa.array(names[a:a + (1 << 17)]), pa.array(sids[a:a + (1 << 17)])], names=["key", "sid"])
 
     return blocks.repartitionById(buckets, F.col("bucket")).mapInArrow(merge, "key long, sid long").distinct()
 
 
+def opened(batches: Iterator[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, set ids, places in these) of the blocks that ``pack_postings`` made."""
+    found = []
+    for batch in batches:
+        for _, start, n, steps, sids, place in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            keys = np.cumsum(np.frombuffer(steps, np.uint32 if len(steps) == 4 * n else np.int64), dtype=np.int64) + start
+            found.append((keys, np.frombuffer(sids, np.int64), np.frombuffer(place, np.uint16 if len(place) == 2 * n else np.uint32)))
+    return found
+
+
+def finer_groups(blocks: DataFrame, buckets: int, crowd: int, held: int = HELD_POSTINGS) -> DataFrame:
+    """What ``shared_groups`` gives of the keys (``finer_keys``) that at most ``crowd`` sets share, not yet distinct, with 0 as ``n``. Of other keys a
+    row (size class, sid, n) says how many of them a set has; the rows of a set add up."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def rows(key: np.ndarray, sid: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(key), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(c[a:a + (1 << 17)]) for c in (key, sid, n)], names=["key", "sid", "n"])
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            if full:
+                level, sid = (np.concatenate([x[i] for x in full]) for i in range(2))
+                full.clear()
+                order = np.lexsort((sid, level))
+                level, sid = level[order], sid[order]
+                first = np.flatnonzero(np.concatenate([[True], (level[1:] != level[:-1]) | (sid[1:] != sid[:-1])])[:len(sid)])
+                yield from rows(level[first], sid[first], np.diff(np.append(first, len(sid))))
+
+        def crowded(keys: np.ndarray, sids: np.ndarray) -> None:
+            full.append((keys & ((1 << CLASS_BITS) - 1), sids))
+
+        for names, sids in groups_between(opened(batches), 0, KEY_MASK + 1, held, crowd, crowded):
+            yield from rows(names, sids, np.zeros(len(names), np.int64))
+            if sum(len(s) for _, s in full) >= held:
+                yield from counted()
+        yield from counted()
+
+    return blocks.repartitionById(buckets, F.col("bucket")).mapInArrow(merge, "key long, sid long, n long")
+
+
 def named_groups(postings: DataFrame, buckets: int = 8, held: int = HELD_POSTINGS) -> DataFrame:
     """``shared_groups`` of postings that are rows (key, sid)."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -508,9 +591,40 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in over]), pa.array([b for _, b in over])], names=["a", "b"])
         yield from close()
 
+    def uncrowded(postings: DataFrame, crowded: DataFrame) -> DataFrame:
+        """``postings`` with finer keys in place of those in ``crowded``, which only sets keep that cannot spare them."""
+        full = materialise(postings.join(crowded, "key", "left_semi"), "jaccard-full")
+        live = may_have_hashes(full.select("sid").distinct())
+
+        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, tuple]]:
+            for _, tokens, bounds, sids, fresh, _ in fresh_sets(batches):
+                keep = np.flatnonzero(fresh & live(sids.view(np.uint64)))
+                if len(keep):
+                    own = np.concatenate([tokens[bounds[i]:bounds[i + 1]] for i in keep.tolist()])
+                    for one in finer_keys(own, np.concatenate([[0], np.cumsum(np.diff(bounds)[keep])]), percent):
+                        yield sids[keep], one
+
+        def post_finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return pack_postings(((keys, owner, sids) for sids, (owner, keys, *_) in chosen(batches)), width)
+
+        def spare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for sids, (_, _, rows, level, most) in chosen(batches):
+                yield pa.RecordBatch.from_arrays([pa.array(sids[rows]), pa.array(level), pa.array(most)], names=["sid", "level", "spare"])
+
+        finer = materialise(finer_groups(source.mapInArrow(post_finer, BLOCKS), width, family_rows), "jaccard-finer")
+        over = finer.where("n > 0").groupBy("sid", F.col("key").alias("level")).agg(F.sum("n").alias("n"))
+        short = source.mapInArrow(spare, "sid long, level long, spare long").join(over, ["sid", "level"], "left").where("coalesce(n, 0) > spare")
+        short = materialise(short.select("sid").distinct(), "jaccard-short")
+        return postings.join(crowded, "key", "left_anti").unionByName(finer.where("n = 0").select("key", "sid").distinct()).unionByName(
+            full.join(short, "sid", "left_semi").select("key", "sid"))
+
     # Keys of one set only go at once. Near copies share most of their keys: groups with the same
-    # members are one group, named by their members. What is left takes sizes and bitmaps along.
-    postings = shared_groups(source.mapInArrow(post, BLOCKS), width)
+    # members are one group, named by their members. What is left is written, so that the packed postings
+    # need not stay on disk while it takes sizes and bitmaps along.
+    postings = materialise(shared_groups(source.mapInArrow(post, BLOCKS), width), "jaccard-postings")
+    crowded = materialise(postings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > family_rows).select("key"), "jaccard-crowded")
+    if not crowded.isEmpty():
+        postings = uncrowded(postings, crowded)
     maps = profiles.where("bits is not null").groupBy("sid").agg(F.min("id").alias("id"), F.min("n").alias("n")).join(
         profiles.where("bits is not null").select("id", "sid", "bits").withColumnRenamed("sid", "of"), "id").where("sid = of").select("sid", "n", "bits")
     meets = postings.join(maps, "sid").select("key", "sid", "n", "bits").repartition(width, "key").sortWithinPartitions("key", "sid").mapInArrow(

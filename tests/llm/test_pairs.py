@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from cases import SCHEMA, documents, frame
 
-from riskloom.llm import caps
+from riskloom.llm import caps, jaccard_tree
 from riskloom.llm.components import components
 from riskloom.llm.jaccard_tree import family_links, jaccard_components, named_groups, possible_links, bitmap
 
@@ -70,6 +70,45 @@ w2025 w744 w2280 w887 w1313 w1201 w1314 w2839 w113 w1991 w1464 w1471 w266 w1660
     assert {tuple(r) for r in jaccard_components(frame(spark, docs), shingle=1, percent=80, family_rows=3).collect()} == want
 
 
+def test_a_common_passage_makes_no_family(spark, monkeypatch):
+    """Texts with a passage in common are sent to no comparison; near copies among them are found."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [passage + [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(90, 110))] for _ in range(60)]
+    texts += [[*t[:-6], *(f"other{i}" for i in range(6))] for t in texts[:5]]
+    docs = [(i, " ".join(t), "", "", 0) for i, t in enumerate(texts)]
+    sent, write = [], jaccard_tree.materialise
+    monkeypatch.setattr(jaccard_tree, "materialise", lambda df, name: (sent.append(df) if name == "jaccard-needed" else None, write(df, name))[1])
+    got = jaccard_components(frame(spark, docs), shingle=5, percent=80, family_rows=8)
+    assert {tuple(r) for r in got.collect()} == expected(docs, 5, 80)
+    assert sum(len(r["to"]) for df in sent for r in df.collect()) <= 20
+
+
+def test_links_share_a_key_beyond_those_to_spare():
+    """Of the keys that a set has in a size class, any set that it links with has more than it can spare."""
+    rng = np.random.default_rng(9)
+    least, seen = 1 << 62, 0
+    for _ in range(400):
+        percent = int(rng.choice([50, 80, 90]))
+        n = int(rng.integers(1, 500))
+        gone, new = (int(x) for x in rng.integers(0, n // 2 + 1, 2))
+        tokens = rng.integers(0, 1 << 64, n + new, dtype=np.uint64)
+        two = [np.unique(tokens[:n]), np.unique(tokens[gone:])]
+        shared, whole = len(np.intersect1d(*two)), len(np.union1d(*two))
+        if 100 * shared < percent * whole or shared == whole:
+            continue
+        keys, spare = [{}, {}], [{}, {}]
+        for who, found, sets, level, most in jaccard_tree.finer_keys(np.concatenate(two), np.array([0, len(two[0]), len(two[0]) + len(two[1])]), percent):
+            for i, k in zip(who.tolist(), found.tolist(), strict=True):
+                keys[i].setdefault(k & 127, set()).add(k)
+            for i, l, m in zip(sets.tolist(), level.tolist(), most.tolist(), strict=True):
+                spare[i][l] = m
+        at = max(min(spare[0]), min(spare[1]))  # the class of the larger set
+        common = len(keys[0].get(at, set()) & keys[1].get(at, set()))
+        least, seen = min(least, common - max(spare[0][at], spare[1][at])), seen + 1
+    assert seen > 50 and least >= 1
+
+
 def test_sets_posted_twice_keep_their_groups_apart(spark):
     """Pairs of near copies, each text in both of two partitions: no group of one pair meets another's."""
     postings = [(k, sid) for k in range(20) for sid in (2 * (k // 2), 2 * (k // 2) + 1)] * 2 + [(99, 7), (99, 7)]

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -14,6 +15,7 @@ from riskloom.functions.chi_square import chi_square_tail
 from riskloom.functions.values import category_slot
 from riskloom.operators import dictionary, features, metrics, quality, screen, shape
 from riskloom.operators.ranking import running_totals
+from riskloom.session import SHUFFLES_GO, materialise
 
 
 # --- shape
@@ -270,3 +272,22 @@ def test_csv_quarantine(spark, tmp_path):
     good, bad = read_csv_checked(spark, str(tmp_path / "a.csv"), "id int, x double")
     assert sorted(map(tuple, good.collect())) == [(1, 2.5), (4, None)]
     assert sorted(r["malformed_text"] for r in bad.collect()) == ["5,x", "two,3"]
+
+
+# --- scratch tables
+
+def test_shuffles_go_with_the_write_that_needed_them(spark):
+    """A written table leaves no shuffle files behind, and the session's settings as they were."""
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(SHUFFLES_GO)
+    rows = spark.range(1000).select(F.pmod("id", F.lit(10)).alias("k"))
+    out = materialise(rows.groupBy("k").agg(F.count("*").alias("n")), "counts")
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLES_GO) == setting
+    assert {r["n"] for r in out.collect()} == {100}
