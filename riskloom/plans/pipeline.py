@@ -7,8 +7,9 @@ to score.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -40,7 +41,7 @@ from riskloom.operators.shape import (
     rename_columns,
     without_contradictions,
 )
-from riskloom.plans import categories
+from riskloom.plans import categories, wide
 from riskloom.plans.categories import UNKNOWN_TEXT
 from riskloom.plans.categories import slot_name as _slot
 from riskloom.session import materialise
@@ -50,6 +51,9 @@ FEATURES = "features"
 LABEL = "label"
 #: How many training rows a row stands for, where equal rows are fitted as one.
 WEIGHT = "weight"
+#: With more slots than this, a model of categories only is fitted by ``wide``, its weights in a table only. Spark ML's fit holds some two
+#: dozen vectors of them on the driver, 2 MB each here.
+WIDE_SLOTS = 1 << 18
 
 
 def clean(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -194,33 +198,52 @@ class FitReport:
         return cls(rows, steps, float(history[-1]), status)
 
 
+@dataclass(frozen=True)
+class TableRegression:
+    """The regression of a model whose weights are in its table only: what is beside them."""
+
+    intercept: float
+    #: Slots of each category.
+    sizes: list[int]
+    #: Each category's weight of the unknown slot, 0 for words; a value not seen in training weighs nothing.
+    unknown: list[float]
+
+    @property
+    def numFeatures(self) -> int:  # noqa: N802 - as Spark ML's models have it
+        return sum(self.sizes)
+
+
 @dataclass(frozen=True)
 class RiskModel:
     spec: FeatureSpec
+    #: Without stages where ``wide`` is set.
     fitted: PipelineModel
     #: The categories' values with their slots and weights (``categories.SCHEMA``).
     table: DataFrame
     #: Of a model that was just fitted; a loaded one has its report in the registry.
     report: FitReport | None = None
+    wide: TableRegression | None = None
 
     def stage(self, kind: type):
         """The fitted stage of a kind, or None; the plan has at most one of each."""
         return next((s for s in self.fitted.stages if isinstance(s, kind)), None)
 
     @property
-    def regression(self) -> LogisticRegressionModel:
-        return self.fitted.stages[-1]
+    def regression(self) -> LogisticRegressionModel | TableRegression:
+        return self.wide or self.fitted.stages[-1]
 
     def save(self, path: str) -> None:
         self.fitted.write().overwrite().save(f"{path}/stages")
         self.table.write.mode("overwrite").parquet(f"{path}/categories")
         spark = SparkSession.active()
-        spark.createDataFrame([(self.spec.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/spec")
+        lines = [self.spec.to_json(), *([json.dumps(asdict(self.wide))] if self.wide else [])]
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/spec")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> RiskModel:
-        spec = FeatureSpec.from_json(spark.read.text(f"{path}/spec", wholetext=True).head()["value"].strip())
-        return cls(spec, PipelineModel.load(f"{path}/stages"), spark.read.schema(categories.SCHEMA).parquet(f"{path}/categories"))
+        spec, *more = spark.read.text(f"{path}/spec", wholetext=True).head()["value"].strip().split("\n")
+        table = spark.read.schema(categories.SCHEMA).parquet(f"{path}/categories")
+        return cls(FeatureSpec.from_json(spec), PipelineModel.load(f"{path}/stages"), table, wide=TableRegression(**json.loads(more[0])) if more else None)
 
 
 def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -> RiskModel:
@@ -233,7 +256,8 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
     model has only categories, equal rows are counted first, and the fit reads one of each with
     its number as its weight: it has the same optimum, and its steps do not grow with the rows.
 
-    What the driver holds is a weight per category value and number: as much as the regression itself keeps there.
+    What the driver holds is a few dozen numbers per category value and number, as the regression itself keeps them there. A model of only
+    categories with more than ``WIDE_SLOTS`` slots is fitted by ``wide`` instead, to the same optimum; the driver then holds sums.
     """
     rows = model_columns(labelled_rows(cleaned, spec), spec, [LABEL])
     if weighted(spec):
@@ -244,6 +268,8 @@ def train(cleaned: DataFrame, spec: FeatureSpec, keep_in_memory: bool = False) -
         fitted_rows = rows.count() if weighted(spec) else n
         table = categories.dictionary(rows, spec.categorical, spec.text_categorical) if spec.categorical or spec.text_categorical else None
         sizes = categories.slot_counts(table, spec.categorical, spec.text_categorical) if table else []
+        if weighted(spec) and sum(sizes) > WIDE_SLOTS:
+            return _fit_wide(rows, spec, table, sizes, n)
         rows = slotted_rows(rows, spec, table, sizes).repartition(_even_parts(rows, fitted_rows)).persist(StorageLevel.MEMORY_AND_DISK)
         held.append(rows)
         fitted = _fit_weighted(rows, spec) if weighted(spec) else Pipeline(stages=stages(spec)).fit(rows)
@@ -267,6 +293,17 @@ def _fit_weighted(rows: DataFrame, spec: FeatureSpec) -> PipelineModel:
     return PipelineModel([*prepared.stages, regression.fit(ready)])
 
 
+def _fit_wide(rows: DataFrame, spec: FeatureSpec, table: DataFrame, sizes: Sequence[int], n: int) -> RiskModel:
+    """The model of categories only whose weights never are on the driver."""
+    slots = [_slot(c) for c in [*spec.categorical, *spec.text_categorical]]
+    encoded = categories.encode(rows, table, spec.categorical, spec.text_categorical, sizes)
+    intercept, weights, history = wide.fit(encoded, slots, LABEL, WEIGHT, spec.max_iter, spec.tolerance)
+    first = {r["feature"]: r["weight"] for r in weights.where(f"slot = 0 and feature < {len(spec.categorical)}").collect()}  # one per category
+    given = materialise(table.join(weights, ["feature", "slot"]).select("feature", "code", "word", "slot", "weight"), "category-weights")
+    beside = TableRegression(intercept, list(sizes), [first.get(i, 0.0) for i in range(len(sizes))])
+    return RiskModel(spec, PipelineModel([]), given, FitReport.of(n, history, spec), beside)
+
+
 #: Rows of a part of the training set, where there are enough for every core.
 PART_ROWS = 250_000
 
@@ -296,8 +333,10 @@ def score(cleaned: DataFrame, model: RiskModel, keep: Sequence[str] | None = Non
 
 
 def score_by_stages(cleaned: DataFrame, model: RiskModel, keep: Sequence[str] | None = None) -> DataFrame:
-    """The same through the fitted stages, vectors and all."""
+    """The same through the fitted stages, vectors and all; a model without stages is scored by its table."""
     spec = model.spec
+    if model.wide:
+        return score(cleaned, model, keep)
     keep = list(keep if keep is not None else key_names(spec))
     encoder = model.stage(OneHotEncoderModel)
     rows = slotted_rows(model_columns(cleaned, spec, keep), spec, model.table, list(encoder.categorySizes) if encoder else [])
@@ -313,7 +352,8 @@ def _as_scores(scored: DataFrame, spec: FeatureSpec, keep: Sequence[str]) -> Dat
 @dataclass(frozen=True)
 class LinearForm:
     """A fitted model as sums: the intercept, each category's weights by slot, each number's weight and what
-    stands in for it where it is missing (None: nothing does). Standard scores are folded in."""
+    stands in for it where it is missing (None: nothing does). Standard scores are folded in. Of a model with its weights in
+    a table only, the blocks have the ends: the unknown slot's weight, and 0 for the unseen."""
 
     intercept: float
     blocks: list[list[float]]
@@ -323,6 +363,8 @@ class LinearForm:
 
 def linear_form(model: RiskModel) -> LinearForm:
     spec, fit = model.spec, model.regression
+    if model.wide:
+        return LinearForm(fit.intercept, [[w, 0.0] for w in fit.unknown], [], [])
     weights, intercept = np.array(fit.coefficients.toArray()), float(fit.intercept)
     scaler = model.stage(StandardScalerModel)
     if scaler is not None:
@@ -376,8 +418,19 @@ def foreign_targets(cleaned: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 def coefficients(model: RiskModel, spark: SparkSession) -> DataFrame:
     """``(position, feature, coefficient)``; the intercept has position -1. One row per
-    feature slot, all held by the fitted model already."""
+    feature slot, all held by the fitted model already, or by its table."""
     fit = model.regression
+    if model.wide:
+        spec, ends = model.spec, np.cumsum(fit.sizes).tolist()
+        slotted = [*spec.categorical, *spec.text_categorical]
+        codes = len(spec.categorical)
+        rest = [(end - fit.sizes[i] if i < codes else end - 1, f"{c}={UNKNOWN_TEXT if i < codes else '(unseen)'}", fit.unknown[i])
+                for i, (c, end) in enumerate(zip(slotted, ends))]
+        start = F.array(*[F.lit(end - size) for end, size in zip(ends, fit.sizes)])
+        value = F.coalesce(F.col("word"), F.col("code").cast("string"))
+        known = model.table.select((F.get(start, F.col("feature")) + F.col("slot")).cast("int").alias("position"), F.concat(
+            F.get(F.array(*[F.lit(f"{c}=") for c in slotted]), F.col("feature")), value).alias("feature"), F.col("weight").alias("coefficient"))
+        return known.unionByName(spark.createDataFrame([(-1, "(intercept)", fit.intercept), *rest], "position int, feature string, coefficient double"))
     names = feature_names(model)
     rows = [(-1, "(intercept)", float(fit.intercept))]
     rows += [(i, names[i], float(v)) for i, v in enumerate(fit.coefficients.toArray())]

@@ -354,3 +354,39 @@ def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
         assert r["low"] == r["high"] == pytest.approx(r["rate"], abs=1e-6)
     by_stages = {r["id"]: r["p_positive"] for r in pipeline.score_by_stages(df, model).collect()}
     assert all(r["p_positive"] == pytest.approx(by_stages[r["id"]]) for r in pipeline.score(df, model).collect())
+
+
+def test_weights_of_many_slots_stay_in_a_table(spark, monkeypatch, tmp_path):
+    """A model of more slots than the driver should hold has the same fit, contrasts and scores as one of fewer; no regression of Spark ML is asked for it."""
+    from pyspark.ml.classification import LogisticRegression
+    df = spark.sql("""select id, cast(if(id % 7 = 0, null, id % 40) as int) as code, concat('w', id % 11) as word,
+        if(pmod(hash(id), 100) < 10 + 2 * (id % 40) + (id % 11), 'yes', 'no') as y from range(6000)""")
+    spec = FeatureSpec(keys=("id",), target="y", label_order=("no", "yes"), positive_label="yes", categorical=("code",), text_categorical=("word",), tolerance=1e-12)
+    other = spark.sql("select -1 as id, 12345 as code, 'unheard' as word, 'no' as y")
+    narrow = pipeline.train(df, spec)
+    monkeypatch.setattr(pipeline, "WIDE_SLOTS", 10)
+    monkeypatch.setattr(LogisticRegression, "fit", None)
+    model = pipeline.train(df, spec)
+    assert model.regression.numFeatures == narrow.regression.numFeatures and model.report.rows == 6000 and model.report.status == "converged"
+    assert model.report.objective == pytest.approx(narrow.report.objective, abs=1e-9)
+    model.save(str(tmp_path))
+    loaded = pipeline.RiskModel.load(spark, str(tmp_path))
+    want = {r["id"]: r["p_positive"] for r in pipeline.score(df, narrow).collect()}
+    for one in (model, loaded):
+        got = {r["id"]: r["p_positive"] for r in pipeline.score(df, one).collect()}
+        assert len(got) == 6000 and all(got[i] == pytest.approx(p, abs=1e-4) for i, p in want.items())
+    unseen = pipeline.score(other, model).first()["p_positive"]
+    assert unseen == pytest.approx(1 / (1 + math.exp(-model.regression.intercept)))
+    contrasts = [{(r["category"], r["value"]): r["contrast"] for r in pipeline.contrasts(m).collect()} for m in (narrow, model)]
+    assert contrasts[0].keys() == contrasts[1].keys() and all(contrasts[1][k] == pytest.approx(v, abs=1e-3) for k, v in contrasts[0].items())
+    named = [{r["feature"]: r["position"] for r in pipeline.coefficients(m, spark).collect()} for m in (narrow, model)]
+    assert named[0] == named[1]
+
+
+def test_a_wide_fit_takes_slots_of_one_class(spark, monkeypatch):
+    monkeypatch.setattr(pipeline, "WIDE_SLOTS", 1)
+    df = spark.sql("select id, cast(id % 20 as int) as code, if(id % 20 = 3 or (id % 20 != 4 and id % 60 < 20), 'yes', 'no') as y from range(1200)")
+    spec = FeatureSpec(keys=("id",), target="y", label_order=("no", "yes"), positive_label="yes", categorical=("code",), tolerance=1e-10)
+    model = pipeline.train(df, spec)
+    rates = {r["code"]: r["p"] for r in pipeline.score(df, model, ["code"]).groupBy("code").agg(F.avg("p_positive").alias("p")).collect()}
+    assert rates.pop(3) > 0.9999 and rates.pop(4) < 0.0001 and all(p == pytest.approx(1 / 3, abs=1e-6) for p in rates.values())
